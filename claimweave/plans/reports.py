@@ -16,27 +16,30 @@ def _share_pct(part: Column, whole: Column) -> Column:
     return F.round(part.cast("double") * 100.0 / whole.cast("double"), 2)
 
 
+_LATE = ", ".join(f"'{b}'" for b in OVERDUE_BUCKETS)
+
 # Measures that can be asked for at any grain.
-METRICS: dict[str, Column] = {
-    "ar_balance": _money("total_ar_balance"),
-    "payer_ar": _money("payer_balance"),
-    "patient_ar": _money("patient_balance"),
-    "overdue_ar": F.sum(F.when(F.col("aging_bucket").isin(*OVERDUE_BUCKETS),
-                               F.col("total_ar_balance"))).cast(MONEY_SUM),
-    "receivable_rows": F.count("*"),
-    "claims": F.countDistinct("claim_id"),
-    "total_lines": F.count("*"),
-    "denied_lines": F.sum(F.col("is_denied").cast("int")),
-    "denial_rate_pct": _share_pct(F.sum(F.col("is_denied").cast("int")), F.count("*")),
-    "charged": _money("charge_amount"),
-    "paid": _money("paid_amount"),
-    "collection_pct": _share_pct(F.sum("paid_amount"), F.sum("charge_amount")),
+METRICS = {
+    "ar_balance": f"cast(sum(total_ar_balance) as {MONEY_SUM})",
+    "payer_ar": f"cast(sum(payer_balance) as {MONEY_SUM})",
+    "patient_ar": f"cast(sum(patient_balance) as {MONEY_SUM})",
+    "overdue_ar": f"cast(sum(CASE WHEN aging_bucket IN ({_LATE}) THEN total_ar_balance END)"
+                  f" as {MONEY_SUM})",
+    "receivable_rows": "count(*)",
+    "claims": "count(DISTINCT claim_id)",
+    "total_lines": "count(*)",
+    "denied_lines": "sum(cast(is_denied as int))",
+    "denial_rate_pct": "round(100.0D * sum(cast(is_denied as int)) / count(*), 2)",
+    "charged": f"cast(sum(charge_amount) as {MONEY_SUM})",
+    "paid": f"cast(sum(paid_amount) as {MONEY_SUM})",
+    "collection_pct": "round(100.0D * cast(sum(paid_amount) as double)"
+                      " / cast(sum(charge_amount) as double), 2)",
 }
 
 
 def metrics(fact: DataFrame, by: list[str], names: list[str]) -> DataFrame:
     """Named measures of a fact table at the grain `by`, in one aggregation."""
-    return fact.groupBy(*by).agg(*[METRICS[n].alias(n) for n in names])
+    return fact.groupBy(*by).agg(*[F.expr(METRICS[n]).alias(n) for n in names])
 
 
 def top_counterparties(receivable: DataFrame, bridge: DataFrame, firms: DataFrame,
