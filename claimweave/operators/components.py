@@ -38,8 +38,8 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> Data
             current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         centre = both.groupBy("u").agg(
             F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
-        large = (attach(both.filter("v > u"), centre, "u", "v", 2 * state[0])
-                 .select("v", F.col("m").alias("u")).distinct())
+        large = materialise(attach(both.filter("v > u"), centre, "u", "v", 2 * state[0])
+                            .select("v", F.col("m").alias("u")))
         # small star: smaller neighbours and the id itself point to the smallest of them
         floor = large.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n"))
         moved = (attach(large, floor, "v", "u", 2 * state[0])

@@ -111,18 +111,23 @@ def volume_change(current: DataFrame, previous: DataFrame, tolerance: float) ->
 
 def reconcile(fact: DataFrame, source: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
     """Sum of each measure in the fact and in its source, and the difference."""
-    def total(df, column):
-        return F.coalesce(F.sum(column).cast("decimal(38,2)"),
-                          F.lit(0).cast("decimal(38,2)")).alias(column)
-    left = fact.agg(*[total(fact, a).alias(f"f_{m}") for m, (a, _) in pairs.items()])
-    right = source.agg(*[total(source, b).alias(f"s_{m}") for m, (_, b) in pairs.items()])
-    # one row on each side
-    both = left.join(right, F.lit(True))
-    rows = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(f"f_{m}").alias("fact_sum"),
-                              F.col(f"s_{m}").alias("source_sum")) for m in pairs])
-    return (both.select(F.explode(rows).alias("r")).select("r.*")
-            .withColumn("difference",
-                        (F.col("fact_sum") - F.col("source_sum")).cast("decimal(38,2)")))
+    empty = F.lit(None).cast("decimal(38,2)")
+
+    def sums(df, side, columns):
+        totals = df.agg(*[F.sum(c).cast("decimal(38,2)").alias(m) for m, c in columns.items()])
+        rows = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("total"))
+                         for m in columns])
+        value = F.col("r.total")
+        return totals.select(F.explode(rows).alias("r")).select(
+            "r.measure", (value if side == "fact" else empty).alias("fact_sum"),
+            (value if side == "source" else empty).alias("source_sum"))
+
+    both = (sums(fact, "fact", {m: a for m, (a, _) in pairs.items()})
+            .unionByName(sums(source, "source", {m: b for m, (_, b) in pairs.items()}))
+            .groupBy("measure").agg(F.max("fact_sum").alias("fact_sum"),
+                                    F.max("source_sum").alias("source_sum")))
+    return both.withColumn("difference",
+                           (F.col("fact_sum") - F.col("source_sum")).cast("decimal(38,2)"))
 
 
 def masked(df: DataFrame, hashed: list[str], shortened: list[str]) -> DataFrame:

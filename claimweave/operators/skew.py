@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_HOT_KEYS = 100_000
-ROW_LIMIT_SETTING = "claimweave.skew.rowLimit"
+ROW_LIMIT_SETTING = "spark.claimweave.skewRowLimit"
 DEFAULT_ROW_LIMIT = 1_000_000
 
 
