@@ -23,14 +23,11 @@ def newest_rows(landed: DataFrame, source: Source, raw_key: bool = False) -> Dat
     return latest_per_key(landed, keys, [F.desc("_ingested_at"), F.asc("_row_hash")])
 
 
-def clean(landed: DataFrame, source: Source, raw_key: bool = False,
-          loaded_at: bool = True) -> DataFrame:
+def clean(landed: DataFrame, source: Source, raw_key: bool = False) -> DataFrame:
     """Deduplicate, type and validate one source table."""
     values = [clean_value(*f).alias(f[0]) for f in source.fields]
-    out = newest_rows(landed, source, raw_key).select(*values, *LINEAGE)
-    if loaded_at:
-        out = out.withColumn("_silver_loaded_at", F.current_timestamp())
-    return out
+    return newest_rows(landed, source, raw_key).select(
+        *values, *LINEAGE, F.current_timestamp().alias("_silver_loaded_at"))
 
 
 def check_contract(df: DataFrame, expected: T.StructType) -> DataFrame:

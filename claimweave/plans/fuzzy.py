@@ -98,7 +98,8 @@ def candidates(people: DataFrame, rows: int, model: Model = Model(),
     if sets is None:
         left_keys, right_keys, per_row = _block_keys(True), _block_keys(False), 6
     else:
-        left_keys, right_keys, per_row = _keys(sets, True), _keys(sets, False), 8 * len(sets)
+        left_keys, right_keys = _keys(sets, True), _keys(sets, False)
+        per_row = sum(len(_dob_variants(k)) for s in sets for k in s.dob) + len(sets)
     left = people.select(left_keys.alias("k"), F.col("rep").alias("rep_a"),
                          F.col("system").alias("sa"))
     right = people.select(right_keys.alias("k"), F.col("rep").alias("rep_b"),

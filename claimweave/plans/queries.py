@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.agreement import Model
 from ..operators.quality import load_quality, masked, reconcile
 from ..operators.typed import clean
+from ..session import checkpoint_dir
 from ..sources.layout import SOURCES
 from ..sources.lineage import audit_columns
 from ..sources.samples import landed
@@ -22,10 +24,14 @@ REVIEW = Model(threshold="0.65")
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse over `sf_dir`, kept for the life of the Spark application."""
+    """The warehouse over `sf_dir`, kept for the life of the Spark application.
+
+    Its tables are written on first use, so reports run over stored tables.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUILT:
-        _BUILT[key] = Warehouse(spark, partial(landed, spark, sf_dir))
+        store = f"{checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}"
+        _BUILT[key] = Warehouse(spark, partial(landed, spark, sf_dir), store)
     return _BUILT[key]
 
 
@@ -48,8 +54,8 @@ def _row_hashes(spark, sf):
 
 
 def _raw_key_diagnosis(spark, sf):
-    return clean(landed(spark, sf, "emr_diagnosis"), SOURCES["emr_diagnosis"], raw_key=True,
-                 loaded_at=False)
+    return clean(landed(spark, sf, "emr_diagnosis"), SOURCES["emr_diagnosis"],
+                 raw_key=True).drop("_silver_loaded_at")
 
 
 def _one_rule(rank: int):
@@ -158,7 +164,7 @@ def _audit(spark, sf):
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable] = {"bronze_row_hash": _row_hashes, "bronze_audit_columns": _audit}
-    out |= {f"silver_{n}": _table(n) for n in SOURCES}
+    out |= {f"silver_{n}": _table(n, ("_silver_loaded_at",)) for n in SOURCES}
     out["silver_emr_diagnosis_raw_key"] = _raw_key_diagnosis
     out["er_spine"] = _table("patient_spine")
     out |= {f"er_rule_{r.name.removeprefix('deterministic_')}": _one_rule(i)

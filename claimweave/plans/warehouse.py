@@ -22,22 +22,25 @@ BY_MONTH = {"fact_receivable": "snapshot_date", "fact_patient_balance": "snapsho
 class Warehouse:
     """Tables of the cleaned, linkage and star layers over landed sources.
 
-    `landed` returns a landed table by name. Tables are lazy and remembered;
-    what several tables reuse in the linkage is stored in the checkpoint
-    folder. With `store`, `build` writes every table there and later tables
-    read the stored form. `max_passes` bounds label spreading; by default
-    clusters are complete components.
+    `landed` returns a landed table by name. Tables are remembered; what several
+    tables reuse in the linkage is stored in the checkpoint folder. With
+    `store`, every table asked for is written there and read back, so that no
+    table is computed twice; `by_month` splits the stored facts by month.
+    `max_passes` bounds label spreading; by default clusters are complete
+    components.
     """
 
     def __init__(self, spark: SparkSession, landed: Callable[[str], DataFrame],
                  store: str | None = None, model: Model = Model(),
-                 max_passes: int | None = None, stable_ids: bool = False):
+                 max_passes: int | None = None, stable_ids: bool = False,
+                 by_month: bool = False):
         self.spark = spark
         self.landed = landed
         self.store = store
         self.model = model
         self.max_passes = max_passes
         self.stable_ids = stable_ids
+        self.by_month = by_month
         self._tables: dict[str, DataFrame] = {}
         self._counts: dict[str, int] = {}
 
@@ -55,11 +58,11 @@ class Warehouse:
     # cleaned layer
 
     def clean(self, name: str) -> DataFrame:
-        def make():
-            source = SOURCES[name]
-            return check_contract(clean(self.landed(name), source, loaded_at=False),
-                                  source.clean_schema())
-        return self._once(name, make)
+        return self.table(name)
+
+    def _cleaned(self, name: str) -> DataFrame:
+        source = SOURCES[name]
+        return check_contract(clean(self.landed(name), source), source.clean_schema())
 
     # linkage layer
 
@@ -129,25 +132,19 @@ class Warehouse:
         return pairs.join(side("a"), "nid_a").join(side("b"), "nid_b").select(*ends, *rest)
 
     def deterministic_match(self) -> DataFrame:
-        def make():
-            best = rule_plan.best_rule_pairs(self.rule_pairs())
-            rule = F.col("rule")
-            return self.named_pairs(best).select(
-                "source_system_a", "source_key_a", "source_system_b", "source_key_b",
-                rule_plan.rule_confidence(rule).alias("confidence"),
-                rule_plan.rule_name(rule).alias("match_method"))
-        return self._once("deterministic_match", make)
+        best = rule_plan.best_rule_pairs(self.rule_pairs())
+        rule = F.col("rule")
+        return self.named_pairs(best).select(
+            "source_system_a", "source_key_a", "source_system_b", "source_key_b",
+            rule_plan.rule_confidence(rule).alias("confidence"),
+            rule_plan.rule_name(rule).alias("match_method"))
 
     def probabilistic_match(self, model: Model | None = None) -> DataFrame:
         model = model or self.model
-
-        def make():
-            pairs = fuzzy.record_pairs(self.scored_for(model), self.fuzzy_members_for(model))
-            named = self.named_pairs(pairs)
-            return named.select(
-                "source_system_a", "source_key_a", "source_system_b", "source_key_b",
-                "confidence", F.lit("probabilistic").alias("match_method"), *fuzzy.COMPONENTS)
-        return self._once(f"probabilistic_match {model}", make)
+        pairs = fuzzy.record_pairs(self.scored_for(model), self.fuzzy_members_for(model))
+        return self.named_pairs(pairs).select(
+            "source_system_a", "source_key_a", "source_system_b", "source_key_b",
+            "confidence", F.lit("probabilistic").alias("match_method"), *fuzzy.COMPONENTS)
 
     # tables by public name
 
@@ -187,10 +184,18 @@ class Warehouse:
     def names(self) -> list[str]:
         return [*SOURCES, *self._makers()]
 
+    def _path(self, name: str) -> str:
+        return os.path.join(self.store, "silver" if name in SOURCES else "gold", name)
+
     def table(self, name: str) -> DataFrame:
-        if name in SOURCES:
-            return self.clean(name)
-        return self._once(name, self._makers()[name])
+        if name in self._tables:
+            return self._tables[name]
+        df = self._cleaned(name) if name in SOURCES else self._makers()[name]()
+        if self.store:
+            write_table(df, self._path(name), BY_MONTH.get(name) if self.by_month else None)
+            df = read_table(self.spark, self._path(name))
+        self._tables[name] = df
+        return df
 
     def check(self, checks: list[Check]) -> DataFrame:
         wanted = {c.table for c in checks} | {c.args[0] for c in checks if c.kind == "relationship"}
@@ -200,14 +205,6 @@ class Warehouse:
         """Write every table under `store`, in dependency order; returns the paths."""
         if not self.store:
             raise ValueError("a warehouse needs a store folder to build into")
-        paths = {}
         for name in self.names:
-            layer = "silver" if name in SOURCES else "gold"
-            path = os.path.join(self.store, layer, name)
-            df = self.table(name)
-            if layer == "silver":
-                df = df.withColumn("_silver_loaded_at", F.current_timestamp())
-            write_table(df, path, month_of=BY_MONTH.get(name))
-            paths[name] = path
-            self._tables[name] = read_table(self.spark, path)
-        return paths
+            self.table(name)
+        return {name: self._path(name) for name in self.names}

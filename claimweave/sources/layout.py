@@ -66,6 +66,7 @@ class Source:
             fields.append(T.StructField(name, kind))
         fields.append(T.StructField("_ingested_at", T.TimestampNTZType()))
         fields += [T.StructField(c, T.StringType()) for c in LINEAGE[1:]]
+        fields.append(T.StructField("_silver_loaded_at", T.TimestampType()))
         return T.StructType(fields)
 
 

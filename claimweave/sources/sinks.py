@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 def write_table(df: DataFrame, path: str, month_of: str | None = None) -> None:
     """Full rebuild of a parquet table, optionally split by the month of a date column.
 
-    The rebalance hint lets adaptive execution even out file sizes, also when
-    one month holds most of the rows.
+    Months are brought together by a rebalance, which adaptive execution cuts
+    into even files, also when one month holds most of the rows.
     """
     if month_of is None:
-        df.hint("rebalance").write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)
         return
     month = f"{month_of.removesuffix('_date')}_month"
     monthly = df.withColumn(month, F.date_format(month_of, "yyyy-MM"))
