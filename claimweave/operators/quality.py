@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 @dataclass(frozen=True)
@@ -98,15 +98,28 @@ def load_quality(landed: DataFrame, columns: list[str]) -> DataFrame:
         F.max("_ingested_at").alias("newest_load"), *filled)
 
 
-def volume_change(current: DataFrame, previous: DataFrame, tolerance: float) -> DataFrame:
-    """Compare (table_name, row_count) logs of two runs; flag changes beyond `tolerance`."""
-    now, then = F.col("row_count"), F.col("previous_count")
-    joined = current.join(
-        previous.select("table_name", F.col("row_count").alias("previous_count")),
-        "table_name", "full")
-    change = F.round((now - then).cast("double") / then.cast("double"), 4)
-    return joined.select("table_name", "row_count", "previous_count", change.alias("change"),
-                         F.coalesce(F.abs(change) > tolerance, F.lit(True)).alias("flagged"))
+def _by_load(landed: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        df.groupBy("_source_file", F.col("_ingested_at").cast("date").alias("load_day"))
+        .agg(F.count("*").alias("row_count")) for df in landed])
+
+
+def load_volumes(landed: list[DataFrame], tolerance: float) -> DataFrame:
+    """Rows per feed and load day, the change from the load before, and whether it is unusual."""
+    # one row per feed and load after the aggregation
+    before = F.lag("row_count").over(Window.partitionBy("_source_file").orderBy("load_day"))
+    change = F.round((F.col("row_count") - F.col("previous_count")).cast("double")
+                     / F.col("previous_count"), 4)
+    return (_by_load(landed).withColumn("previous_count", before)
+            .withColumn("change", change)
+            .withColumn("unusual", F.coalesce(F.abs("change") > tolerance, F.lit(False))))
+
+
+def freshness(landed: list[DataFrame], as_of: str, max_days: int) -> DataFrame:
+    """Newest load per feed, its age in days, and whether that is too old."""
+    age = F.datediff(F.lit(as_of).cast("date"), "newest_load")
+    return (_by_load(landed).groupBy("_source_file").agg(F.max("load_day").alias("newest_load"))
+            .withColumn("age_days", age).withColumn("stale", F.col("age_days") > max_days))
 
 
 def reconcile(fact: DataFrame, source: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:

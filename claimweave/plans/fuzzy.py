@@ -12,7 +12,7 @@ from ..operators.skew import attach, meet
 
 COMPONENTS = ("last_name_score", "first_name_score", "dob_score", "phone_score",
               "address_score", "email_score")
-_TRAITS = ("first", "last", "dob", "phone", "email", "street", "city", "zip")
+TRAITS = ("first", "last", "dob", "phone", "email", "street", "city", "zip")
 
 
 def _filled(column: str) -> Column:
@@ -27,7 +27,7 @@ def with_profile(spine: DataFrame) -> DataFrame:
         _filled("phone").alias("phone"), _filled("email").alias("email"),
         F.lower("address_line1").alias("street"),
         F.lower(F.coalesce("city", F.lit(""))).alias("city"), _filled("zip").alias("zip"))
-    marked = [F.coalesce(F.col(t).cast("string"), F.lit("\0")) for t in _TRAITS]
+    marked = [F.coalesce(F.col(t).cast("string"), F.lit("\0")) for t in TRAITS]
     return traits.withColumn("profile", F.md5(F.concat_ws("\x1f", "system", *marked)))
 
 
@@ -36,7 +36,7 @@ def profiles(tagged: DataFrame) -> DataFrame:
 
     Copies of a record, however many, are compared once.
     """
-    return tagged.groupBy("profile", "system", *_TRAITS).agg(
+    return tagged.groupBy("profile", "system", *TRAITS).agg(
         F.min("nid").alias("rep"), F.count("*").alias("n"))
 
 
@@ -85,14 +85,15 @@ def _block_keys(shifted: bool) -> Column:
     return F.explode(F.filter(F.array(*keys), lambda k: k.isNotNull()))
 
 
-def candidates(people: DataFrame, rows: int, model: Model = Model(),
-               mode: str = "pruned") -> DataFrame:
+def candidates(people: DataFrame, rows: int, model: Model = Model(), mode: str = "pruned",
+               against: DataFrame | None = None) -> DataFrame:
     """(rep_a, rep_b): profile pairs of different systems that could reach the threshold.
 
     `pruned` joins on the agreements the threshold implies; `blocks` joins on
     the plain blocks, which is also the way taken when no agreement is implied.
     One narrow join on an 8-byte key serves all keys. A hash collision only adds
-    a pair that scoring drops.
+    a pair that scoring drops. `against` gives other profiles for the second
+    side; `rows` bounds both.
     """
     sets = agreements(model) if mode == "pruned" else None
     if sets is None:
@@ -102,7 +103,8 @@ def candidates(people: DataFrame, rows: int, model: Model = Model(),
         per_row = sum(len(_dob_variants(k)) for s in sets for k in s.dob) + len(sets)
     left = people.select(left_keys.alias("k"), F.col("rep").alias("rep_a"),
                          F.col("system").alias("sa"))
-    right = people.select(right_keys.alias("k"), F.col("rep").alias("rep_b"),
+    others = people if against is None else against
+    right = others.select(right_keys.alias("k"), F.col("rep").alias("rep_b"),
                           F.col("system").alias("sb"))
     return (meet(left, right, "k", "rep_a", "rep_b", rows * per_row)
             .filter(F.col("sa") < F.col("sb")).select("rep_a", "rep_b").distinct())
@@ -153,7 +155,7 @@ def score(pairs: DataFrame, people: DataFrame, model: Model = Model()) -> DataFr
     """Score profile pairs; keep those at or above the threshold, with all components."""
     def side(tag):
         return people.select(F.col("rep").alias(f"rep_{tag}"),
-                             *[F.col(t).alias(f"{t}_{tag}") for t in _TRAITS])
+                             *[F.col(t).alias(f"{t}_{tag}") for t in TRAITS])
 
     dob, place = _dob_relation(), _place_relation()
     phone = {"same": F.col("phone_a") == F.col("phone_b")}

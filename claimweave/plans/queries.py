@@ -8,14 +8,16 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.draws import pick
 from ..operators.agreement import Model
-from ..operators.quality import load_quality, masked, reconcile
+from ..operators.quality import freshness, load_quality, load_volumes, masked, reconcile
 from ..operators.typed import clean
 from ..session import checkpoint_dir
 from ..sources.layout import SOURCES
 from ..sources.lineage import audit_columns
-from ..sources.samples import landed
-from . import checks, evaluation, fuzzy, identity, reports, rules as rule_plan
+from ..sources.samples import PAYERS, external, landed
+from . import (checks, clinical, dimensions, evaluation, fixtures, fuzzy, graph, identity,
+               incremental, reports, rules as rule_plan)
 from .warehouse import Warehouse
 
 _BUILT: dict[tuple[str, str], Warehouse] = {}
@@ -162,6 +164,85 @@ def _audit(spark, sf):
         "remit_id", "source_record_id", "batch_id", "payload_json")
 
 
+PAYER_NAMES = PAYERS.split(",")
+LOADED_AT = "2024-01-15 08:00:00"
+
+
+def _volumes(spark, sf):
+    return load_volumes([landed(spark, sf, n) for n in SOURCES], tolerance=0.5)
+
+
+def _freshness(spark, sf):
+    return freshness([landed(spark, sf, n) for n in SOURCES], "2024-06-10", max_days=7)
+
+
+def _incremental(spark, sf):
+    """All but the last load day matched first, the rest added to it."""
+    house = warehouse(spark, sf)
+    spine = house.spine()
+    last_day = house.clean("emr_patient").select(
+        F.lit("emr").alias("source_system"), F.col("emr_patient_id").alias("source_patient_key"),
+        "_ingested_at").unionByName(house.clean("rcm_patient_account").select(
+            F.lit("rcm"), "rcm_account_id", "_ingested_at").toDF(
+                "source_system", "source_patient_key", "_ingested_at")).unionByName(
+        house.clean("referral_order").select(
+            F.lit("referral"), "referral_order_id", "_ingested_at").toDF(
+                "source_system", "source_patient_key", "_ingested_at")).filter(
+        "_ingested_at >= timestamp_ntz'2024-06-03 00:00:00'")
+    before = spine.join(last_day, ["source_system", "source_patient_key"], "left_anti")
+    nobody = house.walk().limit(0)
+    earlier = incremental.rematch(before, nobody)
+    return incremental.rematch(spine, earlier).select(
+        "source_system", "source_patient_key", "cluster_id", "match_confidence", "match_method",
+        "patient_id")
+
+
+def _accounts(spark, sf):
+    return fixtures.other_system_accounts(warehouse(spark, sf).clean("emr_patient"))
+
+
+def _assigned(spark, sf):
+    house = warehouse(spark, sf)
+    return fixtures.assigned(
+        house.clean("rcm_claim_header").select("claim_id"), "claim_id",
+        house.clean("rcm_patient_account"), "rcm_account_id", "account", "rcm_account_id")
+
+
+def _filled(spark, sf):
+    rules = {"payer_name": pick("claim_id", "payer", PAYER_NAMES),
+             "claim_status": F.lit("submitted")}
+    headers = warehouse(spark, sf).clean("rcm_claim_header")
+    return fixtures.fill_missing(headers.select("claim_id", "payer_name", "claim_status"), rules)
+
+
+def _external_patients(spark, sf):
+    return clinical.patients(external(spark, sf, "patients"), LOADED_AT)
+
+
+def _external_providers(spark, sf):
+    return clinical.providers(external(spark, sf, "providers"),
+                              external(spark, sf, "organizations"))
+
+
+def _external_of(make, table):
+    def run(spark, sf):
+        return make(external(spark, sf, table), _external_patients(spark, sf))
+    return run
+
+
+def _external_procedures(spark, sf):
+    mapping = clinical.procedure_map(external(spark, sf, "crosswalk"), "line")
+    return clinical.procedures(external(spark, sf, "procedures"), _external_patients(spark, sf),
+                               mapping)
+
+
+def _registry_providers(spark, sf):
+    house = warehouse(spark, sf)
+    return dimensions.dim_provider(
+        house.clean("emr_provider"), house.clean("rcm_claim_header"),
+        house.clean("referral_order"), external(spark, sf, "registry"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable] = {"bronze_row_hash": _row_hashes, "bronze_audit_columns": _audit}
     out |= {f"silver_{n}": _table(n, ("_silver_loaded_at",)) for n in SOURCES}
@@ -218,6 +299,27 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bi_metrics_by_cpt": _over(reports.metrics, lines, by=["cpt_code"], names=[
             "total_lines", "denied_lines", "denial_rate_pct", "charged", "paid",
             "collection_pct"]),
+        "er_incremental": _incremental,
+        "dim_provider_registry": _registry_providers,
+        "graph_entities": _over(graph.entities, "dim_provider", "referral_order"),
+        "graph_identifiers": _over(graph.identifiers, "dim_provider", "referral_order"),
+        "graph_edges": _over(graph.edges, "dim_provider", "referral_order", "rcm_claim_header"),
+        "fixture_accounts": _accounts,
+        "fixture_money_lines": _over(fixtures.money_lines, "rcm_claim_header", key="claim_id"),
+        "fixture_balances": _over(fixtures.balances, "rcm_claim_header", key="claim_id"),
+        "fixture_status_history": _over(fixtures.status_histories, "referral_order",
+                                        key="referral_order_id", start="referral_created_at"),
+        "fixture_assigned_accounts": _assigned,
+        "fixture_filled_headers": _filled,
+        "fixture_claims_of_encounters": _over(fixtures.claims_of_encounters, "emr_encounter",
+                                              "emr_provider", payers=PAYER_NAMES),
+        "external_patients": _external_patients,
+        "external_providers": _external_providers,
+        "external_encounters": _external_of(clinical.encounters, "encounters"),
+        "external_diagnoses": _external_of(clinical.diagnoses, "conditions"),
+        "external_procedures": _external_procedures,
+        "dq_load_volumes": _volumes,
+        "dq_freshness": _freshness,
         "dq_dimension_coverage": _over(reports.dimension_coverage, receivable),
         "dq_orphans": _orphans,
         "dq_load_quality": _load_quality,

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from claimweave.plans import checks
+from claimweave.plans import checks, clinical, fixtures
 from claimweave.plans.rules import RULES
 from claimweave.sources.layout import LINEAGE, OVERDUE_BUCKETS, SOURCES
-from claimweave.sources.samples import INPUT_TABLES, SOURCE_SQL
+from claimweave.sources.samples import EXTERNAL_SQL, INPUT_TABLES, PAYERS, SOURCE_SQL
 
 # name -> (SQL, names it reads)
 PARTS: dict[str, tuple[str, tuple[str, ...]]] = {}
@@ -467,6 +467,240 @@ def _quote_json(source) -> str:
     return f"CAST(JSON_OBJECT({pairs}) AS VARCHAR)"
 
 
+# ---- draws, made feeds, external tables
+
+
+def _u(key: str, purpose: str) -> str:
+    return (f"(CAST(CAST('0x' || LEFT(MD5('{purpose}:' || {key}), 8) AS BIGINT) AS DOUBLE)"
+            f" / CAST(4294967296 AS DOUBLE))")
+
+
+def _whole(key: str, purpose: str, low: int, high: int) -> str:
+    return f"(CAST(FLOOR({_u(key, purpose)} * {high - low + 1}) AS INT) + {low})"
+
+
+def _choose(key: str, purpose: str, values) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"([{listed}])[{_whole(key, purpose, 1, len(values))}]"
+
+
+def _weighted(key: str, purpose: str, weights: dict) -> str:
+    total, reached, cases = sum(weights.values()), 0.0, []
+    *first, last = weights.items()
+    for value, weight in first:
+        reached += weight
+        cases.append(f"WHEN {_u(key, purpose)} < CAST({reached / total!r} AS DOUBLE) THEN '{value}'")
+    return f"(CASE {' '.join(cases)} ELSE '{last[0]}' END)"
+
+
+for _n, _sql in EXTERNAL_SQL.items():
+    part(f"ext_{_n}", "", _sql.format(**_inputs()))
+_K = "emr_patient_id"
+part("account_draws", "emr_patient", f"""
+SELECT *, {_weighted(_K, 'name variant', fixtures.NAME_VARIANTS)} AS kind,
+  {_choose(_K, 'middle initial', fixtures.MIDDLE_INITIALS)} AS initial,
+  {_u(_K, 'dob variant')} AS u, CASE WHEN {_u(_K, 'dob direction')} < 0.5 THEN -1 ELSE 1 END AS way,
+  {_u(_K, 'link gap')} AS gap
+FROM emr_patient""")
+part("made_accounts", "account_draws", f"""
+SELECT 'A-' || emr_patient_id AS rcm_account_id,
+  CASE WHEN gap >= {fixtures.LINK_GAP_RATE} THEN emr_patient_id END AS emr_patient_id,
+  CASE kind WHEN 'upper' THEN UPPER(first_name) WHEN 'last_first' THEN last_name
+    WHEN 'middle_initial' THEN first_name || ' ' || initial || '.' ELSE first_name END
+    AS patient_first_name,
+  CASE kind WHEN 'upper' THEN UPPER(last_name) WHEN 'last_first' THEN first_name ELSE last_name END
+    AS patient_last_name,
+  CASE WHEN u < 0.10 THEN CASE WHEN STRFTIME(dob, '%m%d') = '0229' THEN dob
+                               ELSE CAST(dob + to_years(way) AS DATE) END
+       WHEN u < {fixtures.DOB_YEAR_RATE + fixtures.DOB_SWAP_RATE!r} AND DAY(dob) <= 12
+         THEN MAKE_DATE(YEAR(dob), DAY(dob), MONTH(dob))
+       ELSE dob END AS dob, address_line1, city, state, zip
+FROM account_draws""")
+_C = "claim_id"
+part("made_money", "rcm_claim_header", f"""
+SELECT claim_id, CAST(charge / 100 AS DECIMAL(12,2)) AS charge_amount,
+  CAST(allowed / 100 AS DECIMAL(12,2)) AS allowed_amount,
+  CAST(FLOOR(allowed * {_whole(_C, 'paid', 600, 1000)} / 1000) / 100 AS DECIMAL(12,2)) AS paid_amount
+FROM (SELECT *, FLOOR(charge * {_whole(_C, 'allowed', 400, 950)} / 1000) AS allowed
+      FROM (SELECT claim_id, FLOOR(({_u(_C, 'charge')} * 2950 + 50) * 100) AS charge
+            FROM rcm_claim_header))""")
+part("made_balances", "rcm_claim_header", f"""
+SELECT claim_id, CAST(total / 100 AS DECIMAL(12,2)) AS total_balance,
+  CAST(payer / 100 AS DECIMAL(12,2)) AS payer_responsibility_balance,
+  CAST((total - payer) / 100 AS DECIMAL(12,2)) AS patient_responsibility_balance,
+  {_weighted(_C, 'aging', fixtures.AGING_SHARES)} AS aging_bucket
+FROM (SELECT *, FLOOR(total * {_whole(_C, 'payer share', 0, 1000)} / 1000) AS payer
+      FROM (SELECT claim_id, FLOOR({_u(_C, 'balance')} * 400000) AS total FROM rcm_claim_header))""")
+_R = "referral_order_id"
+_templates = ", ".join("[" + ", ".join(f"'{x}'" for x in p) + "]" for p in fixtures.PROGRESSIONS)
+part("made_histories", "referral_order", f"""
+SELECT referral_order_id, CAST(i AS INT) AS step, steps[i + 1] AS status,
+  CAST(referral_created_at AS DATE) + CASE WHEN i = 0 THEN 0 ELSE
+    CAST(LIST_SUM([{_whole(_R, 'step 1', 1, 14)}, {_whole(_R, 'step 2', 1, 14)},
+                   {_whole(_R, 'step 3', 1, 14)}][1:i]) AS INT) END AS status_date
+FROM (SELECT *, ([{_templates}])[{_whole(_R, 'progression', 1, 5)}] AS steps FROM referral_order)
+CROSS JOIN (SELECT UNNEST([0, 1, 2, 3]) AS i) WHERE i < LEN(steps)""")
+part("account_places", "rcm_patient_account", """
+SELECT rcm_account_id, ROW_NUMBER() OVER (ORDER BY rcm_account_id) AS place, COUNT(*) OVER () AS n
+FROM (SELECT DISTINCT rcm_account_id FROM rcm_patient_account)""")
+part("npi_places", "emr_provider", """
+SELECT npi, ROW_NUMBER() OVER (ORDER BY npi) AS place, COUNT(*) OVER () AS n
+FROM (SELECT DISTINCT npi FROM emr_provider WHERE npi IS NOT NULL)""")
+part("ext_living", "ext_patients", """
+SELECT Id AS emr_patient_id, FIRST AS first_name, LAST AS last_name, BIRTHDATE AS dob,
+  GENDER AS sex, ADDRESS AS address_line1, CITY AS city, STATE AS state, ZIP AS zip,
+  RIGHT(SSN, 4) AS ssn_last4, 'N' AS deceased_flag, '2024-01-15 08:00:00' AS last_updated_at
+FROM ext_patients WHERE DEATHDATE IS NULL""")
+_visit_cases = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in clinical.VISIT_TYPES.items())
+_PK = "(ENCOUNTER || '|' || CODE || '|' || DATE)"
+part("ext_codes", "ext_crosswalk", """
+SELECT * FROM ext_crosswalk QUALIFY ROW_NUMBER() OVER (PARTITION BY snomed_code ORDER BY line DESC) = 1""")
+part("legal", "dim_provider referral_order", f"""
+SELECT org_name AS given, phone, address_line1 FROM dim_provider WHERE org_name IS NOT NULL
+UNION ALL SELECT counterparty_org_name, NULL, NULL FROM referral_order
+WHERE counterparty_org_name IS NOT NULL""")
+
+
+def _legal(column: str) -> str:
+    return (f"TRIM(REGEXP_REPLACE(REGEXP_REPLACE({_firm_name(column)}, '[^A-Z0-9 ]', '', 'g'),"
+            f" ' +', ' ', 'g'))")
+
+
+def _org(column: str) -> str:
+    return f"'ORG-' || MD5({_legal(column)})"
+
+
+def _person_key(column: str) -> str:
+    return f"'PER-' || MD5({column})"
+
+
+part("graph_links", "dim_provider referral_order rcm_claim_header", f"""
+SELECT {_person_key('referring_provider_npi')} AS from_entity_id,
+  {_org('counterparty_org_name')} AS to_entity_id, 'refers_to' AS edge_type,
+  'referral' AS source_system, 'same referral order' AS evidence
+FROM referral_order WHERE referring_provider_npi IS NOT NULL AND counterparty_org_name IS NOT NULL
+UNION ALL
+SELECT {_person_key('npi')}, {_org('org_name')}, 'employed_by', source_system, 'listed organisation'
+FROM dim_provider WHERE npi IS NOT NULL AND org_name IS NOT NULL
+UNION ALL
+SELECT {_person_key('rendering_provider_npi')}, {_person_key('billing_provider_npi')}, 'billed_by',
+  'rcm', 'same claim'
+FROM rcm_claim_header
+WHERE billing_provider_npi IS NOT NULL AND rendering_provider_npi IS NOT NULL""")
+part("registry_rows", "ext_registry", """
+SELECT npi, MIN(ROW(first_name, last_name, specialty, org_name, phone, address_line1, city, state,
+                    zip)) AS r FROM ext_registry GROUP BY npi""")
+part("registered_providers", "all_providers registry_rows", """
+SELECT p.source_provider_id, p.npi,
+  CASE WHEN r.npi IS NULL THEN p.first_name ELSE COALESCE(r.r[1], p.first_name) END AS first_name,
+  CASE WHEN r.npi IS NULL THEN p.last_name ELSE COALESCE(r.r[2], p.last_name) END AS last_name,
+  COALESCE(r.r[3], p.specialty) AS specialty, COALESCE(r.r[4], p.org_name) AS org_name,
+  COALESCE(r.r[5], p.phone) AS phone, COALESCE(r.r[6], p.address_line1) AS address_line1,
+  COALESCE(r.r[7], p.city) AS city, COALESCE(r.r[8], p.state) AS state,
+  COALESCE(r.r[9], p.zip) AS zip, p.source_system
+FROM all_providers p LEFT JOIN registry_rows r ON r.npi = p.npi AND p.source_system = 'external'""")
+part("loads", " ".join(f"landed_{n}" for n in SOURCES), "\nUNION ALL\n".join(
+    f"SELECT _source_file, CAST(_ingested_at AS DATE) AS load_day, COUNT(*) AS row_count"
+    f" FROM landed_{n} GROUP BY 1, 2" for n in SOURCES))
+
+
+def _made_and_external() -> dict[str, str]:
+    def table(name, columns="*"):
+        return query(f"SELECT {columns} FROM {name}", name)
+
+    return {
+        "er_incremental": query("""
+SELECT source_system, source_patient_key, cluster_id, match_confidence, match_method,
+  'PAT-' || MD5(cluster_id) AS patient_id FROM final_match""", "final_match"),
+        "dim_provider_registry": query(f"""
+SELECT {_numbered('DPROV-', 5, 'npi NULLS LAST, source_provider_id NULLS LAST')} AS provider_key,
+  source_provider_id, npi, first_name, last_name, first_name || ' ' || last_name AS full_name,
+  specialty, org_name, phone, address_line1, city, state, zip, source_system
+FROM registered_providers""", "registered_providers"),
+        "graph_entities": query(f"""
+SELECT {_person_key('npi')} AS entity_id, 'person' AS entity_type, MIN(full_name) AS canonical_name,
+  MIN(phone) AS canonical_phone, MIN(address_line1) AS canonical_address
+FROM dim_provider WHERE npi IS NOT NULL GROUP BY 1
+UNION ALL
+SELECT {_org('given')}, 'org', MIN(given), MIN(phone), MIN(address_line1) FROM legal GROUP BY 1""",
+                                "dim_provider legal"),
+        "graph_identifiers": query(f"""
+SELECT {_person_key('npi')} AS entity_id, 'NPI' AS id_type, npi AS id_value,
+  'national registry' AS issuing_authority, source_system FROM dim_provider WHERE npi IS NOT NULL
+UNION
+SELECT {_person_key('npi')}, 'external_id', source_provider_id, 'source', source_system
+FROM dim_provider WHERE npi IS NOT NULL
+UNION
+SELECT {_org('counterparty_org_name')}, 'case_id', case_reference_id, 'firm', 'referral'
+FROM referral_order WHERE counterparty_org_name IS NOT NULL AND case_reference_id IS NOT NULL""",
+                                   "dim_provider referral_order"),
+        "graph_edges": query("""
+SELECT *, COUNT(*) AS support, CAST(1 AS DECIMAL(4,3)) AS confidence FROM graph_links
+GROUP BY ALL""", "graph_links"),
+        "fixture_accounts": table("made_accounts"),
+        "fixture_money_lines": table("made_money"),
+        "fixture_balances": table("made_balances"),
+        "fixture_status_history": table("made_histories"),
+        "fixture_assigned_accounts": query(f"""
+SELECT h.claim_id, a.rcm_account_id FROM rcm_claim_header h JOIN account_places a
+  ON a.place = CAST(FLOOR({_u('h.claim_id', 'account')} * a.n) AS INT) + 1""",
+                                           "rcm_claim_header account_places"),
+        "fixture_filled_headers": query(f"""
+SELECT claim_id, COALESCE(payer_name, {_choose(_C, 'payer', PAYERS.split(','))}) AS payer_name,
+  COALESCE(claim_status, 'submitted') AS claim_status FROM rcm_claim_header""", "rcm_claim_header"),
+        "fixture_claims_of_encounters": query(f"""
+SELECT 'CLM_' || e.emr_encounter_id AS claim_id, e.emr_encounter_id, e.emr_patient_id,
+  e.facility_id, p.npi AS billing_provider_npi,
+  {_choose('e.emr_encounter_id', 'claim payer', PAYERS.split(','))} AS payer_name,
+  CAST(FLOOR({_u('e.emr_encounter_id', 'claim amount')} * 4500 + 500) AS DECIMAL(12,2))
+    AS total_charge_amount,
+  {_weighted('e.emr_encounter_id', 'claim status', fixtures.CLAIM_STATUS_SHARES)} AS claim_status,
+  CAST(e.start_time AS DATE) AS submitted_date, CAST(e.start_time AS DATE) AS service_from_date
+FROM emr_encounter e JOIN npi_places p
+  ON p.place = CAST(FLOOR({_u('e.emr_encounter_id', 'claim provider')} * p.n) AS INT) + 1""",
+                                              "emr_encounter npi_places"),
+        "external_patients": table("ext_living"),
+        "external_providers": query("""
+SELECT p.Id AS emr_provider_id, SPLIT_PART(p.NAME, ' ', 1) AS first_name,
+  CASE WHEN p.NAME LIKE '% %' THEN SUBSTR(p.NAME, STRPOS(p.NAME, ' ') + 1) ELSE '' END AS last_name,
+  SPECIALITY AS specialty, o.NAME AS org_name, ADDRESS AS address_line1, CITY AS city,
+  STATE AS state, ZIP AS zip
+FROM ext_providers p LEFT JOIN ext_organizations o ON o.Id = p.ORGANIZATION""",
+                                    "ext_providers ext_organizations"),
+        "external_encounters": query(f"""
+SELECT Id AS emr_encounter_id, PATIENT AS emr_patient_id,
+  CASE LOWER(ENCOUNTERCLASS) {_visit_cases} ELSE 'outpatient' END AS encounter_type,
+  'completed' AS status, START AS start_time, STOP AS end_time, ORGANIZATION AS facility_id,
+  PROVIDER AS attending_provider_id
+FROM ext_encounters WHERE PATIENT IN (SELECT emr_patient_id FROM ext_living)""",
+                                     "ext_encounters ext_living"),
+        "external_diagnoses": query("""
+SELECT ENCOUNTER AS emr_encounter_id, CODE AS icd10_code, DESCRIPTION AS diagnosis_desc,
+  CAST(ROW_NUMBER() OVER (PARTITION BY ENCOUNTER ORDER BY START, CODE, DESCRIPTION) AS INT)
+    AS diagnosis_rank
+FROM ext_conditions WHERE PATIENT IN (SELECT emr_patient_id FROM ext_living)""",
+                                    "ext_conditions ext_living"),
+        "external_procedures": query(f"""
+SELECT ENCOUNTER AS emr_encounter_id,
+  COALESCE(cpt_code, {_choose(_PK, 'procedure', clinical.FALLBACK_PROCEDURES)}) AS cpt_code,
+  CASE WHEN cpt_code IS NULL
+       THEN {_choose(_PK, 'procedure', clinical.FALLBACK_PROCEDURES.values())}
+       ELSE cpt_description END AS procedure_desc, DATE AS performed_time
+FROM ext_procedures LEFT JOIN ext_codes ON snomed_code = CODE
+WHERE PATIENT IN (SELECT emr_patient_id FROM ext_living)""", "ext_procedures ext_codes ext_living"),
+        "dq_load_volumes": query("""
+SELECT *, ROUND((row_count - previous_count) / CAST(previous_count AS DOUBLE), 4) AS change,
+  COALESCE(ABS(ROUND((row_count - previous_count) / CAST(previous_count AS DOUBLE), 4)) > 0.5, FALSE)
+    AS unusual
+FROM (SELECT *, LAG(row_count) OVER (PARTITION BY _source_file ORDER BY load_day) AS previous_count
+      FROM loads)""", "loads"),
+        "dq_freshness": query("""
+SELECT _source_file, MAX(load_day) AS newest_load,
+  CAST(DATE '2024-06-10' - MAX(load_day) AS INT) AS age_days,
+  DATE '2024-06-10' - MAX(load_day) > 7 AS stale FROM loads GROUP BY 1""", "loads"),
+    }
+
+
 def all_sql() -> dict[str, str]:
     def table(name, columns="*"):
         return query(f"SELECT {columns} FROM {name}", name)
@@ -612,4 +846,4 @@ SELECT emr_patient_id, SHA256(ssn_last4) AS ssn_last4,
         "dq_checks_linkage": _checks(checks.LINKAGE_CHECKS),
         "dq_checks_star": _checks(checks.STAR_CHECKS),
     }
-    return out
+    return out | _made_and_external()
