@@ -27,21 +27,28 @@ def new_scored(people: DataFrame, rows: int, model: Model = Model()) -> DataFram
     return fuzzy.score(pairs, people, model)
 
 
-def rematch(spine: DataFrame, earlier: DataFrame, model: Model = Model()) -> DataFrame:
+def _unmatched(spine: DataFrame) -> DataFrame:
+    no_text, no_conf = F.lit(None).cast("string"), F.lit(None).cast("decimal(4,3)")
+    return spine.select("*", no_text.alias("old_cluster"), no_conf.alias("match_confidence"),
+                        no_text.alias("match_method"))
+
+
+def rematch(spine: DataFrame, earlier: DataFrame | None, model: Model = Model()) -> DataFrame:
     """Crosswalk of the whole spine, computing only what involves records not in `earlier`.
 
-    `earlier` is the stored crosswalk. Its clusters enter as ties between each
+    `earlier` is the stored crosswalk (None at the very start). Its clusters enter as ties between each
     record and the first record of its cluster, its confidences as evidence;
     patient ids derive from the cluster's first record, so they stay unless a
     cluster gains an earlier record or merges.
     """
     rows = spine.count()
-    kept = earlier.select("source_system", "source_patient_key",
-                          F.col("cluster_id").alias("old_cluster"),
-                          "match_confidence", "match_method")
-    state = materialise(
-        spine.join(kept, ["source_system", "source_patient_key"], "left")
-        .select(*spine.columns, "old_cluster", "match_confidence", "match_method"))
+    if earlier is None:
+        state = _unmatched(spine)
+    else:
+        kept = earlier.select("source_system", "source_patient_key",
+                              F.col("cluster_id").alias("old_cluster"),
+                              "match_confidence", "match_method")
+        state = materialise(spine.join(kept, ["source_system", "source_patient_key"], "left"))
     fresh = state.filter("old_cluster IS NULL").select("nid")
     members = materialise(rule_members(spine))
     links = materialise(new_rule_links(members, fresh, rows * len(RULES)))

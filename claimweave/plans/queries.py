@@ -12,7 +12,7 @@ from ..functions.draws import pick
 from ..operators.agreement import Model
 from ..operators.quality import freshness, load_quality, load_volumes, masked, reconcile
 from ..operators.typed import clean
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialise
 from ..sources.layout import SOURCES
 from ..sources.lineage import audit_columns
 from ..sources.samples import PAYERS, external, landed
@@ -190,8 +190,7 @@ def _incremental(spark, sf):
                 "source_system", "source_patient_key", "_ingested_at")).filter(
         "_ingested_at >= timestamp_ntz'2024-06-03 00:00:00'")
     before = spine.join(last_day, ["source_system", "source_patient_key"], "left_anti")
-    nobody = house.walk().limit(0)
-    earlier = incremental.rematch(before, nobody)
+    earlier = materialise(incremental.rematch(before, None))
     return incremental.rematch(spine, earlier).select(
         "source_system", "source_patient_key", "cluster_id", "match_confidence", "match_method",
         "patient_id")
