@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialise
+from .skew import attach
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row's place in its low 33 bits
 
@@ -31,6 +32,20 @@ def row_positions(df: DataFrame, order: list, column: str = "position") -> DataF
             .drop("_part", "_place", "_before"))
 
 
+def rank_within(df: DataFrame, group: str, order: list, column: str) -> DataFrame:
+    """Add the 1-based rank of each row inside its group, however large the group.
+
+    Ranks are differences of global positions, so a group may span partitions.
+    Rows equal in `group` and `order` are interchangeable and spread by a tie.
+    """
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    placed = row_positions(tied, [group, *order, "_tie"], "_at")
+    starts = placed.groupBy(group).agg(F.min("_at").alias("_start"), F.count("*").alias("n"))
+    ranked = attach(placed, starts, group, "_at", placed.count())
+    return (ranked.withColumn(column, (F.col("_at") - F.col("_start") + 1).cast("int"))
+            .drop("_tie", "_at", "_start", "n"))
+
+
 def padded_key(prefix: str, number: Column, width: int) -> Column:
     """`prefix` and the zero-padded number; longer numbers are kept whole."""
     text = number.cast("string")

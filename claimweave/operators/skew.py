@@ -46,16 +46,15 @@ def attach(many: DataFrame, one: DataFrame, key: str, spread: str, rows: int,
 
 
 def meet(left: DataFrame, right: DataFrame, key: str, left_spread: str, right_spread: str,
-         rows: int | None) -> DataFrame:
+         rows: int) -> DataFrame:
     """Equi-join of two sides that may both have the same hot key.
 
     A hot key is cut into a grid: each side is spread over its own chunks and
     copied across the chunks of the other side, so every cell is one task's
-    work and each pair of rows meets exactly once. `rows` bounds both sides; with
-    no known bound the list of hot keys is joined without a broadcast hint.
+    work and each pair of rows meets exactly once. `rows` bounds both sides.
     """
-    limit = row_limit(left, rows or 0)
-    if rows is not None and rows <= limit:
+    limit = row_limit(left, rows)
+    if rows <= limit:
         return left.join(right, key)
     counts = (
         left.select(key, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
@@ -63,10 +62,8 @@ def meet(left: DataFrame, right: DataFrame, key: str, left_spread: str, right_sp
         .groupBy(key).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
     )
     hot = counts.filter((F.col("_l") + F.col("_r") > limit) & (F.col("_l") > 0) & (F.col("_r") > 0))
-    hot = hot.select(key, _chunks(F.col("_l"), limit).alias("_kl"),
-                     _chunks(F.col("_r"), limit).alias("_kr"))
-    if rows is not None:
-        hot = F.broadcast(hot)
+    hot = F.broadcast(hot.select(key, _chunks(F.col("_l"), limit).alias("_kl"),
+                                 _chunks(F.col("_r"), limit).alias("_kr")))
 
     def cells(side, spread, own, other, own_k, other_k):
         k_own, k_other = F.coalesce(own_k, F.lit(1)), F.coalesce(other_k, F.lit(1))

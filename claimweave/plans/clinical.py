@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.draws import draw_int
 from ..functions.names import split_full_name
+from ..operators.keys import rank_within
 from ..operators.latest import latest_per_key
 from .fixtures import fill_missing
 
@@ -79,13 +80,18 @@ def encounters(external: DataFrame, known: DataFrame, rules: dict[str, Column] |
 
 
 def diagnoses(external: DataFrame, known: DataFrame, limit: int | None = None) -> DataFrame:
-    """Conditions of known patients, ranked per visit by onset, then code and text."""
+    """Conditions of known patients, ranked per visit by onset, then code and text.
+
+    A condition without a visit has no rank.
+    """
     rows = _capped(_of_patients(external, known), "ENCOUNTER", limit)
-    by_onset = Window.partitionBy("ENCOUNTER").orderBy("START", "CODE", "DESCRIPTION")
-    return rows.select(
+    ranked = rank_within(rows.filter("ENCOUNTER IS NOT NULL"), "ENCOUNTER",
+                         ["START", "CODE", "DESCRIPTION"], "diagnosis_rank")
+    unplaced = rows.filter("ENCOUNTER IS NULL").withColumn(
+        "diagnosis_rank", F.lit(None).cast("int"))
+    return ranked.unionByName(unplaced).select(
         F.col("ENCOUNTER").alias("emr_encounter_id"), F.col("CODE").alias("icd10_code"),
-        F.col("DESCRIPTION").alias("diagnosis_desc"),
-        F.row_number().over(by_onset).alias("diagnosis_rank"))
+        F.col("DESCRIPTION").alias("diagnosis_desc"), "diagnosis_rank")
 
 
 def procedure_map(crosswalk: DataFrame, line: str) -> DataFrame:

@@ -196,12 +196,15 @@ def fuzzy_members(tagged: DataFrame, people: DataFrame, scored: DataFrame,
 
 
 def record_pairs(scored: DataFrame, members: DataFrame) -> DataFrame:
-    """Profile pairs written out as record pairs, as large as the answer itself."""
+    """Profile pairs written out as record pairs, as large as the answer itself.
+
+    Both inputs are stored tables, so both sides of each join come straight from
+    a shuffle and the adaptive skew join can split a profile with many records.
+    """
     def side(tag):
         return members.select(F.col("rep").alias(f"rep_{tag}"), F.col("nid").alias(f"nid_{tag}"))
 
-    half = meet(scored, side("a"), "rep_a", "rep_b", "nid_a", None)
-    return meet(half, side("b"), "rep_b", "nid_a", "nid_b", None).drop("rep_a", "rep_b")
+    return scored.join(side("a"), "rep_a").join(side("b"), "rep_b").drop("rep_a", "rep_b")
 
 
 def _likeness(left: str, right: str) -> Column:
