@@ -18,8 +18,12 @@ def title_case(col) -> Column:
     return F.concat_ws("", F.upper(F.left(t, F.lit(1))), F.lower(F.substring(t, 2, 2_000_000)))
 
 
-def digits_only(col) -> Column:
-    return F.regexp_replace(_c(col), "[^0-9]", "")
+def digits_only(col, strip_country_code: bool = False) -> Column:
+    """Digits of a phone number; on request without the leading 1 of an 11-digit one."""
+    digits = F.regexp_replace(_c(col), "[^0-9]", "")
+    if strip_country_code:
+        digits = F.regexp_replace(digits, r"^1(\d{10})$", "$1")
+    return digits
 
 
 def npi(col) -> Column:

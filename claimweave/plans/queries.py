@@ -74,8 +74,7 @@ def _one_rule(rank: int):
 
 def _candidates(spark, sf):
     house = warehouse(spark, sf)
-    people = house.people()
-    pairs = fuzzy.candidates(people, house._rows("_people", people))
+    pairs = fuzzy.candidates(house.people(), house.people_rows())
     named = pairs.select(F.col("rep_a").alias("nid_a"), F.col("rep_b").alias("nid_b"))
     return house.named_pairs(named)
 

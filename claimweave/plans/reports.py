@@ -27,6 +27,7 @@ METRICS = {
                   f" as {MONEY_SUM})",
     "receivable_rows": "count(*)",
     "claims": "count(DISTINCT claim_id)",
+    "claims_approx": "approx_count_distinct(claim_id)",
     "total_lines": "count(*)",
     "denied_lines": "sum(cast(is_denied as int))",
     "denial_rate_pct": "round(100.0D * sum(cast(is_denied as int)) / count(*), 2)",

@@ -87,9 +87,11 @@ class Warehouse:
     def people(self) -> DataFrame:
         return self._once("_people", lambda: fuzzy.profiles(self.tagged()), stored=True)
 
+    def people_rows(self) -> int:
+        return self._rows("_people", self.people())
+
     def scored_for(self, model: Model) -> DataFrame:
-        people = self.people()
-        rows = self._rows("_people", people)
+        people, rows = self.people(), self.people_rows()
         return self._once(f"_scored {model}", lambda: fuzzy.score(
             fuzzy.candidates(people, rows, model), people, model), stored=True)
 

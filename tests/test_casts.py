@@ -62,6 +62,8 @@ def test_title_case_and_lists(spark):
     assert one(spark, "123", casts.npi) is None
     assert one(spark, "(415) 555-1234", casts.digits_only) == "4155551234"
     assert one(spark, "---", casts.digits_only) == ""
+    assert one(spark, "1-415-555-1234", casts.digits_only) == "14155551234"
+    assert one(spark, "1-415-555-1234", lambda c: casts.digits_only(c, True)) == "4155551234"
 
 
 @pytest.mark.parametrize("name, want, strict", [
