@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F, types as T
 
 # Fixed values of the measure: prefix weight, longest prefix counted, and the
@@ -79,3 +82,7 @@ def jaro_winkler_column(left: Column, right: Column) -> Column:
         return score_series(a, b)
 
     return similarity(left, right)
+
+
+# Ship this module's functions with the job, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -74,7 +74,7 @@ def _one_rule(rank: int):
 
 def _candidates(spark, sf):
     house = warehouse(spark, sf)
-    pairs = fuzzy.candidates(house.people(), house.people_rows())
+    pairs = house.candidates_for(house.model)
     named = pairs.select(F.col("rep_a").alias("nid_a"), F.col("rep_b").alias("nid_b"))
     return house.named_pairs(named)
 

@@ -90,10 +90,13 @@ class Warehouse:
     def people_rows(self) -> int:
         return self._rows("_people", self.people())
 
+    def candidates_for(self, model: Model) -> DataFrame:
+        return self._once(f"_candidates {model}", lambda: fuzzy.candidates(
+            self.people(), self.people_rows(), model), stored=True)
+
     def scored_for(self, model: Model) -> DataFrame:
-        people, rows = self.people(), self.people_rows()
         return self._once(f"_scored {model}", lambda: fuzzy.score(
-            fuzzy.candidates(people, rows, model), people, model), stored=True)
+            self.candidates_for(model), self.people(), model), stored=True)
 
     def scored(self) -> DataFrame:
         return self.scored_for(self.model)

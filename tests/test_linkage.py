@@ -1,11 +1,14 @@
 import itertools
 import random
+import subprocess
+import sys
 from decimal import Decimal
 
 import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from claimweave.functions.similarity import jaro_winkler, score_series
@@ -247,3 +250,11 @@ def test_copies_are_compared_once(spark):
     assert fuzzy.candidates(profiles, 40).count() == 1
     assert len(matched(spark, people)) == 400
     assert {r.cluster_id for r in rematch(spine, None).collect()} == {"emr::0"}
+
+
+def test_similarity_needs_no_package_on_the_workers(tmp_path):
+    code = ("import pickle, sys, pandas as pd; f = pickle.loads(sys.stdin.buffer.read());"
+            "print(round(f(pd.Series(['martha']), pd.Series(['marhta']))[0], 4))")
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True,
+                          input=cloudpickle.dumps(score_series), check=True)
+    assert done.stdout.split() == [b"0.9611"]
