@@ -16,7 +16,7 @@ from functools import partial
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .storage import stored
+from .storage import stored, unused
 
 MIN_WORDS = 5
 WORD = r"[^\x20\x09-\x0D]+"
@@ -122,33 +122,38 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text"
     return later.distinct().join(here, ["doc", "place"]).select("doc", "line_no")
 
 
-def _without(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+def _without(batches: Iterator[pa.RecordBatch], text: str, count: bool) -> Iterator[pa.RecordBatch]:
+    """The last column lists the lines to leave out."""
     for batch in batches:
-        at = batch.schema.get_field_index(text)
-        gone_at = batch.schema.get_field_index("_gone")
-        texts = batch.column(at).to_pylist()
-        for i, gone in enumerate(batch.column(gone_at).to_pylist()):
+        at, last = batch.schema.get_field_index(text), batch.num_columns - 1
+        texts, lists = batch.column(at).to_pylist(), batch.column(last).to_pylist()
+        for i, gone in enumerate(lists):
             if gone:
                 gone = set(gone)
                 texts[i] = "\n".join(x for n, x in enumerate(texts[i].split("\n"))
                                      if n not in gone)
         arrays = [pa.array(texts, pa.string()) if i == at else batch.column(i)
-                  for i in range(batch.num_columns) if i != gone_at]
-        names = [n for i, n in enumerate(batch.schema.names) if i != gone_at]
-        counts = pa.array([len(x or ()) for x in batch.column(gone_at).to_pylist()], pa.int32())
-        yield pa.RecordBatch.from_arrays([*arrays, counts], [*names, "n_removed"])
+                  for i in range(last)]
+        if count:
+            arrays.append(pa.array([len(x or ()) for x in lists], pa.int32()))
+        yield pa.RecordBatch.from_arrays(arrays, [f"c{i}" for i in range(len(arrays))])
 
 
 def delete_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text",
-                   id_column: str = "doc_id") -> DataFrame:
-    """The rows of `docs`, their texts without later copies of runs, and `n_removed` lines.
+                   id_column: str = "doc_id", count_column: str | None = "n_removed") -> DataFrame:
+    """The rows of `docs`, their texts without later copies of runs.
 
     Lines without a word stay, and null texts. A document is never removed; its
-    text may become empty.
+    text may become empty. `count_column`, if named, gets the number of removed
+    lines, in place of a column of that name; all other columns stay.
     """
+    if count_column:
+        docs = docs.drop(count_column)
+    doc, lines_gone = unused("_doc", docs), unused("_gone", docs)
     gone = (later_copies(docs, min_words, text, id_column)
-            .groupBy("doc").agg(F.collect_list("line_no").alias("_gone")))
-    joined = (docs.withColumn("_doc", _document(text, id_column))
-              .join(gone.withColumnRenamed("doc", "_doc"), "_doc", "left").drop("_doc"))
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_removed", T.IntegerType())])
-    return joined.mapInArrow(partial(_without, text=text), schema)
+            .groupBy(F.col("doc").alias(doc)).agg(F.collect_list("line_no").alias(lines_gone)))
+    joined = (docs.withColumn(doc, _document(text, id_column)).join(gone, doc, "left")
+              .select(*docs.columns, lines_gone))
+    added = [T.StructField(count_column, T.IntegerType())] if count_column else []
+    return joined.mapInArrow(partial(_without, text=text, count=bool(count_column)),
+                             T.StructType([*docs.schema.fields, *added]))

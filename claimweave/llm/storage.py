@@ -15,3 +15,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = f"{checkpoint_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """`name`, with underscores before it until no column of `df` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
