@@ -15,7 +15,7 @@ def _c(col: Column | str) -> Column:
 def title_case(col) -> Column:
     """First letter upper, the rest lower; NULL reads as the empty string."""
     t = F.trim(_c(col))
-    return F.concat_ws("", F.upper(F.left(t, F.lit(1))), F.lower(F.substring(t, 2, 2_000_000)))
+    return F.concat_ws("", F.upper(F.left(t, F.lit(1))), F.lower(F.substr(t, F.lit(2))))
 
 
 def digits_only(col, strip_country_code: bool = False) -> Column:

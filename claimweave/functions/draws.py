@@ -20,13 +20,3 @@ def draw_int(key, purpose: str, low: int, high: int) -> Column:
 def pick(key, purpose: str, values) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]),
                         draw_int(key, purpose, 1, len(values)))
-
-
-def pick_weighted(key, purpose: str, weighted: dict[str, float]) -> Column:
-    """One of the values, with its share of the total weight."""
-    u, total, reached, out = draw(key, purpose), sum(weighted.values()), 0.0, F
-    *first, last = weighted.items()
-    for value, weight in first:
-        reached += weight
-        out = out.when(u < reached / total, F.lit(value))
-    return out.otherwise(F.lit(last[0]))

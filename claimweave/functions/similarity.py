@@ -14,6 +14,7 @@ from pyspark.sql import Column, functions as F, types as T
 PREFIX_WEIGHT = 0.1
 PREFIX_MAX = 4
 BOOST_ABOVE = 0.7
+MATRIX_BYTES = (16, 32, 64)  # longest words of the groups that are compared as matrices
 
 
 def _as_matrix(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -23,11 +24,59 @@ def _as_matrix(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return flat.reshape(len(words), width), lengths
 
 
+def _one_pair(a: bytes, b: bytes) -> float:
+    """Similarity of one pair in time linear in its length.
+
+    Places of each byte of `b` are taken in order; those that fell behind the
+    reach of the current byte of `a` can never be reached again.
+    """
+    if not a or not b:
+        return 0.0
+    reach = max(max(len(a), len(b)) // 2 - 1, 0)
+    places = [np.flatnonzero(np.frombuffer(b, np.uint8) == byte).tolist() for byte in range(256)]
+    at = [0] * 256
+    hit_a, hit_b = [], []
+    for i, byte in enumerate(a):
+        own, k = places[byte], at[byte]
+        while k < len(own) and own[k] < i - reach:
+            k += 1
+        if k < len(own) and own[k] <= i + reach:
+            hit_a.append(byte)
+            hit_b.append(own[k])
+            k += 1
+        at[byte] = k
+    m = len(hit_a)
+    if not m:
+        return 0.0
+    swaps = sum(x != b[j] for x, j in zip(hit_a, sorted(hit_b))) // 2
+    jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3.0
+    prefix = 0
+    while prefix < min(PREFIX_MAX, len(a), len(b)) and a[prefix] == b[prefix]:
+        prefix += 1
+    return jaro + prefix * PREFIX_WEIGHT * (1.0 - jaro) if jaro > BOOST_ABOVE else jaro
+
+
 def jaro_winkler(left: list[bytes], right: list[bytes]) -> np.ndarray:
     """Similarity of each (left, right) pair of byte strings; an empty side gives 0.
 
-    Works down the columns of padded byte matrices, all pairs of the batch at once.
+    Pairs are grouped by length, so that a long word makes no other pair's work
+    longer; those above MATRIX_BYTES are taken one by one.
     """
+    out = np.zeros(len(left))
+    longest = np.array([max(len(a), len(b)) for a, b in zip(left, right)], np.int64)
+    done = np.zeros(len(left), bool)
+    for limit in MATRIX_BYTES:
+        some = np.flatnonzero(~done & (longest <= limit))
+        if len(some):
+            out[some] = _by_columns([left[i] for i in some], [right[i] for i in some])
+        done[some] = True
+    for i in np.flatnonzero(~done):
+        out[i] = _one_pair(left[i], right[i])
+    return out
+
+
+def _by_columns(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Works down the columns of padded byte matrices, all pairs at once."""
     n = len(left)
     if n == 0:
         return np.zeros(0)

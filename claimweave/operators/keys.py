@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import materialise
+from ..session import stored
 from .skew import attach
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row's place in its low 33 bits
@@ -19,14 +19,14 @@ def row_positions(df: DataFrame, order: list, column: str = "position") -> DataF
     """
     placed = (df.repartitionByRange(*order).sortWithinPartitions(*order)
               .withColumn("_place", F.monotonically_increasing_id()))
-    stored = materialise(placed)
+    kept = stored(placed, "positions")
     part = F.shiftright("_place", _LOCAL_BITS)
     local = F.col("_place").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (stored.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
+    offsets = (kept.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
                .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")))
     # one row per partition, so the broadcast is bounded by the partition count
-    return (stored.withColumn("_part", part)
+    return (kept.withColumn("_part", part)
             .join(F.broadcast(offsets), "_part")
             .withColumn(column, local + F.col("_before") + 1)
             .drop("_part", "_place", "_before"))

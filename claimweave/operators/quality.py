@@ -89,13 +89,24 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
 
 
 def load_quality(landed: DataFrame, columns: list[str]) -> DataFrame:
-    """Per load: rows, repeated hashes, newest load time and filled share per column."""
-    filled = [F.round(F.count(c).cast("double") / F.count("*"), 4).alias(f"{c}_filled")
-              for c in columns]
-    return landed.groupBy("_source_system", "_source_file").agg(
-        F.count("*").alias("landed_rows"),
-        (F.count("*") - F.countDistinct("_row_hash")).alias("repeated_rows"),
-        F.max("_ingested_at").alias("newest_load"), *filled)
+    """Per feed and column: rows, repeated hashes, newest load time, filled share of the column.
+
+    Repeats are counted from one row per hash, so a hot hash is added up before the shuffle.
+    """
+    feed = ["_source_system", "_source_file"]
+    per_hash = landed.groupBy(*feed, "_row_hash").agg(
+        F.count("*").alias("_n"), F.max("_ingested_at").alias("_at"),
+        *[F.count(c).alias(c) for c in columns])
+    counted = per_hash.groupBy(*feed).agg(
+        F.sum("_n").alias("landed_rows"), (F.sum("_n") - F.count("*")).alias("repeated_rows"),
+        F.max("_at").alias("newest_load"), *[F.sum(c).alias(c) for c in columns])
+    listed = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"),
+                 F.round(F.col(c).cast("double") / F.col("landed_rows"), 4).alias("filled_share"))
+        for c in columns]))
+    return counted.select(*feed, "landed_rows", "repeated_rows", "newest_load",
+                          listed.alias("c")).select(
+        *feed, "landed_rows", "repeated_rows", "newest_load", "c.*")
 
 
 def _by_load(landed: list[DataFrame]) -> DataFrame:
@@ -115,6 +126,41 @@ def load_volumes(landed: list[DataFrame], tolerance: float) -> DataFrame:
             .withColumn("unusual", F.coalesce(F.abs("change") > tolerance, F.lit(False))))
 
 
+def cardinality(members: DataFrame, tolerance: float) -> DataFrame:
+    """Members of each dimension by the load day they are first seen on, and unusual growth.
+
+    `members` has (dimension, member, load_day). Growth is the number of new
+    members over that of all known before; above `tolerance` it is a spike.
+    """
+    first = (members.filter("member IS NOT NULL").groupBy("dimension", "member")
+             .agg(F.min("load_day").alias("load_day")))
+    # one row per dimension and load day after the aggregation
+    before = Window.partitionBy("dimension").orderBy("load_day").rowsBetween(
+        Window.unboundedPreceding, -1)
+    growth = F.round(F.col("new_members").cast("double") / F.col("known_before"), 4)
+    return (first.groupBy("dimension", "load_day").agg(F.count("*").alias("new_members"))
+            .withColumn("known_before", F.sum("new_members").over(before))
+            .withColumn("growth", growth)
+            .withColumn("spike", F.coalesce(F.col("growth") > tolerance, F.lit(False))))
+
+
+def fact_volumes(facts: dict[str, tuple[DataFrame, str]], tolerance: float) -> DataFrame:
+    """Rows of each fact by month of its date, the change from the month before, and whether
+    that is unusual. Rows without a date are a month of their own, without a change."""
+    months = reduce(DataFrame.unionByName, [
+        df.groupBy(F.date_format(day, "yyyy-MM").alias("month"))
+        .agg(F.count("*").alias("row_count"))
+        .select(F.lit(name).alias("fact"), "month", "row_count")
+        for name, (df, day) in facts.items()])
+    # one row per fact and month
+    lag = F.lag("row_count").over(
+        Window.partitionBy("fact", F.col("month").isNull()).orderBy("month"))
+    change = F.round((F.col("row_count") - F.col("previous_count")).cast("double")
+                     / F.col("previous_count"), 4)
+    return (months.withColumn("previous_count", lag).withColumn("change", change)
+            .withColumn("unusual", F.coalesce(F.abs("change") > tolerance, F.lit(False))))
+
+
 def freshness(landed: list[DataFrame], as_of: str, max_days: int) -> DataFrame:
     """Newest load per feed, its age in days, and whether that is too old."""
     age = F.datediff(F.lit(as_of).cast("date"), "newest_load")
@@ -143,9 +189,19 @@ def reconcile(fact: DataFrame, source: DataFrame, pairs: dict[str, tuple[str, st
                            (F.col("fact_sum") - F.col("source_sum")).cast("decimal(38,2)"))
 
 
-def masked(df: DataFrame, hashed: list[str], shortened: list[str]) -> DataFrame:
-    """Hide personal values: digest `hashed`, keep only the last two digits of `shortened`."""
-    changes = {c: F.sha2(F.col(c).cast("string"), 256) for c in hashed}
+MASKING_KEY_SETTING = "spark.claimweave.maskingKey"
+TEST_KEY = "key for tests, set your own"
+
+
+def keyed_digest(value: Column, key: str) -> Column:
+    """Digest that cannot be found by trying all values without the key."""
+    inner = F.sha2(F.concat(F.lit(key + "|inner|"), value.cast("string")), 256)
+    return F.sha2(F.concat(F.lit(key + "|outer|"), inner), 256)
+
+
+def masked(df: DataFrame, hashed: list[str], shortened: list[str], key: str) -> DataFrame:
+    """Hide personal values: keyed digest of `hashed`, only the last two digits of `shortened`."""
+    changes = {c: keyed_digest(F.col(c), key) for c in hashed}
     changes |= {c: F.when(F.col(c) != "", F.concat(F.lit("***"), F.right(F.col(c), F.lit(2))))
                 for c in shortened}
     return df.withColumns(changes)

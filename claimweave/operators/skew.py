@@ -1,78 +1,100 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-Hot keys are those above a row limit. There can be at most rows / limit of
-them, and the limit is raised until that is MAX_HOT_KEYS, so the list of hot
-keys that is broadcast has a fixed upper size whatever the data.
+The work of a task is bounded by fixed settings, not by shares of the data:
+`attach` gives a task at most a number of rows of one key, `meet` at most a
+number of row pairs. Keys above that are spread over more tasks. The list of
+such keys holds their 8-byte hashes and is broadcast only where its largest
+possible length is small; otherwise Spark joins it like any other table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_HOT_KEYS = 100_000
-ROW_LIMIT_SETTING = "spark.claimweave.skewRowLimit"
-DEFAULT_ROW_LIMIT = 1_000_000
+ROW_LIMIT_SETTING = "spark.claimweave.rowsPerChunk"
+PAIR_LIMIT_SETTING = "spark.claimweave.pairsPerCell"
+ROWS_PER_CHUNK = 1_000_000
+PAIRS_PER_CELL = 4_000_000
+BROADCAST_KEYS = 1_000_000  # of 12 bytes each
 
 
-def row_limit(df: DataFrame, rows: int) -> int:
-    set_limit = int(df.sparkSession.conf.get(ROW_LIMIT_SETTING, str(DEFAULT_ROW_LIMIT)))
-    return max(set_limit, -(-rows // MAX_HOT_KEYS))
+def _setting(df: DataFrame, name: str, default: int) -> int:
+    return int(df.sparkSession.conf.get(name, str(default)))
 
 
-def _chunks(count: Column, limit: int) -> Column:
-    return F.greatest(F.ceil(count / F.lit(limit)), F.lit(1)).cast("int")
+def _listed(hot: DataFrame, most: int) -> DataFrame:
+    """Broadcast where `most`, the largest possible number of rows, allows it."""
+    return F.broadcast(hot) if most <= BROADCAST_KEYS else hot
+
+
+def _parts(column: str) -> Column:
+    return F.coalesce(F.col(column), F.lit(1))
 
 
 def attach(many: DataFrame, one: DataFrame, key: str, spread: str, rows: int,
            count: str = "n", how: str = "inner") -> DataFrame:
     """Join `one` (one row per key, with the key's row count in `many`) to `many`.
 
-    `rows` is an upper bound for the rows of `many`. Rows of a hot key are
-    spread over chunks by a hash of `spread`; its single row in `one` is copied
-    once per chunk.
+    `rows` is an upper bound for the rows of `many`. Rows of a key above the
+    limit are spread over chunks by a hash of `spread`; its single row in `one`
+    is copied once per chunk.
+    """
+    limit = _setting(many, ROW_LIMIT_SETTING, ROWS_PER_CHUNK)
+    hot = (one.filter(F.col(count) > limit)
+           .groupBy(F.xxhash64(key).alias("_h"))
+           .agg(F.max(F.ceil(F.col(count) / F.lit(limit))).cast("int").alias("_k")))
+    hot = _listed(hot, rows // limit)
+
+    def marked(side: DataFrame) -> DataFrame:
+        return side.withColumn("_h", F.xxhash64(key)).join(hot, "_h", "left").drop("_h")
+
+    left = marked(many).withColumn(
+        "_salt", F.pmod(F.xxhash64(spread), _parts("_k")).cast("int")).drop("_k")
+    right = marked(one).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), _parts("_k") - 1))).drop("_k")
+    return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
+def cells(left: Column, right: Column, pairs: int) -> tuple[Column, Column]:
+    """Into how many parts to cut each side of a key, so that a cell has at most `pairs` pairs.
+
+    A side that is short enough to stay whole is not cut.
     """
-    limit = row_limit(many, rows)
-    if rows <= limit:
-        return many.join(one, key, how)
-    hot = one.filter(F.col(count) > limit).select(key, _chunks(F.col(count), limit).alias("_k"))
-    salted_many = (
-        many.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(spread), F.coalesce("_k", F.lit(1))).cast("int"))
-        .drop("_k")
-    )
-    salted_one = one.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), _chunks(F.col(count), limit) - 1)))
-    return salted_many.join(salted_one, [key, "_salt"], how).drop("_salt")
+    side = int(pairs ** 0.5)
+    both = F.ceil(left.cast("double") * right / pairs)
+    cut_left = F.when(right <= side, both).when(left <= side, 1).otherwise(F.ceil(left / side))
+    cut_right = F.when(right <= side, 1).when(left <= side, both).otherwise(F.ceil(right / side))
+    return cut_left.cast("int"), cut_right.cast("int")
 
 
 def meet(left: DataFrame, right: DataFrame, key: str, left_spread: str, right_spread: str,
          rows: int) -> DataFrame:
     """Equi-join of two sides that may both have the same hot key.
 
-    A hot key is cut into a grid: each side is spread over its own chunks and
-    copied across the chunks of the other side, so every cell is one task's
-    work and each pair of rows meets exactly once. `rows` bounds both sides.
+    A key with more pairs than the limit is cut into a grid: each side is spread
+    over its own parts and copied across the parts of the other side, so every
+    cell is one task's work and each pair of rows meets exactly once. `rows`
+    bounds the rows of either side.
     """
-    limit = row_limit(left, rows)
-    if rows <= limit:
-        return left.join(right, key)
+    pairs = _setting(left, PAIR_LIMIT_SETTING, PAIRS_PER_CELL)
     counts = (
-        left.select(key, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
-        .unionByName(right.select(key, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
-        .groupBy(key).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
-    )
-    hot = counts.filter((F.col("_l") + F.col("_r") > limit) & (F.col("_l") > 0) & (F.col("_r") > 0))
-    hot = F.broadcast(hot.select(key, _chunks(F.col("_l"), limit).alias("_kl"),
-                                 _chunks(F.col("_r"), limit).alias("_kr")))
-
-    def cells(side, spread, own, other, own_k, other_k):
-        k_own, k_other = F.coalesce(own_k, F.lit(1)), F.coalesce(other_k, F.lit(1))
-        return (side.join(hot, key, "left")
-                .withColumn(own, F.pmod(F.xxhash64(spread), k_own).cast("int"))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), k_other - 1)))
-                .drop("_kl", "_kr"))
-
-    kl, kr = F.col("_kl"), F.col("_kr")
-    cut_left = cells(left, left_spread, "_row", "_col", kl, kr)
-    cut_right = cells(right, right_spread, "_col", "_row", kr, kl)
+        left.select(F.xxhash64(key).alias("_h"), F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+        .unionByName(right.select(F.xxhash64(key).alias("_h"), F.lit(0).alias("_l"),
+                                  F.lit(1).alias("_r")))
+        .groupBy("_h").agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r")))
+    row_parts, column_parts = cells(F.col("_l"), F.col("_r"), pairs)
+    hot = (counts.filter(F.col("_l").cast("double") * F.col("_r") > pairs)
+           .select("_h", row_parts.alias("_kl"), column_parts.alias("_kr")))
+    # a key with more pairs than the limit has more rows than twice its root
+    hot = _listed(hot, int(rows / pairs ** 0.5))
+
+    def cut(side: DataFrame, spread: str, own: str, other: str, own_k: str,
+            other_k: str) -> DataFrame:
+        return (side.withColumn("_h", F.xxhash64(key)).join(hot, "_h", "left")
+                .withColumn(own, F.pmod(F.xxhash64(spread), _parts(own_k)).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), _parts(other_k) - 1)))
+                .drop("_h", "_kl", "_kr"))
+
+    cut_left = cut(left, left_spread, "_row", "_col", "_kl", "_kr")
+    cut_right = cut(right, right_spread, "_col", "_row", "_kr", "_kl")
     return cut_left.join(cut_right, [key, "_row", "_col"]).drop("_row", "_col")

@@ -23,8 +23,14 @@ FALLBACK_PROCEDURES = {
 
 
 def _capped(df: DataFrame, order: str, limit: int | None) -> DataFrame:
-    """All rows, or the first `limit` in key order where a feed size is asked for."""
-    return df.orderBy(order).limit(limit) if limit else df
+    """All rows, or the first `limit` where a feed size is asked for.
+
+    Rows are in order of the key, then of all other columns, so that the same
+    rows are taken each time.
+    """
+    if limit is None:
+        return df
+    return df.orderBy(order, *[c for c in df.columns if c != order]).limit(limit)
 
 
 def patients(external: DataFrame, last_updated_at: str, rules: dict[str, Column] | None = None,

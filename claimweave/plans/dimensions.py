@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.names import name_part, organisation_name
 from ..operators.keys import number_rows
@@ -12,16 +14,26 @@ PROVIDER_COLUMNS = ("npi", "first_name", "last_name", "specialty", "org_name", "
                     "address_line1", "city", "state", "zip")
 
 
-def dim_date(spark: SparkSession, first: str = "2022-01-01",
-             last: str = "2027-12-31") -> DataFrame:
-    """One row per day. `fiscal_quarter` holds the fiscal month, as its users expect;
-    `fiscal_month` and `fiscal_quarter_true` say what they are."""
+FACT_DATES = ("snapshot_date", "submitted_date", "service_from_date", "service_to_date")
+
+
+def dim_date(*facts: DataFrame) -> DataFrame:
+    """One row per day of the calendar years that the dates of `facts` reach into.
+
+    `fiscal_quarter` holds the fiscal month, as its users expect; `fiscal_month`
+    and `fiscal_quarter_true` say what they are.
+    """
+    seen = reduce(DataFrame.unionByName, [
+        df.agg(F.min(c).alias("low"), F.max(c).alias("high"))
+        for df in facts for c in FACT_DATES if c in df.columns])
+    years = seen.agg(F.year(F.min("low")).alias("low"), F.year(F.max("high")).alias("high"))
     day = F.col("date_key")
     starts_new = F.month(day) >= FISCAL_START_MONTH
     weekday = F.dayofweek(day) - 1
     fiscal_month = F.pmod(F.month(day) - FISCAL_START_MONTH, F.lit(12)) + 1
-    days = spark.range(1).select(F.explode(F.sequence(
-        F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("date_key"))
+    days = years.select(F.explode(F.sequence(
+        F.make_date("low", F.lit(1), F.lit(1)), F.make_date("high", F.lit(12), F.lit(31))))
+        .alias("date_key"))
     return days.select(
         day, F.year(day).alias("year"), F.quarter(day).alias("quarter"),
         F.month(day).alias("month"), F.date_format(day, "MMMM").alias("month_name"),

@@ -1,153 +1,11 @@
-"""Making test feeds out of clean tables: variants, gaps, draws and histories.
-
-All draws depend on row keys, so the result does not depend on partitioning.
-"""
+"""Filling the gaps of incomplete feeds by rule."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.draws import draw, draw_int, pick, pick_weighted
-from ..operators.keys import row_positions
-
-# Shares, rates and lists the feeds are made with.
-NAME_VARIANTS = {"exact": 0.50, "upper": 0.20, "last_first": 0.15, "middle_initial": 0.15}
-MIDDLE_INITIALS = "ABCDEFGHJKLMNPRSTW"
-DOB_YEAR_RATE = 0.10
-DOB_SWAP_RATE = 0.05
-LINK_GAP_RATE = 0.30
-NPI_GAP_RATE = 0.20
-AGING_SHARES = {"0-30": 0.40, "31-60": 0.25, "61-90": 0.20, "90+": 0.15}
-PROGRESSIONS = (
-    ("received", "scheduled", "completed"),
-    ("received", "scheduled", "completed", "completed"),
-    ("received", "cancelled"),
-    ("received", "scheduled", "cancelled"),
-    ("received", "pending_auth", "scheduled", "completed"),
-)
-CLAIM_STATUS_SHARES = {"paid": 3, "submitted": 2, "denied": 2, "adjusted": 1}
-
-
-def name_variant(first: str, last: str, key) -> tuple[Column, Column]:
-    """First and last name as another system might hold them."""
-    kind = pick_weighted(key, "name variant", NAME_VARIANTS)
-    f, g = F.col(first), F.col(last)
-    initial = pick(key, "middle initial", MIDDLE_INITIALS)
-    return (F.when(kind == "upper", F.upper(f)).when(kind == "last_first", g)
-            .when(kind == "middle_initial", F.concat(f, F.lit(" "), initial, F.lit(".")))
-            .otherwise(f),
-            F.when(kind == "upper", F.upper(g)).when(kind == "last_first", f).otherwise(g))
-
-
-def dob_variant(dob: str, key) -> Column:
-    """Birth date with the year off by one, or day and month swapped, at the fixed rates.
-
-    A year shift that has no such day, and a swap without a month, leave it as it is.
-    """
-    d, u = F.col(dob), draw(key, "dob variant")
-    moved = F.add_months(d, F.when(draw(key, "dob direction") < 0.5, -12).otherwise(12))
-    year = F.when(F.dayofmonth(moved) == F.dayofmonth(d), moved).otherwise(d)
-    swap = F.when(F.dayofmonth(d) <= 12,
-                  F.make_date(F.year(d), F.dayofmonth(d), F.month(d))).otherwise(d)
-    return (F.when(u < DOB_YEAR_RATE, year)
-            .when(u < DOB_YEAR_RATE + DOB_SWAP_RATE, swap).otherwise(d))
-
-
-def with_gaps(column: str, key, rate: float, purpose: str) -> Column:
-    """The column with NULLs at the given rate."""
-    return F.when(draw(key, purpose) >= rate, F.col(column))
-
-
-def other_system_accounts(patients: DataFrame) -> DataFrame:
-    """Billing accounts for clinical patients, with drifted names and dates and missing links."""
-    first, last = name_variant("first_name", "last_name", "emr_patient_id")
-    return patients.select(
-        F.concat(F.lit("A-"), "emr_patient_id").alias("rcm_account_id"),
-        with_gaps("emr_patient_id", "emr_patient_id", LINK_GAP_RATE, "link gap")
-        .alias("emr_patient_id"),
-        first.alias("patient_first_name"), last.alias("patient_last_name"),
-        dob_variant("dob", "emr_patient_id").alias("dob"),
-        "address_line1", "city", "state", "zip")
-
-
-def assigned(children: DataFrame, child_key: str, parents: DataFrame, parent_key: str,
-             purpose: str, alias: str) -> DataFrame:
-    """Give every child a parent drawn with replacement.
-
-    Parents are numbered without a one-task sort; each child draws a number and
-    joins on it.
-    """
-    placed = row_positions(parents.select(F.col(parent_key).alias(alias)).distinct(),
-                           [F.col(alias).asc_nulls_last()], "_position")
-    size = placed.agg(F.count("*").alias("n")).first()["n"]
-    return (children.withColumn("_position", draw_int(child_key, purpose, 1, size))
-            .join(placed, "_position").drop("_position"))
-
-
-def _amount(cents: Column) -> Column:
-    return (cents / 100).cast("decimal(12,2)")
-
-
-def _share(cents: Column, per_mille: Column) -> Column:
-    return F.floor(cents * per_mille / 1000)
-
-
-def money_lines(keys: DataFrame, key: str) -> DataFrame:
-    """Charge, allowed and paid amounts that fit together (charge >= allowed >= paid)."""
-    charge = F.floor((draw(key, "charge") * 2950 + 50) * 100)
-    allowed = _share(F.col("charge"), draw_int(key, "allowed", 400, 950))
-    paid = _share(F.col("allowed"), draw_int(key, "paid", 600, 1000))
-    return (keys.select(key, charge.alias("charge")).withColumn("allowed", allowed)
-            .select(key, _amount(F.col("charge")).alias("charge_amount"),
-                    _amount(F.col("allowed")).alias("allowed_amount"),
-                    _amount(paid).alias("paid_amount")))
-
-
-def balances(keys: DataFrame, key: str) -> DataFrame:
-    """Total balance split into payer and patient parts that add up to it, with a bucket."""
-    total = F.floor(draw(key, "balance") * 400000)
-    payer = _share(F.col("total"), draw_int(key, "payer share", 0, 1000))
-    return (keys.select(key, total.alias("total")).withColumn("payer", payer)
-            .select(key, _amount(F.col("total")).alias("total_balance"),
-                    _amount(F.col("payer")).alias("payer_responsibility_balance"),
-                    _amount(F.col("total") - F.col("payer"))
-                    .alias("patient_responsibility_balance"),
-                    pick_weighted(key, "aging", AGING_SHARES).alias("aging_bucket")))
-
-
-def status_histories(orders: DataFrame, key: str, start: str) -> DataFrame:
-    """One progression per order, its steps 1 to 14 days apart."""
-    steps = F.element_at(
-        F.array(*[F.array(*[F.lit(s) for s in p]) for p in PROGRESSIONS]),
-        draw_int(key, "progression", 1, len(PROGRESSIONS)))
-    longest = max(len(p) for p in PROGRESSIONS)
-    offsets, total = [F.lit(0)], F.lit(0)
-    for i in range(1, longest):
-        total = total + draw_int(key, f"step {i}", 1, 14)
-        offsets.append(total)
-    return (orders.select(key, F.col(start).cast("date").alias("_start"),
-                          F.array(*offsets).alias("_days"), F.posexplode(steps))
-            .select(key, F.col("pos").alias("step"), F.col("col").alias("status"),
-                    F.date_add("_start", F.get("_days", F.col("pos"))).alias("status_date")))
-
 
 def fill_missing(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Fill gaps per column from a rule; values that are there stay."""
     return df.withColumns({
         c: F.coalesce(F.col(c), rule) if c in df.columns else rule for c, rule in rules.items()})
-
-
-def claims_of_encounters(encounters: DataFrame, providers: DataFrame, payers) -> DataFrame:
-    """One claim per encounter: its dates, a drawn provider, payer, amount and status."""
-    key = "emr_encounter_id"
-    day = F.col("start_time").cast("date")
-    drawn = assigned(encounters.select(key, "emr_patient_id", "facility_id", "start_time"), key,
-                     providers.filter("npi IS NOT NULL"), "npi", "claim provider",
-                     "billing_provider_npi")
-    return drawn.select(
-        F.concat(F.lit("CLM_"), key).alias("claim_id"), key, "emr_patient_id", "facility_id",
-        "billing_provider_npi", pick(key, "claim payer", payers).alias("payer_name"),
-        F.floor(draw(key, "claim amount") * 4500 + 500).cast("decimal(12,2)")
-        .alias("total_charge_amount"),
-        pick_weighted(key, "claim status", CLAIM_STATUS_SHARES).alias("claim_status"),
-        day.alias("submitted_date"), day.alias("service_from_date"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.similarity import jaro_winkler_column
 from ..operators.agreement import Agreement, Model, agreements
 from ..operators.skew import attach, meet
+from ..session import stored
 
 COMPONENTS = ("last_name_score", "first_name_score", "dob_score", "phone_score",
               "address_score", "email_score")
@@ -195,16 +196,18 @@ def fuzzy_members(tagged: DataFrame, people: DataFrame, scored: DataFrame,
         "nid", "rep", "confidence")
 
 
-def record_pairs(scored: DataFrame, members: DataFrame) -> DataFrame:
+def record_pairs(scored: DataFrame, members: DataFrame, rows: int) -> DataFrame:
     """Profile pairs written out as record pairs, as large as the answer itself.
 
-    Both inputs are stored tables, so both sides of each join come straight from
-    a shuffle and the adaptive skew join can split a profile with many records.
+    A profile with many records is spread by pairs of rows in either join.
+    `rows` bounds the rows of the members and of the pairs of profiles.
     """
     def side(tag):
         return members.select(F.col("rep").alias(f"rep_{tag}"), F.col("nid").alias(f"nid_{tag}"))
 
-    return scored.join(side("a"), "rep_a").join(side("b"), "rep_b").drop("rep_a", "rep_b")
+    half = stored(meet(scored, side("a"), "rep_a", "rep_b", "nid_a", rows), "pair-halves")
+    return meet(half, side("b"), "rep_b", "nid_a", "nid_b", max(rows, half.count())).drop(
+        "rep_a", "rep_b")
 
 
 def _likeness(left: str, right: str) -> Column:
@@ -214,18 +217,29 @@ def _likeness(left: str, right: str) -> Column:
     return F.coalesce(F.when(longest > 0, ratio).otherwise(F.lit(1.0)), F.lit(0.0))
 
 
-def edit_distance_score(scored: DataFrame, people: DataFrame) -> DataFrame:
-    """Alternative score of already scored pairs: 0.3 first name, 0.3 last name,
-    0.2 birth-year distance, 0.2 address; accepted from 0.75."""
+EDIT_THRESHOLD = "0.75"
+
+
+def edit_distance_score(pairs: DataFrame, people: DataFrame,
+                        threshold: str = EDIT_THRESHOLD) -> DataFrame:
+    """Alternative score of profile pairs: 0.3 first name, 0.3 last name,
+    0.2 birth-year distance, 0.2 address; pairs from `threshold` on.
+
+    `pairs` must be those of the plain blocks: equal birth years alone leave so
+    much to the names that no smaller set of agreements follows from the score.
+    """
+    traits = ("first", "last", "dob", "street", "city", "zip")
+
     def side(tag):
         return people.select(F.col("rep").alias(f"rep_{tag}"),
-                             *[F.col(t).alias(f"{t}_{tag}") for t in ("first", "last", "dob")])
+                             *[F.col(t).alias(f"{t}_{tag}") for t in traits])
 
-    wide = scored.join(side("a"), "rep_a").join(side("b"), "rep_b")
+    wide = pairs.join(side("a"), "rep_a").join(side("b"), "rep_b").withColumn(
+        "address_score", _level(_place_relation(), Model().address_levels, None))
     years = F.abs(F.year("dob_a") - F.year("dob_b"))
     dated = F.coalesce(1.0 - F.least(years, F.lit(100)) / 100.0, F.lit(0.0))
     total = (_likeness("first_a", "first_b") * 0.3 + _likeness("last_a", "last_b") * 0.3
              + dated * 0.2 + F.col("address_score").cast("double") * 0.2)
     return (wide.withColumn("edit_score", F.round(total, 3).cast("decimal(4,3)"))
-            .withColumn("accepted", F.col("edit_score") >= F.lit(Decimal("0.75")))
-            .select("rep_a", "rep_b", "edit_score", "accepted"))
+            .filter(F.col("edit_score") >= F.lit(Decimal(threshold)))
+            .select("rep_a", "rep_b", "edit_score"))

@@ -1,4 +1,4 @@
-"""Matching new records against everything while keeping earlier decisions."""
+"""Matching new, changed and withdrawn records while keeping earlier decisions."""
 
 from __future__ import annotations
 
@@ -7,66 +7,95 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.agreement import Model
 from ..operators.components import connected_components
 from ..operators.skew import attach
-from ..session import materialise
+from ..session import stored
 from . import fuzzy, identity
 from .rules import RULES, rule_groups, rule_members
 
+KEY = ["source_system", "source_patient_key"]
+
+
+def with_digest(spine: DataFrame) -> DataFrame:
+    """Spine records with a digest of all that matching looks at."""
+    seen = [c for c in spine.columns if c not in ("nid", "node")]
+    marked = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in seen]
+    return spine.withColumn("digest", F.md5(F.concat_ws("\x1f", *marked)))
+
 
 def new_rule_links(members: DataFrame, fresh: DataFrame, rows: int) -> DataFrame:
-    """Rule links of the groups that gained a record; other groups keep what they have."""
+    """Rule links of the groups that hold a fresh record; other groups keep what they have."""
     touched = members.join(fresh, "nid", "left_semi").select("grp").distinct()
-    groups = rule_groups(members).join(touched, "grp", "left_semi")
-    return attach(members, groups, "grp", "nid", rows).select("nid", "rule", "hub")
+    inside = stored(members.join(touched, "grp", "left_semi"), "touched-members")
+    return attach(inside, rule_groups(inside), "grp", "nid", rows).select("nid", "rule", "hub")
 
 
 def new_scored(people: DataFrame, rows: int, model: Model = Model()) -> DataFrame:
-    """Scored profile pairs with a new record on at least one side."""
+    """Scored profile pairs with a fresh record on at least one side."""
     fresh = people.filter("fresh")
     pairs = (fuzzy.candidates(fresh, rows, model, against=people)
              .unionByName(fuzzy.candidates(people, rows, model, against=fresh)).distinct())
     return fuzzy.score(pairs, people, model)
 
 
-def _unmatched(spine: DataFrame) -> DataFrame:
-    no_text, no_conf = F.lit(None).cast("string"), F.lit(None).cast("decimal(4,3)")
-    return spine.select("*", no_text.alias("old_cluster"), no_conf.alias("match_confidence"),
-                        no_text.alias("match_method"))
+def _state(spine: DataFrame, earlier: DataFrame | None) -> DataFrame:
+    """Each record with its old cluster, confidence and method, all NULL if it is fresh.
+
+    Fresh are new and changed records, and all records of a cluster that lost
+    one or had one changed: what held the cluster together may be gone.
+    """
+    digested = with_digest(spine)
+    if earlier is None:
+        return digested.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
+            ("old_cluster", "string"), ("match_confidence", "decimal(4,3)"),
+            ("match_method", "string"))])
+    old = earlier.select(*KEY, F.col("digest").alias("old_digest"),
+                         F.col("cluster_id").alias("old_cluster"), "match_confidence",
+                         "match_method")
+    joined = stored(digested.join(old, KEY, "full"), "incremental-state")
+    lost = F.col("nid").isNull() | (F.col("digest") != F.col("old_digest"))
+    broken = joined.filter(F.col("old_cluster").isNotNull() & lost).select(
+        "old_cluster").distinct().withColumn("broken", F.lit(True))
+    known = joined.filter("nid IS NOT NULL").join(broken, "old_cluster", "left")
+    kept = F.col("broken").isNull() & F.col("old_cluster").isNotNull()
+    return known.select(*digested.columns, *[F.when(kept, F.col(c)).alias(c) for c in (
+        "old_cluster", "match_confidence", "match_method")])
 
 
 def rematch(spine: DataFrame, earlier: DataFrame | None, model: Model = Model()) -> DataFrame:
-    """Crosswalk of the whole spine, computing only what involves records not in `earlier`.
+    """Crosswalk of the whole spine, matching only what involves fresh records.
 
-    `earlier` is the stored crosswalk (None at the very start). Its clusters enter as ties between each
-    record and the first record of its cluster, its confidences as evidence;
-    patient ids derive from the cluster's first record, so they stay unless a
-    cluster gains an earlier record or merges.
+    `earlier` is the stored crosswalk of a former run, with its `digest` (None at
+    the very start). An intact old cluster enters as one node, its smallest
+    record, so only new ties are followed; its confidences stay as evidence.
+    Patient ids derive from the cluster's first record, so they stay unless a
+    cluster gains an earlier record, loses its first one or merges.
     """
     rows = spine.count()
-    if earlier is None:
-        state = _unmatched(spine)
-    else:
-        kept = earlier.select("source_system", "source_patient_key",
-                              F.col("cluster_id").alias("old_cluster"),
-                              "match_confidence", "match_method")
-        state = materialise(spine.join(kept, ["source_system", "source_patient_key"], "left"))
+    state = stored(_state(spine, earlier), "incremental-known")
     fresh = state.filter("old_cluster IS NULL").select("nid")
-    members = materialise(rule_members(spine))
-    links = materialise(new_rule_links(members, fresh, rows * len(RULES)))
+    members = stored(rule_members(spine), "incremental-members")
+    links = stored(new_rule_links(members, fresh, rows * len(RULES)), "incremental-links")
     flagged = fuzzy.with_profile(spine).join(fresh.withColumn("new", F.lit(True)), "nid", "left")
-    people = materialise(
+    people = stored(
         flagged.groupBy("profile", "system", *fuzzy.TRAITS)
         .agg(F.min("nid").alias("rep"), F.count("*").alias("n"),
-             F.max(F.coalesce("new", F.lit(False))).alias("fresh")))
-    scored = materialise(new_scored(people, people.count(), model))
-    fuzzy_rows = materialise(fuzzy.fuzzy_members(flagged, people, scored, rows))
-
-    roots = spine.select("nid", "node")
-    old_ties = (state.filter("old_cluster IS NOT NULL")
-                .select(F.col("nid").alias("v"), F.col("old_cluster").alias("node"))
-                .join(roots.withColumnRenamed("nid", "u"), "node").select("u", "v"))
-    ties = identity.match_edges(links, fuzzy_rows, scored).unionByName(old_ties)
-    labels = connected_components(ties).select(F.col("id").alias("nid"),
-                                               F.col("component").alias("label"))
+             F.max(F.coalesce("new", F.lit(False))).alias("fresh")), "incremental-people")
+    scored = stored(new_scored(people, people.count(), model), "incremental-scored")
+    fuzzy_rows = stored(fuzzy.fuzzy_members(flagged, people, scored, rows), "incremental-fuzzy")
+
+    sizes = state.filter("old_cluster IS NOT NULL").groupBy("old_cluster").agg(
+        F.min("nid").alias("root"), F.count("*").alias("n"))
+    roots = stored(attach(state.filter("old_cluster IS NOT NULL").select("nid", "old_cluster"),
+                          sizes, "old_cluster", "nid", rows).select("nid", "root"),
+                   "incremental-roots")
+    ties = identity.match_edges(links, fuzzy_rows, scored)
+    for end in ("u", "v"):
+        ties = ties.join(roots.withColumnRenamed("nid", end), end, "left").withColumn(
+            end, F.coalesce("root", end)).drop("root")
+    found = connected_components(ties.filter("u <> v"))
+    names = state.select("nid").join(roots, "nid", "left").withColumn(
+        "root", F.coalesce("root", "nid"))
+    labels = names.join(found.withColumnRenamed("id", "root"), "root", "left").select(
+        "nid", F.coalesce("component", "root").alias("label"))
     # earlier evidence joins the new on equal terms
     ranks = {name: i for i, name in enumerate(r.name for r in RULES)}
     old_rule = F.coalesce(*[F.when(F.col("match_method") == n, F.lit(i)) for n, i in ranks.items()])
@@ -75,5 +104,6 @@ def rematch(spine: DataFrame, earlier: DataFrame | None, model: Model = Model())
         "nid", "rule", F.lit(None).cast("long").alias("hub"))
     old_scores = matched.filter("rule IS NULL").select(
         "nid", F.lit(None).cast("long").alias("rep"), F.col("match_confidence").alias("confidence"))
-    return identity.crosswalk(spine, labels, links.unionByName(old_links),
-                              fuzzy_rows.unionByName(old_scores), rows, stable_ids=True)
+    walked = identity.crosswalk(spine, labels, links.unionByName(old_links),
+                                fuzzy_rows.unionByName(old_scores), rows, stable_ids=True)
+    return walked.join(state.select("nid", "digest"), "nid")

@@ -10,19 +10,27 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.draws import pick
 from ..operators.agreement import Model
-from ..operators.quality import freshness, load_quality, load_volumes, masked, reconcile
+from ..operators import quality
+from ..operators.quality import freshness, load_volumes, masked, reconcile
+from ..operators.skew import meet
 from ..operators.typed import clean
-from ..session import checkpoint_dir, materialise
+from ..session import checkpoint_dir, stored
+from ..sources.delimited import land_folder, register_views
 from ..sources.layout import SOURCES
 from ..sources.lineage import audit_columns
 from ..sources.samples import PAYERS, external, landed
-from . import (checks, clinical, dimensions, evaluation, fixtures, fuzzy, graph, identity,
+from ..sources.sinks import write_csv
+from ..streaming.upsert import current_rows, start_upsert
+from . import (checks, clinical, consistency, dimensions, evaluation, fixtures, graph, identity,
                incremental, reports, rules as rule_plan)
+from .spine import numbered
 from .warehouse import Warehouse
 
 _BUILT: dict[tuple[str, str], Warehouse] = {}
 
-REVIEW = Model(threshold="0.65")
+# Pairs that score at least this much, but too little to be accepted, are worth a look by hand.
+REVIEW_FLOOR = "0.65"
+REVIEW = Model(threshold=REVIEW_FLOOR)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -63,7 +71,8 @@ def _raw_key_diagnosis(spark, sf):
 def _one_rule(rank: int):
     def run(spark, sf):
         house = warehouse(spark, sf)
-        pairs = house.rule_pairs().filter(F.col("rule") == rank)
+        members = house.members().filter(F.col("rule") == rank)
+        pairs = rule_plan.rule_pairs(members, house.spine_rows())
         rule = F.col("rule")
         return house.named_pairs(pairs).select(
             "source_system_a", "source_key_a", "source_system_b", "source_key_b",
@@ -85,16 +94,29 @@ def _review_queue(spark, sf):
 
 
 def _edit_distance(spark, sf):
+    """Record pairs of the plain blocks that the edit-distance score accepts."""
     house = warehouse(spark, sf)
-    pairs = fuzzy.edit_distance_score(house.scored_for(REVIEW), house.people())
-    named = pairs.select(F.col("rep_a").alias("nid_a"), F.col("rep_b").alias("nid_b"),
-                         "edit_score", "accepted")
-    return house.named_pairs(named)
+    return house.named_pairs(house.edit_pairs())
+
+
+def _review_records(spark, sf):
+    return warehouse(spark, sf).review_records(REVIEW)
+
+
+def _hot_key_pairs(spark, sf):
+    """Pairs of orders per customer, with a third of all orders under one customer."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select(
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("o_custkey")).alias("k"),
+        "o_orderkey")
+    left = orders.select("k", F.col("o_orderkey").alias("a"))
+    right = orders.select("k", F.col("o_orderkey").alias("b"))
+    pairs = meet(left, right, "k", "a", "b", orders.count()).filter("a < b")
+    return pairs.groupBy("k").agg(F.count("*").alias("pairs"))
 
 
 def _evidence(spark, sf):
     house = warehouse(spark, sf)
-    scored = fuzzy.record_pairs(house.scored(), house.fuzzy_members())
+    scored = house.record_pairs()
     return house.named_pairs(evaluation.match_evidence(house.rule_pairs(), scored))
 
 
@@ -129,8 +151,40 @@ def _checks(declared):
 
 
 def _load_quality(spark, sf):
-    return load_quality(landed(spark, sf, "rcm_claim_line"),
-                        ["claim_id", "line_num", "cpt_code", "denial_code"])
+    return reduce(DataFrame.unionByName, [
+        quality.load_quality(landed(spark, sf, n), s.columns) for n, s in SOURCES.items()])
+
+
+DIMENSION_MEMBERS = {
+    "provider": ("emr_provider", "emr_provider_id"), "payer": ("rcm_claim_header", "payer_name"),
+    "facility": ("emr_encounter", "facility_id"), "patient": ("emr_patient", "emr_patient_id"),
+    "counterparty": ("referral_order", "counterparty_org_name")}
+
+
+def _cardinality(spark, sf):
+    members = reduce(DataFrame.unionByName, [
+        landed(spark, sf, table).select(
+            F.lit(name).alias("dimension"), F.col(column).alias("member"),
+            F.col("_ingested_at").cast("date").alias("load_day"))
+        for name, (table, column) in DIMENSION_MEMBERS.items()])
+    return quality.cardinality(members, tolerance=0.5)
+
+
+def _fact_volumes(spark, sf):
+    house = warehouse(spark, sf)
+    return quality.fact_volumes({
+        "fact_receivable": (house.table("fact_receivable"), "snapshot_date"),
+        "fact_patient_balance": (house.table("fact_patient_balance"), "snapshot_date"),
+        "fact_claim_line": (house.table("fact_claim_line"), "submitted_date")}, tolerance=0.2)
+
+
+def _reconcile_balances(spark, sf):
+    house = warehouse(spark, sf)
+    return reconcile(house.table("fact_patient_balance"),
+                     house.table("fact_receivable").filter("patient_id IS NOT NULL"), {
+                         "outstanding": ("total_outstanding", "total_ar_balance"),
+                         "payer": ("total_payer_balance", "payer_balance"),
+                         "patient": ("total_patient_balance", "patient_balance")})
 
 
 def _orphans(spark, sf):
@@ -152,7 +206,8 @@ def _reconcile(fact, source, pairs):
 
 
 def _masked(spark, sf):
-    return masked(warehouse(spark, sf).clean("emr_patient"), ["ssn_last4"], ["phone"]).select(
+    key = spark.conf.get(quality.MASKING_KEY_SETTING, quality.TEST_KEY)
+    return masked(warehouse(spark, sf).clean("emr_patient"), ["ssn_last4"], ["phone"], key).select(
         "emr_patient_id", "ssn_last4", "phone")
 
 
@@ -175,11 +230,9 @@ def _freshness(spark, sf):
     return freshness([landed(spark, sf, n) for n in SOURCES], "2024-06-10", max_days=7)
 
 
-def _incremental(spark, sf):
-    """All but the last load day matched first, the rest added to it."""
-    house = warehouse(spark, sf)
-    spine = house.spine()
-    last_day = house.clean("emr_patient").select(
+def _last_day(house) -> DataFrame:
+    """Keys of the patient records of the last load day."""
+    return house.clean("emr_patient").select(
         F.lit("emr").alias("source_system"), F.col("emr_patient_id").alias("source_patient_key"),
         "_ingested_at").unionByName(house.clean("rcm_patient_account").select(
             F.lit("rcm"), "rcm_account_id", "_ingested_at").toDF(
@@ -188,22 +241,89 @@ def _incremental(spark, sf):
             F.lit("referral"), "referral_order_id", "_ingested_at").toDF(
                 "source_system", "source_patient_key", "_ingested_at")).filter(
         "_ingested_at >= timestamp_ntz'2024-06-03 00:00:00'")
-    before = spine.join(last_day, ["source_system", "source_patient_key"], "left_anti")
-    earlier = materialise(incremental.rematch(before, None))
+
+
+def _after(earlier_spine, spine) -> DataFrame:
+    earlier = stored(incremental.rematch(earlier_spine, None), "earlier-match")
     return incremental.rematch(spine, earlier).select(
         "source_system", "source_patient_key", "cluster_id", "match_confidence", "match_method",
         "patient_id")
 
 
-def _accounts(spark, sf):
-    return fixtures.other_system_accounts(warehouse(spark, sf).clean("emr_patient"))
+def _incremental(spark, sf):
+    """All but the last load day matched first, the rest added to it."""
+    house = warehouse(spark, sf)
+    before = house.spine().join(_last_day(house), ["source_system", "source_patient_key"],
+                                "left_anti")
+    return _after(before, house.spine())
 
 
-def _assigned(spark, sf):
+def _incremental_changed(spark, sf):
+    """The last load day's records matched first with the phone and zip of others, then as they are."""
     house = warehouse(spark, sf)
-    return fixtures.assigned(
-        house.clean("rcm_claim_header").select("claim_id"), "claim_id",
-        house.clean("rcm_patient_account"), "rcm_account_id", "account", "rcm_account_id")
+    marked = house.spine().join(_last_day(house).withColumn("_late", F.lit(True)).drop(
+        "_ingested_at"), ["source_system", "source_patient_key"], "left")
+    late = F.col("_late").isNotNull()
+    before = marked.withColumns({
+        "phone": F.when(late, F.lit("4150000000")).otherwise(F.col("phone")),
+        "mrn": F.when(late, F.concat(F.lit("SHARED"), F.right("mrn", F.lit(1))))
+        .otherwise(F.col("mrn")),
+        "last_name": F.when(late, F.upper("first_name")).otherwise(F.col("last_name"))}).drop("_late")
+    return _after(before.select(house.spine().columns), house.spine())
+
+
+def _incremental_withdrawn(spark, sf):
+    """Matched first with a second copy of the last load day's records, which is then withdrawn.
+
+    The copies come first in order, so they name clusters and tie others together.
+    """
+    house = warehouse(spark, sf)
+    spine = house.spine()
+    copies = spine.join(_last_day(house), ["source_system", "source_patient_key"],
+                        "left_semi").withColumns({
+        "source_patient_key": F.concat(F.lit("0"), "source_patient_key"),
+        "mrn": F.concat(F.lit("SHARED"), F.right("mrn", F.lit(1)))})
+    before = numbered(spine.drop("nid", "node").unionByName(copies.drop("nid", "node")))
+    return _after(before.select(spine.columns), spine)
+
+
+def _csv_round_trip(spark, sf):
+    """Every source written as CSV with other columns, landed again, one row hash per row."""
+    base = f"{checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    for name, source in SOURCES.items():
+        rows = landed(spark, sf, name)
+        # last column first, one column missing, one too many
+        shuffled = [source.columns[-1], *source.columns[:-1]]
+        missing = _missing_column(source)
+        write_csv(rows.select(*[c for c in shuffled if c != missing],
+                              F.lit("surplus").alias("not_declared")),
+                  f"{base}/feeds/{source.system}/{source.file}")
+    land_folder(spark, f"{base}/feeds", f"{base}/landed", "batch-1")
+    views = register_views(spark, f"{base}/landed")
+    return reduce(DataFrame.unionByName, [
+        spark.table(view).select(
+            F.lit(name).alias("table_name"),
+            F.md5(F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("nan"))
+                                     for c in SOURCES[name].columns])).alias("values_hash"))
+        for name, view in zip(SOURCES, views)])
+
+
+def _missing_column(source) -> str:
+    """The column that the round trip leaves out: the last but one that is no key."""
+    return [c for c in source.columns if c not in source.key][-1]
+
+
+def _stream_merged(spark, sf):
+    """Claims written as CSV in three batches, the later ones with earlier rows again, as a stream."""
+    source = SOURCES["rcm_claim_header"]
+    base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    rows = landed(spark, sf, source.name).select(*source.columns)
+    share = F.pmod(F.xxhash64("claim_id"), F.lit(9))
+    for wanted in ((0, 1, 2), (0, 3, 4, 5), (1, 3, 6, 7, 8)):
+        write_csv(rows.filter(share.isin(*wanted)), f"{base}/feed", mode="append")
+        start_upsert(spark, f"{base}/feed", f"{base}/table", f"{base}/progress", source.name,
+                     once=True).awaitTermination()
+    return current_rows(spark, f"{base}/table", source.name).select(*source.columns)
 
 
 def _filled(spark, sf):
@@ -217,6 +337,10 @@ def _external_patients(spark, sf):
     return clinical.patients(external(spark, sf, "patients"), LOADED_AT)
 
 
+def _external_head(spark, sf):
+    return clinical.patients(external(spark, sf, "patients"), LOADED_AT, limit=100)
+
+
 def _external_providers(spark, sf):
     return clinical.providers(external(spark, sf, "providers"),
                               external(spark, sf, "organizations"))
@@ -285,7 +409,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bi_denial_rate_payer": _over(reports.denial_rate, lines, "dim_payer"),
         "bi_denial_payer_cpt_facility": _over(reports.denial_by_payer_cpt_facility, lines),
         "bi_bucket_summary": _over(reports.bucket_summary, receivable),
-        "bi_aging_levels": _over(reports.aging_levels, receivable),
+        "bi_aging_levels": _over(reports.aging_levels, receivable, "bridge_pair", "dim_counterparty_org"),
         "bi_turnaround": _over(reports.turnaround, "referral_order_status_history"),
         "bi_turnaround_summary": _over(reports.turnaround_summary,
                                        "referral_order_status_history"),
@@ -298,19 +422,37 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "total_lines", "denied_lines", "denial_rate_pct", "charged", "paid",
             "collection_pct"]),
         "er_incremental": _incremental,
+        "er_incremental_changed": _incremental_changed,
+        "er_incremental_withdrawn": _incremental_withdrawn,
+        "er_hot_key_pairs": _hot_key_pairs,
+        "er_review_records": _review_records,
+        "bronze_csv_round_trip": _csv_round_trip,
+        "stream_merged_claims": _stream_merged,
+        "bi_ar_by_fiscal_period": _over(reports.ar_by_fiscal_period, receivable, "dim_date"),
+        "bi_denial_by_fiscal_period": _over(reports.denial_by_fiscal_period, lines, "dim_date"),
+        "bi_ar_aging_counterparty": _over(reports.aging_by_counterparty, receivable,
+                                          "bridge_pair", "dim_counterparty_org"),
+        "dq_cardinality": _cardinality,
+        "dq_fact_volumes": _fact_volumes,
+        "dq_reconcile_claim_line": _reconcile(lines, "rcm_claim_line", {
+            c: (f"{c}_amount", f"{c}_amount") for c in ("charge", "allowed", "paid")}),
+        "dq_reconcile_patient_balance": _reconcile_balances,
+        "external_patients_head": _external_head,
         "dim_provider_registry": _registry_providers,
         "graph_entities": _over(graph.entities, "dim_provider", "referral_order"),
         "graph_identifiers": _over(graph.identifiers, "dim_provider", "referral_order"),
         "graph_edges": _over(graph.edges, "dim_provider", "referral_order", "rcm_claim_header"),
-        "fixture_accounts": _accounts,
-        "fixture_money_lines": _over(fixtures.money_lines, "rcm_claim_header", key="claim_id"),
-        "fixture_balances": _over(fixtures.balances, "rcm_claim_header", key="claim_id"),
-        "fixture_status_history": _over(fixtures.status_histories, "referral_order",
-                                        key="referral_order_id", start="referral_created_at"),
-        "fixture_assigned_accounts": _assigned,
+        "fixture_accounts": _over(consistency.account_drift, "rcm_patient_account",
+                                  "emr_patient"),
+        "fixture_money_lines": _over(consistency.money_by_claim, "rcm_claim_line"),
+        "fixture_balances": _over(consistency.balances_by_claim, "rcm_ar_balance_snapshot"),
+        "fixture_status_history": _over(consistency.status_steps,
+                                        "referral_order_status_history"),
+        "fixture_assigned_accounts": _over(consistency.account_of_claims, "rcm_claim_header",
+                                           "rcm_patient_account"),
+        "fixture_claims_of_encounters": _over(consistency.claims_by_encounter, "emr_encounter",
+                                              "rcm_patient_account", "rcm_claim_header"),
         "fixture_filled_headers": _filled,
-        "fixture_claims_of_encounters": _over(fixtures.claims_of_encounters, "emr_encounter",
-                                              "emr_provider", payers=PAYER_NAMES),
         "external_patients": _external_patients,
         "external_providers": _external_providers,
         "external_encounters": _external_of(clinical.encounters, "encounters"),

@@ -113,8 +113,55 @@ def bucket_summary(receivable: DataFrame, snapshot_date: str | None = None) -> D
                  F.round(total.cast("double") / F.count("*"), 2).alias("average_ar")))
 
 
-def aging_levels(receivable: DataFrame) -> DataFrame:
-    """Aging by payer, by facility and overall in one pass of grouping sets."""
+def aging_by_counterparty(receivable: DataFrame, pairs: DataFrame,
+                          firms: DataFrame) -> DataFrame:
+    """Balances by firm and aging bucket; a balance counts for every firm of its patient.
+
+    Balances are added up per patient before they meet the firms.
+    """
+    per_claim = receivable.groupBy("patient_id", "aging_bucket", "claim_id").agg(
+        F.sum("total_ar_balance").alias("ar"), F.count("*").alias("n"))
+    per_patient = per_claim.groupBy("patient_id", "aging_bucket").agg(
+        F.sum("ar").alias("ar"), F.count("*").alias("claims"), F.sum("n").alias("n"))
+    return (per_patient.join(pairs.select("patient_id", "counterparty_org_key"), "patient_id")
+            .groupBy("counterparty_org_key", "aging_bucket")
+            .agg(F.sum("ar").cast(MONEY_SUM).alias("total_ar"), F.sum("claims").alias("claims"),
+                 F.sum("n").alias("receivable_rows"))
+            .join(firms.select("counterparty_org_key", "counterparty_org_name"),
+                  "counterparty_org_key")
+            .select("counterparty_org_key", "counterparty_org_name", "aging_bucket", "total_ar",
+                    "claims", "receivable_rows"))
+
+
+def ar_by_fiscal_period(receivable: DataFrame, dates: DataFrame) -> DataFrame:
+    """Receivables by fiscal year, fiscal month and kind of day of their snapshot."""
+    period = ["fiscal_year", "fiscal_month", "is_weekend"]
+    daily = metrics(receivable, ["snapshot_date"], ["ar_balance", "overdue_ar", "receivable_rows"])
+    return (daily.join(dates.select(F.col("date_key").alias("snapshot_date"), *period),
+                       "snapshot_date")
+            .groupBy(*period).agg(_money("ar_balance").alias("total_ar"),
+                                  _money("overdue_ar").alias("overdue_ar"),
+                                  F.sum("receivable_rows").alias("receivable_rows")))
+
+
+def denial_by_fiscal_period(lines: DataFrame, dates: DataFrame) -> DataFrame:
+    """Denial rate by fiscal year and month of submission."""
+    daily = metrics(lines, ["submitted_date"], ["total_lines", "denied_lines"])
+    period = ["fiscal_year", "fiscal_month"]
+    return (daily.join(dates.select(F.col("date_key").alias("submitted_date"), *period),
+                       "submitted_date")
+            .groupBy(*period).agg(F.sum("total_lines").alias("total_lines"),
+                                  F.sum("denied_lines").alias("denied_lines"))
+            .withColumn("denial_rate_pct", _share_pct(F.col("denied_lines"),
+                                                      F.col("total_lines"))))
+
+
+def aging_levels(receivable: DataFrame, pairs: DataFrame, firms: DataFrame) -> DataFrame:
+    """Aging by payer, by facility and overall in one pass of grouping sets, and by firm."""
+    by_firm = aging_by_counterparty(receivable, pairs, firms).select(
+        F.lit("counterparty").alias("level"), F.lit(None).cast("string").alias("payer_key"),
+        F.lit(None).cast("string").alias("facility_key"), "counterparty_org_key", "aging_bucket",
+        "total_ar", "receivable_rows")
     receivable = receivable.select("payer_key", "facility_key", "aging_bucket", "total_ar_balance")
     level = F.grouping_id("payer_key", "facility_key", "aging_bucket")
     sets = [[F.col("payer_key"), F.col("aging_bucket")],
@@ -124,8 +171,10 @@ def aging_levels(receivable: DataFrame) -> DataFrame:
     return (receivable.groupingSets(sets, "payer_key", "facility_key", "aging_bucket")
             .agg(label.alias("level"), _money("total_ar_balance").alias("total_ar"),
                  F.count("*").alias("receivable_rows"))
-            .select("level", "payer_key", "facility_key", "aging_bucket", "total_ar",
-                    "receivable_rows"))
+            .select("level", "payer_key", "facility_key",
+                    F.lit(None).cast("string").alias("counterparty_org_key"), "aging_bucket",
+                    "total_ar", "receivable_rows")
+            .unionByName(by_firm))
 
 
 def turnaround(history: DataFrame) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.agreement import Model
 from ..operators.quality import Check, run_checks
+from ..operators.skew import attach
 from ..operators.typed import check_contract, clean
-from ..session import materialise
+from ..session import stored as store_rows
 from ..sources.layout import SOURCES
 from ..sources.sinks import read_table, write_table
 from . import dimensions, facts, fuzzy, identity, rules as rule_plan, spine as spine_plan
@@ -47,7 +48,7 @@ class Warehouse:
     def _once(self, name: str, make: Callable[[], DataFrame], stored: bool = False) -> DataFrame:
         if name not in self._tables:
             df = make()
-            self._tables[name] = materialise(df) if stored else df
+            self._tables[name] = store_rows(df, name.strip("_").split()[0]) if stored else df
         return self._tables[name]
 
     def _rows(self, name: str, df: DataFrame) -> int:
@@ -105,6 +106,50 @@ class Warehouse:
         return self._once(f"_fuzzy {model}", lambda: fuzzy.fuzzy_members(
             self.tagged(), self.people(), self.scored_for(model), self.spine_rows()), stored=True)
 
+    def record_pairs(self, model: Model | None = None) -> DataFrame:
+        model = model or self.model
+        return fuzzy.record_pairs(self.scored_for(model), self.fuzzy_members_for(model),
+                                  self.spine_rows())
+
+    def edit_pairs(self) -> DataFrame:
+        """(nid_a, nid_b, edit_score): record pairs of the plain blocks by the other score."""
+        def make():
+            pairs = store_rows(fuzzy.candidates(self.people(), self.people_rows(), self.model,
+                                                mode="blocks"), "blocked")
+            scored = store_rows(fuzzy.edit_distance_score(pairs, self.people()), "edit-scored")
+            reps = (scored.select(F.col("rep_a").alias("rep"))
+                    .unionByName(scored.select(F.col("rep_b").alias("rep"))).distinct())
+            known = self.people().select("profile", "rep", "n").join(reps, "rep")
+            members = attach(self.tagged().select("nid", "profile"), known, "profile", "nid",
+                             self.spine_rows()).select("nid", "rep")
+            return fuzzy.record_pairs(scored, members, self.spine_rows())
+        return self._once("_edit_pairs", make, stored=True)
+
+    def review_records(self, floor: Model) -> DataFrame:
+        """Records without an accepted match, with their best pair from the floor's threshold on.
+
+        Of equally good others the one with the smallest record counts.
+        """
+        scored = self.scored_for(floor)
+        ends = (scored.select(F.col("rep_a").alias("rep"), F.col("rep_b").alias("other"),
+                              "confidence")
+                .unionByName(scored.select("rep_b", "rep_a", "confidence")
+                             .toDF("rep", "other", "confidence")))
+        best = ends.groupBy("rep").agg(
+            F.max_by("other", F.struct("confidence", -F.col("other"))).alias("other"),
+            F.max("confidence").alias("best_confidence"))
+        known = self.people().select("profile", "rep", "n").join(best, "rep")
+        found = attach(self.tagged().select("nid", "profile"), known, "profile", "nid",
+                       self.spine_rows()).select("nid", "other", "best_confidence")
+        names = self.spine().select(F.col("nid").alias("other"),
+                                    F.col("source_system").alias("candidate_system"),
+                                    F.col("source_patient_key").alias("candidate_key"))
+        open_records = self.walk().filter(F.col("match_method") == identity.SINGLETON)
+        return (open_records.select("nid", "source_system", "source_patient_key")
+                .join(found, "nid", "left").join(names, "other", "left")
+                .select("source_system", "source_patient_key", "best_confidence",
+                        "candidate_system", "candidate_key"))
+
     def fuzzy_members(self) -> DataFrame:
         return self.fuzzy_members_for(self.model)
 
@@ -146,7 +191,7 @@ class Warehouse:
 
     def probabilistic_match(self, model: Model | None = None) -> DataFrame:
         model = model or self.model
-        pairs = fuzzy.record_pairs(self.scored_for(model), self.fuzzy_members_for(model))
+        pairs = self.record_pairs(model)
         return self.named_pairs(pairs).select(
             "source_system_a", "source_key_a", "source_system_b", "source_key_b",
             "confidence", F.lit("probabilistic").alias("match_method"), *fuzzy.COMPONENTS)
@@ -162,7 +207,8 @@ class Warehouse:
             "final_match": lambda: self.walk(self.max_passes).drop("nid"),
             "dim_patient": lambda: identity.survive(self.walk(self.max_passes), self.spine()),
             "patient_source_xref": lambda: identity.source_xref(self.walk(self.max_passes)),
-            "dim_date": lambda: dimensions.dim_date(self.spark),
+            "dim_date": lambda: dimensions.dim_date(
+                self.table("fact_receivable"), self.table("fact_claim_line")),
             "dim_provider": lambda: dimensions.dim_provider(
                 c("emr_provider"), c("rcm_claim_header"), c("referral_order")),
             "dim_facility": lambda: dimensions.dim_facility(

@@ -27,11 +27,11 @@ class Landed:
     detail: str = ""
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """All columns as text, missing-value texts as NULL.
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """All columns as text, missing-value texts as NULL; `path` is a file or a folder of files.
 
-    `multi_line` allows line breaks inside quotes, which keeps a file in one
-    task; switch it off for large files without such breaks so they can be split.
+    Files are split over tasks. `multi_line` allows line breaks inside quotes,
+    which keeps each file in one task.
     """
     df = (spark.read.option("header", True).option("multiLine", multi_line)
           .option("quote", '"').option("escape", '"').option("inferSchema", False).csv(path))
@@ -40,8 +40,7 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
         for c in df.columns])
 
 
-def land(spark: SparkSession, path: str, source: Source, file: str | None = None,
-         multi_line: bool = True) -> tuple[DataFrame | None, Landed]:
+def land(spark: SparkSession, path: str, source: Source, file: str | None = None) -> tuple[DataFrame | None, Landed]:
     """Read one feed into the landed shape; (None, reason) where there is nothing to load.
 
     Columns the table does not have are dropped, columns the file does not have
@@ -49,7 +48,7 @@ def land(spark: SparkSession, path: str, source: Source, file: str | None = None
     """
     file = file or source.file
     try:
-        raw = read_csv(spark, path, multi_line)
+        raw = read_csv(spark, path, source.multi_line)
         if raw.isEmpty():
             return None, Landed(source.name, file, 0, "empty")
     except AnalysisException as error:
@@ -63,16 +62,14 @@ def land(spark: SparkSession, path: str, source: Source, file: str | None = None
 
 
 def land_folder(spark: SparkSession, folder: str, target: str, batch_id: str,
-                sources: Iterable[Source] = tuple(SOURCES.values()), multi_line: bool = True,
-                parallel: int = 4) -> list[Landed]:
+                sources: Iterable[Source] = tuple(SOURCES.values()), parallel: int = 4) -> list[Landed]:
     """Land `folder/<system>/<file>` for every source under `target/<table>`.
 
     Every load adds a batch; repeating a batch replaces it. One feed that is
     missing, empty or broken leaves its own entry in the result and no more.
     """
     def one(source: Source) -> Landed:
-        df, log = land(spark, os.path.join(folder, source.system, source.file), source,
-                       multi_line=multi_line)
+        df, log = land(spark, os.path.join(folder, source.system, source.file), source)
         if df is None:
             return log
         seen = Observation()

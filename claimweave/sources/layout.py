@@ -41,6 +41,7 @@ class Source:
     system: str
     key: tuple[str, ...]
     fields: tuple[tuple, ...]
+    multi_line: bool = False  # whether quoted values may hold line breaks, so files are not split
 
     @property
     def columns(self) -> list[str]:

@@ -19,15 +19,12 @@ def write_table(df: DataFrame, path: str, month_of: str | None = None) -> None:
     monthly.hint("rebalance", month).write.mode("overwrite").partitionBy(month).parquet(path)
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Text files with a header that `read_csv` of this package reads back."""
-    (df.write.mode("overwrite").option("header", True).option("quote", '"')
-     .option("escape", '"').option("emptyValue", "").csv(path))
+    (df.write.mode(mode).option("header", True).option("quote", '"')
+     .option("escape", '"').option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))

@@ -2,28 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.casts import clean_value, key_text
+from ..functions.casts import clean_value
 from ..operators.typed import newest_rows
-from ..session import materialise
 from ..sources.delimited import MISSING
 from ..sources.layout import LINEAGE, SOURCES, Source
 from ..sources.lineage import with_lineage
 
-BUCKETS = 64
-
-
 def stream_landed(spark: SparkSession, folder: str, source: Source,
                   files_per_batch: int | None = None) -> DataFrame:
-    """Landed rows from CSV files as they appear in `folder` (columns in declared order).
+    """Landed rows from CSV files as they appear in `folder`.
 
-    The load time is the file's modification time, so replays give the same rows.
+    A file whose header does not name the declared columns in their order fails
+    the stream instead of putting values in wrong columns. The load time is the
+    file's modification time, so replays give the same rows.
     """
     text = T.StructType([T.StructField(c, T.StringType()) for c in source.columns])
     reader = (spark.readStream.schema(text).option("header", True).option("quote", '"')
-              .option("escape", '"').option("multiLine", True))
+              .option("escape", '"').option("multiLine", source.multi_line)
+              .option("enforceSchema", False))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = reader.csv(folder)
@@ -32,47 +30,49 @@ def stream_landed(spark: SparkSession, folder: str, source: Source,
                                     .alias("_seen")), source, "_seen")
 
 
-def merge_batch(batch: DataFrame, target: str, source: Source, buckets: int = BUCKETS) -> None:
-    """Merge landed rows into the current rows under `target`.
+def append_batch(batch: DataFrame, batch_id: int, target: str, source: Source) -> None:
+    """Add the newest row per key of one batch under `target`, as a folder of its own.
 
-    Current rows are split into buckets by key hash, and only the buckets a
-    batch touches are read and replaced. A key keeps its newest row, so late,
-    repeated and replayed rows leave the same result in any order.
+    A batch costs what it brings, whatever is there already. Repeating a batch
+    after a failure replaces its folder.
     """
-    spark = batch.sparkSession
-    keys = [key_text(k, source.rule(k)[0]) for k in source.key]
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    fresh = materialise(newest_rows(batch, source).withColumn("bucket", bucket))
-    touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]  # at most `buckets`
-    if not touched:
-        return
-    schema = source.landed_schema().add("bucket", T.IntegerType())
-    try:
-        stored = spark.read.schema(schema).parquet(target).filter(F.col("bucket").isin(touched))
-        fresh = fresh.unionByName(stored)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    merged = materialise(newest_rows(fresh, source))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket").parquet(target))
+    (newest_rows(batch, source).withColumn("batch", F.lit(batch_id).cast("long"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch").parquet(target))
 
 
 def start_upsert(spark: SparkSession, folder: str, target: str, checkpoint: str, table: str,
-                 once: bool = False, buckets: int = BUCKETS):
-    """Start the stream that keeps the current rows of `table` up to date."""
+                 once: bool = False, files_per_batch: int | None = None):
+    """Start the stream that keeps the rows of `table` up to date under `target`."""
     source = SOURCES[table]
-    writer = (stream_landed(spark, folder, source).writeStream
+    writer = (stream_landed(spark, folder, source, files_per_batch).writeStream
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda batch, _: merge_batch(batch, target, source, buckets)))
+              .foreachBatch(lambda batch, i: append_batch(batch, i, target, source)))
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def _batches(spark: SparkSession, target: str, source: Source) -> DataFrame:
+    schema = source.landed_schema().add("batch", T.LongType())
+    return spark.read.schema(schema).parquet(target).drop("batch")
+
+
 def current_rows(spark: SparkSession, target: str, table: str) -> DataFrame:
-    """Cleaned rows of a merged table. Keys are already unique, so this only types values."""
+    """Cleaned rows of a merged table: the newest row per key over all batches.
+
+    Late, repeated and replayed rows give the same result in any order.
+    """
+    source = SOURCES[table]
+    newest = newest_rows(_batches(spark, target, source), source)
+    return newest.select(*[clean_value(*f).alias(f[0]) for f in source.fields], *LINEAGE)
+
+
+def compact(spark: SparkSession, target: str, compacted: str, table: str) -> None:
+    """Write the newest row per key of `target` to the new folder `compacted`, as one batch.
+
+    Run while the stream is stopped, then go on with `compacted` as its target.
+    """
     source = SOURCES[table]
-    rows = spark.read.schema(source.landed_schema().add("bucket", T.IntegerType())).parquet(target)
-    return rows.select(*[clean_value(*f).alias(f[0]) for f in source.fields], *LINEAGE)
+    append_batch(_batches(spark, target, source), -1, compacted, source)
 
 
 def drop_repeats(stream: DataFrame, keys: list[str], late_by: str) -> DataFrame:

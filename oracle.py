@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from claimweave.plans import checks, clinical, fixtures
+from claimweave.operators.quality import TEST_KEY
+from claimweave.plans import checks, clinical
+from claimweave.plans.graph import EVIDENCE
+from claimweave.plans.queries import DIMENSION_MEMBERS, _missing_column
 from claimweave.plans.rules import RULES
 from claimweave.sources.layout import LINEAGE, OVERDUE_BUCKETS, SOURCES
 from claimweave.sources.samples import EXTERNAL_SQL, INPUT_TABLES, PAYERS, SOURCE_SQL
@@ -268,7 +271,7 @@ part("agreeing", "profile", "\nUNION\n".join(
 
 # ---- star schema
 
-part("dim_date", "", """
+part("dim_date", "fact_receivable fact_claim_line", """
 SELECT d AS date_key, CAST(YEAR(d) AS INT) AS year, CAST(QUARTER(d) AS INT) AS quarter,
   CAST(MONTH(d) AS INT) AS month, MONTHNAME(d) AS month_name, CAST(DAY(d) AS INT) AS day_of_month,
   CAST(DAYOFWEEK(d) AS INT) AS day_of_week, DAYNAME(d) AS day_name,
@@ -277,7 +280,12 @@ SELECT d AS date_key, CAST(YEAR(d) AS INT) AS year, CAST(QUARTER(d) AS INT) AS q
   CAST(MONTH(d + INTERVAL 3 MONTH) AS INT) AS fiscal_quarter,
   CAST(MONTH(d + INTERVAL 3 MONTH) AS INT) AS fiscal_month,
   CAST(QUARTER(d + INTERVAL 3 MONTH) AS INT) AS fiscal_quarter_true
-FROM (SELECT DATE '2022-01-01' + CAST(i AS INT) AS d FROM RANGE(0, 2191) AS r(i))""")
+FROM (SELECT CAST(UNNEST(GENERATE_SERIES(MAKE_DATE(YEAR(lo), 1, 1), MAKE_DATE(YEAR(hi), 12, 31),
+                                         INTERVAL 1 DAY)) AS DATE) AS d
+      FROM (SELECT MIN(x) AS lo, MAX(x) AS hi FROM (
+        SELECT UNNEST([snapshot_date, submitted_date, service_from_date]) AS x FROM fact_receivable
+        UNION ALL
+        SELECT UNNEST([submitted_date, service_from_date, service_to_date]) FROM fact_claim_line)))""")
 part("outside_npis", "rcm_claim_header referral_order", """
 SELECT npi, MIN(free_name) AS free_name FROM (
   SELECT billing_provider_npi AS npi, NULL AS free_name FROM rcm_claim_header
@@ -484,68 +492,9 @@ def _choose(key: str, purpose: str, values) -> str:
     return f"([{listed}])[{_whole(key, purpose, 1, len(values))}]"
 
 
-def _weighted(key: str, purpose: str, weights: dict) -> str:
-    total, reached, cases = sum(weights.values()), 0.0, []
-    *first, last = weights.items()
-    for value, weight in first:
-        reached += weight
-        cases.append(f"WHEN {_u(key, purpose)} < CAST({reached / total!r} AS DOUBLE) THEN '{value}'")
-    return f"(CASE {' '.join(cases)} ELSE '{last[0]}' END)"
-
-
 for _n, _sql in EXTERNAL_SQL.items():
     part(f"ext_{_n}", "", _sql.format(**_inputs()))
-_K = "emr_patient_id"
-part("account_draws", "emr_patient", f"""
-SELECT *, {_weighted(_K, 'name variant', fixtures.NAME_VARIANTS)} AS kind,
-  {_choose(_K, 'middle initial', fixtures.MIDDLE_INITIALS)} AS initial,
-  {_u(_K, 'dob variant')} AS u, CASE WHEN {_u(_K, 'dob direction')} < 0.5 THEN -1 ELSE 1 END AS way,
-  {_u(_K, 'link gap')} AS gap
-FROM emr_patient""")
-part("made_accounts", "account_draws", f"""
-SELECT 'A-' || emr_patient_id AS rcm_account_id,
-  CASE WHEN gap >= {fixtures.LINK_GAP_RATE} THEN emr_patient_id END AS emr_patient_id,
-  CASE kind WHEN 'upper' THEN UPPER(first_name) WHEN 'last_first' THEN last_name
-    WHEN 'middle_initial' THEN first_name || ' ' || initial || '.' ELSE first_name END
-    AS patient_first_name,
-  CASE kind WHEN 'upper' THEN UPPER(last_name) WHEN 'last_first' THEN first_name ELSE last_name END
-    AS patient_last_name,
-  CASE WHEN u < 0.10 THEN CASE WHEN STRFTIME(dob, '%m%d') = '0229' THEN dob
-                               ELSE CAST(dob + to_years(way) AS DATE) END
-       WHEN u < {fixtures.DOB_YEAR_RATE + fixtures.DOB_SWAP_RATE!r} AND DAY(dob) <= 12
-         THEN MAKE_DATE(YEAR(dob), DAY(dob), MONTH(dob))
-       ELSE dob END AS dob, address_line1, city, state, zip
-FROM account_draws""")
 _C = "claim_id"
-part("made_money", "rcm_claim_header", f"""
-SELECT claim_id, CAST(charge / 100 AS DECIMAL(12,2)) AS charge_amount,
-  CAST(allowed / 100 AS DECIMAL(12,2)) AS allowed_amount,
-  CAST(FLOOR(allowed * {_whole(_C, 'paid', 600, 1000)} / 1000) / 100 AS DECIMAL(12,2)) AS paid_amount
-FROM (SELECT *, FLOOR(charge * {_whole(_C, 'allowed', 400, 950)} / 1000) AS allowed
-      FROM (SELECT claim_id, FLOOR(({_u(_C, 'charge')} * 2950 + 50) * 100) AS charge
-            FROM rcm_claim_header))""")
-part("made_balances", "rcm_claim_header", f"""
-SELECT claim_id, CAST(total / 100 AS DECIMAL(12,2)) AS total_balance,
-  CAST(payer / 100 AS DECIMAL(12,2)) AS payer_responsibility_balance,
-  CAST((total - payer) / 100 AS DECIMAL(12,2)) AS patient_responsibility_balance,
-  {_weighted(_C, 'aging', fixtures.AGING_SHARES)} AS aging_bucket
-FROM (SELECT *, FLOOR(total * {_whole(_C, 'payer share', 0, 1000)} / 1000) AS payer
-      FROM (SELECT claim_id, FLOOR({_u(_C, 'balance')} * 400000) AS total FROM rcm_claim_header))""")
-_R = "referral_order_id"
-_templates = ", ".join("[" + ", ".join(f"'{x}'" for x in p) + "]" for p in fixtures.PROGRESSIONS)
-part("made_histories", "referral_order", f"""
-SELECT referral_order_id, CAST(i AS INT) AS step, steps[i + 1] AS status,
-  CAST(referral_created_at AS DATE) + CASE WHEN i = 0 THEN 0 ELSE
-    CAST(LIST_SUM([{_whole(_R, 'step 1', 1, 14)}, {_whole(_R, 'step 2', 1, 14)},
-                   {_whole(_R, 'step 3', 1, 14)}][1:i]) AS INT) END AS status_date
-FROM (SELECT *, ([{_templates}])[{_whole(_R, 'progression', 1, 5)}] AS steps FROM referral_order)
-CROSS JOIN (SELECT UNNEST([0, 1, 2, 3]) AS i) WHERE i < LEN(steps)""")
-part("account_places", "rcm_patient_account", """
-SELECT rcm_account_id, ROW_NUMBER() OVER (ORDER BY rcm_account_id) AS place, COUNT(*) OVER () AS n
-FROM (SELECT DISTINCT rcm_account_id FROM rcm_patient_account)""")
-part("npi_places", "emr_provider", """
-SELECT npi, ROW_NUMBER() OVER (ORDER BY npi) AS place, COUNT(*) OVER () AS n
-FROM (SELECT DISTINCT npi FROM emr_provider WHERE npi IS NOT NULL)""")
 part("ext_living", "ext_patients", """
 SELECT Id AS emr_patient_id, FIRST AS first_name, LAST AS last_name, BIRTHDATE AS dob,
   GENDER AS sex, ADDRESS AS address_line1, CITY AS city, STATE AS state, ZIP AS zip,
@@ -604,14 +553,20 @@ part("loads", " ".join(f"landed_{n}" for n in SOURCES), "\nUNION ALL\n".join(
     f" FROM landed_{n} GROUP BY 1, 2" for n in SOURCES))
 
 
+def _alike(c: str) -> str:
+    longest = f"GREATEST(LENGTH(x.{c}), LENGTH(y.{c}))"
+    return (f"(CASE WHEN x.{c} IS NULL OR y.{c} IS NULL THEN 0.0 WHEN {longest} = 0 THEN 1.0"
+            f" ELSE 1.0 - LEVENSHTEIN(x.{c}, y.{c}) / CAST({longest} AS DOUBLE) END)")
+
+
 def _made_and_external() -> dict[str, str]:
     def table(name, columns="*"):
         return query(f"SELECT {columns} FROM {name}", name)
 
     return {
-        "er_incremental": query("""
+        **{n: query("""
 SELECT source_system, source_patient_key, cluster_id, match_confidence, match_method,
-  'PAT-' || MD5(cluster_id) AS patient_id FROM final_match""", "final_match"),
+  'PAT-' || MD5(cluster_id) AS patient_id FROM final_match""", "final_match") for n in ("er_incremental", "er_incremental_changed", "er_incremental_withdrawn")},
         "dim_provider_registry": query(f"""
 SELECT {_numbered('DPROV-', 5, 'npi NULLS LAST, source_provider_id NULLS LAST')} AS provider_key,
   source_provider_id, npi, first_name, last_name, first_name || ' ' || last_name AS full_name,
@@ -634,32 +589,56 @@ UNION
 SELECT {_org('counterparty_org_name')}, 'case_id', case_reference_id, 'firm', 'referral'
 FROM referral_order WHERE counterparty_org_name IS NOT NULL AND case_reference_id IS NOT NULL""",
                                    "dim_provider referral_order"),
-        "graph_edges": query("""
-SELECT *, COUNT(*) AS support, CAST(1 AS DECIMAL(4,3)) AS confidence FROM graph_links
-GROUP BY ALL""", "graph_links"),
-        "fixture_accounts": table("made_accounts"),
-        "fixture_money_lines": table("made_money"),
-        "fixture_balances": table("made_balances"),
-        "fixture_status_history": table("made_histories"),
-        "fixture_assigned_accounts": query(f"""
-SELECT h.claim_id, a.rcm_account_id FROM rcm_claim_header h JOIN account_places a
-  ON a.place = CAST(FLOOR({_u('h.claim_id', 'account')} * a.n) AS INT) + 1""",
-                                           "rcm_claim_header account_places"),
+        "graph_edges": query(f"""
+SELECT *, CAST(ROUND(1.0 - POW(1.0 - CASE evidence {' '.join(
+    f"WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in EVIDENCE.items())} END, support), 3)
+  AS DECIMAL(4,3)) AS confidence
+FROM (SELECT *, COUNT(*) AS support FROM graph_links GROUP BY ALL)""", "graph_links"),
+        "fixture_accounts": query("""
+SELECT a.rcm_account_id, a.emr_patient_id,
+  COALESCE(LOWER(a.patient_first_name) = LOWER(p.last_name)
+    AND LOWER(a.patient_last_name) = LOWER(p.first_name)
+    AND LOWER(p.first_name) <> LOWER(p.last_name), FALSE) AS names_swapped,
+  LOWER(a.patient_first_name) IS DISTINCT FROM LOWER(p.first_name)
+    OR LOWER(a.patient_last_name) IS DISTINCT FROM LOWER(p.last_name) AS name_differs,
+  a.dob IS DISTINCT FROM p.dob AS dob_differs
+FROM rcm_patient_account a JOIN emr_patient p ON p.emr_patient_id = a.emr_patient_id""",
+                                  "rcm_patient_account emr_patient"),
+        "fixture_money_lines": query("""
+SELECT *, COALESCE(paid_amount <= allowed_amount AND allowed_amount <= charge_amount, FALSE)
+  AS consistent
+FROM (SELECT claim_id, SUM(charge_amount) AS charge_amount, SUM(allowed_amount) AS allowed_amount,
+        SUM(paid_amount) AS paid_amount FROM rcm_claim_line GROUP BY 1)""", "rcm_claim_line"),
+        "fixture_balances": query("""
+SELECT claim_id, SUM(COALESCE(payer_responsibility_balance, 0)
+    + COALESCE(patient_responsibility_balance, 0)) AS total_balance,
+  SUM(payer_responsibility_balance) AS payer_responsibility_balance,
+  SUM(patient_responsibility_balance) AS patient_responsibility_balance,
+  MAX(aging_bucket) AS oldest_bucket
+FROM rcm_ar_balance_snapshot GROUP BY 1""", "rcm_ar_balance_snapshot"),
+        "fixture_status_history": query("""
+SELECT referral_order_id, CAST(ROW_NUMBER() OVER w - 1 AS INT) AS step, status,
+  CAST(CAST(status_time AS DATE) - CAST(LAG(status_time) OVER w AS DATE) AS INT) AS days_since
+FROM referral_order_status_history
+WINDOW w AS (PARTITION BY referral_order_id ORDER BY status_time, status)""",
+                                        "referral_order_status_history"),
+        "fixture_assigned_accounts": query("""
+SELECT h.claim_id, h.rcm_account_id, a.rcm_account_id IS NOT NULL AS account_known
+FROM rcm_claim_header h LEFT JOIN rcm_patient_account a ON a.rcm_account_id = h.rcm_account_id""",
+                                           "rcm_claim_header rcm_patient_account"),
+        "fixture_claims_of_encounters": query("""
+SELECT e.emr_encounter_id, e.emr_patient_id, COUNT(h.claim_id) AS claims,
+  CAST(SUM(h.total_charge_amount) AS DECIMAL(38,2)) AS charged
+FROM emr_encounter e
+LEFT JOIN rcm_patient_account a ON a.emr_patient_id = e.emr_patient_id
+LEFT JOIN rcm_claim_header h ON h.rcm_account_id = a.rcm_account_id
+GROUP BY 1, 2""", "emr_encounter rcm_patient_account rcm_claim_header"),
         "fixture_filled_headers": query(f"""
 SELECT claim_id, COALESCE(payer_name, {_choose(_C, 'payer', PAYERS.split(','))}) AS payer_name,
   COALESCE(claim_status, 'submitted') AS claim_status FROM rcm_claim_header""", "rcm_claim_header"),
-        "fixture_claims_of_encounters": query(f"""
-SELECT 'CLM_' || e.emr_encounter_id AS claim_id, e.emr_encounter_id, e.emr_patient_id,
-  e.facility_id, p.npi AS billing_provider_npi,
-  {_choose('e.emr_encounter_id', 'claim payer', PAYERS.split(','))} AS payer_name,
-  CAST(FLOOR({_u('e.emr_encounter_id', 'claim amount')} * 4500 + 500) AS DECIMAL(12,2))
-    AS total_charge_amount,
-  {_weighted('e.emr_encounter_id', 'claim status', fixtures.CLAIM_STATUS_SHARES)} AS claim_status,
-  CAST(e.start_time AS DATE) AS submitted_date, CAST(e.start_time AS DATE) AS service_from_date
-FROM emr_encounter e JOIN npi_places p
-  ON p.place = CAST(FLOOR({_u('e.emr_encounter_id', 'claim provider')} * p.n) AS INT) + 1""",
-                                              "emr_encounter npi_places"),
         "external_patients": table("ext_living"),
+        "external_patients_head": query("""
+SELECT * FROM ext_living ORDER BY emr_patient_id LIMIT 100""", "ext_living"),
         "external_providers": query("""
 SELECT p.Id AS emr_provider_id, SPLIT_PART(p.NAME, ' ', 1) AS first_name,
   CASE WHEN p.NAME LIKE '% %' THEN SUBSTR(p.NAME, STRPOS(p.NAME, ' ') + 1) ELSE '' END AS last_name,
@@ -729,14 +708,33 @@ SELECT remit_id, remit_id AS source_record_id, 'batch-1' AS batch_id,
 SELECT {_ENDS}, confidence, {_COMPONENTS} FROM likely_pairs
 WHERE confidence >= 0.65 AND confidence < 0.70""", "likely_pairs"),
         "er_levenshtein_score": query(f"""
-SELECT {_ENDS}, edit_score, edit_score >= 0.75 AS accepted FROM (
-  SELECT p.node_a, p.node_b, CAST(ROUND(
-      (1.0 - LEVENSHTEIN(x.f, y.f) / CAST(GREATEST(LENGTH(x.f), LENGTH(y.f)) AS DOUBLE)) * 0.3
-    + (1.0 - LEVENSHTEIN(x.l, y.l) / CAST(GREATEST(LENGTH(x.l), LENGTH(y.l)) AS DOUBLE)) * 0.3
-    + (1.0 - LEAST(ABS(YEAR(x.dob) - YEAR(y.dob)), 100) / 100.0) * 0.2
+SELECT {_ENDS}, edit_score FROM (
+  SELECT p.node_a, p.node_b, CAST(ROUND({_alike('f')} * 0.3 + {_alike('l')} * 0.3
+    + COALESCE(1.0 - LEAST(ABS(YEAR(x.dob) - YEAR(y.dob)), 100) / 100.0, 0) * 0.2
     + CAST(p.ad AS DOUBLE) * 0.2, 3) AS DECIMAL(4,3)) AS edit_score
-  FROM likely_pairs p JOIN profile x ON x.node = p.node_a JOIN profile y ON y.node = p.node_b
-  WHERE p.confidence >= 0.65)""", "likely_pairs profile"),
+  FROM scores p JOIN traits x ON x.node = p.node_a JOIN traits y ON y.node = p.node_b)
+WHERE edit_score >= 0.75""", "scores traits"),
+        "er_review_records": query("""
+SELECT f.source_system, f.source_patient_key, b.confidence AS best_confidence,
+  SPLIT_PART(b.other, '::', 1) AS candidate_system, SPLIT_PART(b.other, '::', 2) AS candidate_key
+FROM final_match f LEFT JOIN (
+  SELECT * FROM (SELECT node_a AS node, node_b AS other, confidence FROM likely_pairs
+                 UNION ALL SELECT node_b, node_a, confidence FROM likely_pairs)
+  WHERE confidence >= 0.65
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY node ORDER BY confidence DESC, other) = 1) b
+ON b.node = f.source_system || '::' || f.source_patient_key
+WHERE f.match_method = 'unmatched_singleton'""", "final_match likely_pairs"),
+        "er_hot_key_pairs": """
+SELECT k, CAST(n * (n - 1) / 2 AS BIGINT) AS pairs
+FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS k, COUNT(*) AS n
+      FROM orders GROUP BY 1) WHERE n > 1""",
+        "bronze_csv_round_trip": query("\nUNION ALL\n".join(
+            f"SELECT '{n}' AS table_name, MD5(CONCAT_WS('|', "
+            + ", ".join("'nan'" if c == _missing_column(x) else f"COALESCE({c}, 'nan')"
+                        for c in x.columns) + f")) AS values_hash FROM landed_{n}"
+            for n, x in SOURCES.items()), " ".join(f"landed_{n}" for n in SOURCES)),
+        "stream_merged_claims": table("rcm_claim_header",
+                                      ", ".join(SOURCES["rcm_claim_header"].columns)),
         "er_match_evidence": query(f"""
 SELECT {_ENDS}, CONCAT_WS('; ', e.exact_rules, s.likeness) AS evidence
 FROM (SELECT node_a, node_b, STRING_AGG(match_method, '; ' ORDER BY match_method) AS exact_rules
@@ -784,15 +782,36 @@ SELECT aging_bucket, COUNT(*) AS receivable_rows, SUM(total_ar_balance) AS total
   ROUND(CAST(SUM(total_ar_balance) AS DOUBLE) / COUNT(*), 2) AS average_ar
 FROM fact_receivable GROUP BY 1""", "fact_receivable"),
         "bi_aging_levels": query("""
-SELECT 'payer' AS level, payer_key, NULL AS facility_key, aging_bucket,
+SELECT 'payer' AS level, payer_key, NULL AS facility_key, NULL AS counterparty_org_key, aging_bucket,
   SUM(total_ar_balance) AS total_ar, COUNT(*) AS receivable_rows
 FROM fact_receivable GROUP BY payer_key, aging_bucket
 UNION ALL
-SELECT 'facility', NULL, facility_key, aging_bucket, SUM(total_ar_balance), COUNT(*)
+SELECT 'facility', NULL, facility_key, NULL, aging_bucket, SUM(total_ar_balance), COUNT(*)
 FROM fact_receivable GROUP BY facility_key, aging_bucket
 UNION ALL
-SELECT 'all', NULL, NULL, aging_bucket, SUM(total_ar_balance), COUNT(*)
-FROM fact_receivable GROUP BY aging_bucket""", "fact_receivable"),
+SELECT 'all', NULL, NULL, NULL, aging_bucket, SUM(total_ar_balance), COUNT(*)
+FROM fact_receivable GROUP BY aging_bucket
+UNION ALL
+SELECT 'counterparty', NULL, NULL, counterparty_org_key, aging_bucket, SUM(total_ar_balance), COUNT(*)
+FROM fact_receivable JOIN bridge_pair USING (patient_id) GROUP BY 4, 5""",
+                                 "fact_receivable bridge_pair"),
+        "bi_ar_aging_counterparty": query("""
+SELECT d.counterparty_org_key, d.counterparty_org_name, r.aging_bucket,
+  SUM(r.total_ar_balance) AS total_ar, COUNT(DISTINCT r.claim_id) AS claims,
+  COUNT(*) AS receivable_rows
+FROM fact_receivable r JOIN bridge_pair b ON b.patient_id = r.patient_id
+JOIN dim_counterparty_org d ON d.counterparty_org_key = b.counterparty_org_key
+GROUP BY 1, 2, 3""", "fact_receivable bridge_pair dim_counterparty_org"),
+        "bi_ar_by_fiscal_period": query(f"""
+SELECT d.fiscal_year, d.fiscal_month, d.is_weekend, SUM(total_ar_balance) AS total_ar,
+  SUM(CASE WHEN aging_bucket IN ({_LATE}) THEN total_ar_balance END) AS overdue_ar,
+  COUNT(*) AS receivable_rows
+FROM fact_receivable r JOIN dim_date d ON d.date_key = r.snapshot_date GROUP BY 1, 2, 3""",
+                                       "fact_receivable dim_date"),
+        "bi_denial_by_fiscal_period": query(f"""
+SELECT d.fiscal_year, d.fiscal_month, {_DENIED}
+FROM fact_claim_line l JOIN dim_date d ON d.date_key = l.submitted_date GROUP BY 1, 2""",
+                                           "fact_claim_line dim_date"),
         "bi_turnaround": table("turnaround"),
         "bi_turnaround_summary": query("""
 SELECT COUNT(*) AS orders, ROUND(AVG(turnaround_days), 4) AS average_days,
@@ -825,13 +844,50 @@ SELECT 'receivable_to_patient', COUNT(*) FROM fact_receivable
 WHERE patient_id NOT IN (SELECT patient_id FROM dim_patient)""",
                             "rcm_claim_line rcm_claim_header emr_encounter emr_patient "
                             "fact_receivable dim_patient"),
-        "dq_load_quality": query("""
-SELECT _source_system, _source_file, COUNT(*) AS landed_rows,
-  COUNT(*) - COUNT(DISTINCT _row_hash) AS repeated_rows, MAX(_ingested_at) AS newest_load, """
-                                 + ", ".join(
-            f"ROUND(COUNT({c}) / CAST(COUNT(*) AS DOUBLE), 4) AS {c}_filled"
-            for c in ("claim_id", "line_num", "cpt_code", "denial_code")) + """
-FROM landed_rcm_claim_line GROUP BY 1, 2""", "landed_rcm_claim_line"),
+        "dq_load_quality": query("\nUNION ALL\n".join(f"""
+SELECT _source_system, _source_file, landed_rows, repeated_rows, newest_load,
+  UNNEST([{', '.join(f"'{c}'" for c in x.columns)}]) AS column_name,
+  UNNEST([{', '.join(f"f_{c}" for c in x.columns)}]) AS filled_share
+FROM (SELECT _source_system, _source_file, COUNT(*) AS landed_rows,
+        COUNT(*) - COUNT(DISTINCT _row_hash) AS repeated_rows, MAX(_ingested_at) AS newest_load,
+        {', '.join(f"ROUND(COUNT({c}) / CAST(COUNT(*) AS DOUBLE), 4) AS f_{c}" for c in x.columns)}
+      FROM landed_{n} GROUP BY 1, 2)""" for n, x in SOURCES.items()),
+            " ".join(f"landed_{n}" for n in SOURCES)),
+        "dq_cardinality": query("""
+SELECT *, ROUND(new_members / CAST(known_before AS DOUBLE), 4) AS growth,
+  COALESCE(ROUND(new_members / CAST(known_before AS DOUBLE), 4) > 0.5, FALSE) AS spike
+FROM (SELECT *, CAST(SUM(new_members) OVER (PARTITION BY dimension ORDER BY load_day
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS known_before
+      FROM (SELECT dimension, load_day, COUNT(*) AS new_members FROM (
+        SELECT dimension, member, MIN(load_day) AS load_day FROM (""" + "\nUNION ALL\n".join(
+            f"SELECT '{d}' AS dimension, {c} AS member, CAST(_ingested_at AS DATE) AS load_day"
+            f" FROM landed_{t}" for d, (t, c) in DIMENSION_MEMBERS.items()) + """)
+        WHERE member IS NOT NULL GROUP BY 1, 2) GROUP BY 1, 2))""",
+                                " ".join(f"landed_{t}" for t, _ in DIMENSION_MEMBERS.values())),
+        "dq_fact_volumes": query("""
+SELECT *, ROUND((row_count - previous_count) / CAST(previous_count AS DOUBLE), 4) AS change,
+  COALESCE(ABS(ROUND((row_count - previous_count) / CAST(previous_count AS DOUBLE), 4)) > 0.2, FALSE)
+    AS unusual
+FROM (SELECT *, LAG(row_count) OVER (PARTITION BY fact, month IS NULL ORDER BY month) AS previous_count
+      FROM (""" + "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS fact, STRFTIME({c}, '%Y-%m') AS month, COUNT(*) AS row_count"
+            f" FROM {t} GROUP BY 2" for t, c in (
+                ("fact_receivable", "snapshot_date"), ("fact_patient_balance", "snapshot_date"),
+                ("fact_claim_line", "submitted_date"))) + "))",
+                                 "fact_receivable fact_patient_balance fact_claim_line"),
+        "dq_reconcile_claim_line": query("\nUNION ALL\n".join(f"""
+SELECT '{m}' AS measure, f AS fact_sum, s AS source_sum, f - s AS difference
+FROM (SELECT (SELECT SUM({m}_amount) FROM fact_claim_line) AS f,
+  (SELECT SUM({m}_amount) FROM rcm_claim_line) AS s)""" for m in ("charge", "allowed", "paid")),
+                                         "fact_claim_line rcm_claim_line"),
+        "dq_reconcile_patient_balance": query("\nUNION ALL\n".join(f"""
+SELECT '{m}' AS measure, f AS fact_sum, s AS source_sum, f - s AS difference
+FROM (SELECT (SELECT SUM({a}) FROM fact_patient_balance) AS f,
+  (SELECT SUM({b}) FROM fact_receivable WHERE patient_id IS NOT NULL) AS s)""" for m, a, b in (
+            ("outstanding", "total_outstanding", "total_ar_balance"),
+            ("payer", "total_payer_balance", "payer_balance"),
+            ("patient", "total_patient_balance", "patient_balance"))),
+                                              "fact_patient_balance fact_receivable"),
         "dq_reconcile_receivable": query("\nUNION ALL\n".join(f"""
 SELECT '{m}' AS measure, f AS fact_sum, s AS source_sum, f - s AS difference
 FROM (SELECT (SELECT SUM({m}_balance) FROM fact_receivable) AS f,
@@ -839,8 +895,9 @@ FROM (SELECT (SELECT SUM({m}_balance) FROM fact_receivable) AS f,
                                                             for m in ("payer", "patient")),
                                          "fact_receivable rcm_ar_balance_snapshot"),
         "dq_masked_patient": query("""
-SELECT emr_patient_id, SHA256(ssn_last4) AS ssn_last4,
-  CASE WHEN phone <> '' THEN '***' || RIGHT(phone, 2) END AS phone FROM emr_patient""",
+SELECT emr_patient_id,
+  SHA256('{key}|outer|' || SHA256('{key}|inner|' || ssn_last4)) AS ssn_last4,
+  CASE WHEN phone <> '' THEN '***' || RIGHT(phone, 2) END AS phone FROM emr_patient""".replace("{key}", TEST_KEY),
                                    "emr_patient"),
         "dq_checks_clean": _checks(checks.CLEAN_CHECKS),
         "dq_checks_linkage": _checks(checks.LINKAGE_CHECKS),

@@ -21,9 +21,11 @@ def spark():
 
 @pytest.fixture
 def small_limit(spark):
-    """Treat keys with more than a few rows as hot, so the spreading joins are used."""
-    from claimweave.operators.skew import ROW_LIMIT_SETTING
+    """Treat keys with more than a few rows or pairs as hot, so the spreading joins are used."""
+    from claimweave.operators.skew import PAIR_LIMIT_SETTING, ROW_LIMIT_SETTING
 
     spark.conf.set(ROW_LIMIT_SETTING, "3")
+    spark.conf.set(PAIR_LIMIT_SETTING, "9")
     yield
     spark.conf.unset(ROW_LIMIT_SETTING)
+    spark.conf.unset(PAIR_LIMIT_SETTING)

@@ -86,8 +86,9 @@ def test_person_names(spark):
 def test_dim_date(spark):
     from claimweave.plans.dimensions import dim_date
 
-    days = dim_date(spark)
-    assert days.count() == 2191
+    facts = spark.sql("SELECT date'2024-03-01' AS snapshot_date, CAST(NULL AS date) AS submitted_date")
+    days = dim_date(facts)
+    assert days.count() == 366
     row = days.filter("date_key = date'2024-01-07'").first()
     assert (row.day_of_week, row.day_name, row.month_name, row.is_weekend) == (
         0, "Sunday", "January", True)

@@ -43,7 +43,7 @@ def matched(spark, people, model=Model(), mode="pruned"):
         fuzzy.fuzzy_members(fuzzy.with_profile(spine), profiles, scored, spine.count()))
     names = {r.nid: r.node for r in spine.collect()}
     return {(names[r.nid_a], names[r.nid_b]): r.confidence
-            for r in fuzzy.record_pairs(scored, members).collect()}
+            for r in fuzzy.record_pairs(scored, members, spine.count()).collect()}
 
 
 def test_jaro_winkler_known_values():
@@ -141,7 +141,8 @@ def test_pruned_candidates_lose_nothing(spark, model):
 def test_spreading_does_not_change_matches(spark, small_limit):
     people = crowd(12)
     salted = matched(spark, people)
-    spark.conf.unset("spark.claimweave.skewRowLimit")
+    spark.conf.unset("spark.claimweave.rowsPerChunk")
+    spark.conf.unset("spark.claimweave.pairsPerCell")
     assert salted == matched(spark, people)
 
 
@@ -229,6 +230,51 @@ def test_adding_records_later_gives_the_same_clusters(spark):
     assert later == _walk(spark, whole)
 
 
+@pytest.mark.parametrize("seed", [6, 7])
+def test_changed_and_withdrawn_records_are_matched_again(spark, seed):
+    """Some records withdrawn, some with the traits of others, some new: as a full run has it."""
+    people = identified(seed)
+    rng = random.Random(seed)
+    others = identified(seed + 10)
+    before = [(*p[:2], *others[i][2:]) if i % 5 == 0 else p for i, p in enumerate(people[:40])]
+    first = rematch(make_spine(spark, before), None).drop("nid").cache()
+    gone = set(rng.sample(range(40), 8))
+    after = make_spine(spark, [p for i, p in enumerate(people) if i not in gone])
+    later = {(r.source_system, r.source_patient_key): (
+        r.cluster_id, r.match_confidence, r.match_method)
+        for r in rematch(after, first).collect()}
+    assert later == _walk(spark, after)
+
+
+def test_a_withdrawn_first_record_leaves_its_cluster_together(spark):
+    people = [person(s, "1", phone="5") for s in ("emr", "rcm", "referral")]
+    first = rematch(make_spine(spark, people), None).drop("nid").cache()
+    left = rematch(make_spine(spark, people[1:]), first).collect()
+    assert {(r.cluster_id, r.match_method) for r in left} == {
+        ("rcm::1", "deterministic_phone_dob")}
+
+
+def test_one_long_name_costs_no_other_pair_anything():
+    import time
+    import tracemalloc
+    words = [b"miller", b"muller", b"stone"] * 3333
+    start = time.perf_counter()
+    tracemalloc.start()
+    got = jaro_winkler([*words, b"ab" * 500_000], [*words[1:], b"miller", b"ba" * 500_000])
+    assert tracemalloc.get_traced_memory()[1] < 500e6
+    tracemalloc.stop()
+    assert time.perf_counter() - start < 30 and 0.9 < got[-1] < 1
+
+
+def test_long_words_like_short_ones(monkeypatch):
+    from claimweave.functions import similarity
+    rng = random.Random(8)
+    words = [bytes(rng.choices(b"abcd ", k=rng.randrange(30))) for _ in range(600)]
+    by_matrix = jaro_winkler(words[:300], words[300:])
+    monkeypatch.setattr(similarity, "MATRIX_BYTES", ())
+    assert np.allclose(by_matrix, jaro_winkler(words[:300], words[300:]), atol=1e-12)
+
+
 def test_survivorship(spark):
     people = [person("emr", "1", first_name="", last_name="Adams", phone=None),
               person("emr", "2", first_name="Zed", last_name="Best", phone=None, email="e@x"),

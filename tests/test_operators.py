@@ -161,6 +161,18 @@ def test_hot_key_is_cut_into_cells(spark, small_limit):
     assert "_row" in plan and "_col" in plan
 
 
+def test_no_cell_exceeds_the_pair_budget(spark):
+    from claimweave.operators.skew import cells
+    sizes = [(1, 1), (5, 3), (3000, 2), (2, 3000), (100, 100), (5000, 5000), (1, 10 ** 6),
+             (10 ** 6, 10 ** 6), (40, 10 ** 5)]
+    pairs = 10_000
+    k = cells(F.col("l"), F.col("r"), pairs)
+    for row in spark.createDataFrame(sizes, "l long, r long").select(
+            "l", "r", k[0].alias("kl"), k[1].alias("kr")).collect():
+        assert -(-row.l // row.kl) * -(-row.r // row.kr) <= 2 * pairs
+        assert row.kl * row.kr <= 4 * max(1, row.l * row.r / pairs) + 3
+
+
 def test_checks(spark):
     df = spark.createDataFrame(
         [("a", "M", "12345"), ("a", "x", "1"), (None, None, None)], "k string, s string, z string")

@@ -1,4 +1,7 @@
 import os
+from dataclasses import replace
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -7,7 +10,8 @@ from claimweave.sources.delimited import land, land_folder, landing_log, read_la
 from claimweave.sources.layout import SOURCES
 from claimweave.sources.lineage import audit_columns
 from claimweave.sources.sinks import write_csv
-from claimweave.streaming.upsert import current_rows, drop_repeats, start_upsert, stream_landed
+from claimweave.streaming.upsert import (compact, current_rows, drop_repeats, start_upsert,
+                                         stream_landed)
 
 
 def write(path, text):
@@ -22,7 +26,7 @@ HEAD = "emr_encounter_id,icd10_code,diagnosis_desc,diagnosis_rank\n"
 def test_missing_texts_and_quoted_breaks(spark, tmp_path):
     path = str(tmp_path / "d.csv")
     write(path, HEAD + 'N1,NA,"two\nlines, ""q""",1\nN2,null,,n/a\n')
-    df, log = land(spark, path, SOURCES["emr_diagnosis"])
+    df, log = land(spark, path, replace(SOURCES["emr_diagnosis"], multi_line=True))
     rows = {r.emr_encounter_id: r for r in df.collect()}
     assert log.status == "loaded"
     assert rows["N1"].diagnosis_desc == 'two\nlines, "q"' and rows["N1"].icd10_code is None
@@ -80,7 +84,7 @@ def test_stream_merges_by_key(spark, tmp_path):
 
     def run():
         query = start_upsert(spark, folder, target, str(tmp_path / "cp"), "emr_diagnosis",
-                             once=True, buckets=4)
+                             once=True)
         query.awaitTermination(120)
         rows = current_rows(spark, target, "emr_diagnosis").collect()
         return {(r.emr_encounter_id, r.icd10_code): r.diagnosis_desc for r in rows}
@@ -92,7 +96,21 @@ def test_stream_merges_by_key(spark, tmp_path):
     os.utime(f"{folder}/2.csv", (1_700_000_500, 1_700_000_500))
     write(f"{folder}/3.csv", HEAD + "N1,I10,late,1\n")
     os.utime(f"{folder}/3.csv", (1_600_000_000, 1_600_000_000))
-    assert run() == {("N1", "I10"): "new", ("N2", "I10"): "keep", ("N3", "Z23"): "x"}
+    want = {("N1", "I10"): "new", ("N2", "I10"): "keep", ("N3", "Z23"): "x"}
+    assert run() == want
+    compact(spark, target, str(tmp_path / "t2"), "emr_diagnosis")
+    rows = current_rows(spark, str(tmp_path / "t2"), "emr_diagnosis").collect()
+    assert {(r.emr_encounter_id, r.icd10_code): r.diagnosis_desc for r in rows} == want
+    assert len(rows) == spark.read.parquet(str(tmp_path / "t2")).count() == 3
+
+
+def test_reordered_header_fails_the_stream(spark, tmp_path):
+    write(f"{tmp_path}/in/1.csv", "icd10_code,emr_encounter_id,diagnosis_desc,diagnosis_rank\n"
+          "I10,N1,x,1\n")
+    query = start_upsert(spark, f"{tmp_path}/in", f"{tmp_path}/t", f"{tmp_path}/cp",
+                         "emr_diagnosis", once=True)
+    with pytest.raises(Exception, match="header|schema"):
+        query.awaitTermination(120)
 
 
 def test_repeats_in_a_stream_are_dropped(spark, tmp_path):
