@@ -51,7 +51,8 @@ def test_stages_take_effect(spark, folder):
     assert ids[2] == ids[1]
     after = {r["doc_id"]: r["text"] for r in seen[2].collect()}
     assert [line in after[200 + i] for i in range(6)] == [True] + [False] * 5
-    assert ids[2] - ids[3] == {301, 302, 303, 501, 502}  # no words: one group, led by 500
+    # 301 is near 300; 302 and 303 lost their only line and are in one group with other empty ones
+    assert ids[2] - ids[3] == {301, 303, 500, 501, 502}
     assert ids[3] - ids[4] == {400, 401, 402, 403, 404}
     assert seen[3].filter("doc_id = 503").count() == 1
 
