@@ -25,7 +25,9 @@ ROWS_PER_LABEL = 8000          # labelled texts read per label, those of the sma
 FEATURES = 4096                # features that are fitted, the most telling ones
 LEAST_TEXTS = 3                # a feature counts from so many toxic texts on
 THRESHOLD = 0.3
-L1, COUNTERFACTUAL, STEPS = 2e-4, 1.0, 400
+L1_ROWS = 1.0                  # a feature needs more than so many texts that nothing else explains
+COUNTERFACTUAL = 1.0           # weight of the penalty
+RATE, STEPS = 0.1, 500
 # identity terms by group, interchangeable within it; lower case, one word each
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"),
@@ -136,8 +138,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def fit_weights(rows: list[list[int]], labels: np.ndarray, pairs: list[tuple[int, list[int]]],
-                size: int, penalty: float = COUNTERFACTUAL, l1: float = L1) -> tuple:
-    """Weights and bias by accelerated proximal gradient steps.
+                size: int, penalty: float = COUNTERFACTUAL, l1_rows: float = L1_ROWS) -> tuple:
+    """Weights and bias by proximal gradient steps of a size of its own for each weight.
 
     `pairs` has for each counterfactual the place of its text and its features;
     the penalty is the mean squared change of the score.
@@ -153,30 +155,28 @@ def fit_weights(rows: list[list[int]], labels: np.ndarray, pairs: list[tuple[int
     def scores(w, b, r, c, count):
         return _sigmoid(np.bincount(r, weights=w[c], minlength=count) + b)
 
+    l1 = l1_rows / n
     w, b = np.zeros(size), float(np.log((labels.sum() + 1) / (n - labels.sum() + 1)))
-    ahead_w, ahead_b, momentum = w, b, 1.0
-    width = max([len(x) for x in rows] + [len(x) for _, x in pairs] + [1]) + 1
-    step = 4.0 / min(width, 60) / (1 + 2 * penalty)
+    squares, squares_b = np.full(size, 1e-12), 1e-12
     for _ in range(STEPS):
-        p = scores(ahead_w, ahead_b, r, c, n)
+        p = scores(w, b, r, c, n)
         error = (p - labels) / n
         grad = np.bincount(c, weights=error[r], minlength=size)
         grad_b = error.sum()
         if len(pairs):
-            q = scores(ahead_w, ahead_b, pr, pc, len(pairs))
+            q = scores(w, b, pr, pc, len(pairs))
             gap = 2 * penalty / m * (p[twin] - q)
             mine = np.bincount(twin, weights=gap, minlength=n) * p * (1 - p)
             other = -gap * q * (1 - q)
             grad += np.bincount(c, weights=mine[r], minlength=size)
             grad += np.bincount(pc, weights=other[pr], minlength=size)
             grad_b += mine.sum() + other.sum()
-        new = ahead_w - step * grad
-        new = np.sign(new) * np.maximum(np.abs(new) - step * l1, 0)
-        new_b = ahead_b - step * grad_b
-        after = (1 + np.sqrt(1 + 4 * momentum ** 2)) / 2
-        ahead_w = new + (momentum - 1) / after * (new - w)
-        ahead_b = new_b + (momentum - 1) / after * (new_b - b)
-        w, b, momentum = new, new_b, after
+        squares += grad ** 2
+        squares_b += grad_b ** 2
+        step = RATE / np.sqrt(squares)
+        w = w - step * grad
+        w = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
+        b -= RATE / np.sqrt(squares_b) * grad_b
     return w, float(b)
 
 
