@@ -33,6 +33,7 @@ COMMON_WITH_ANSWER = 0.6  # enough if the answer is there too
 LEAST_WORDS = 8           # items with fewer words are told by their whole sequence only
 ITEMS_AT_ONCE = 1000
 _SEED = 20
+_BYTES = np.uint64(0x0101010101010101)
 _ANSWER = re.compile(r"(?i)\banswer\s*:")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -182,9 +183,9 @@ def prepared(rows: list[tuple], space: Space) -> Items:
     vectors = np.stack([space.table[_feature(w)].sum(axis=0) for w in words]) if words else \
         np.zeros((0, space.table.shape[1]), np.float32)
     vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
-    has = np.zeros((len(words), len(vocabulary) + 1), bool)
+    has = np.zeros((len(words), len(vocabulary) + 1), np.uint8)
     for i, w in enumerate(words):
-        has[i, np.searchsorted(vocabulary, w)] = True
+        has[i, np.searchsorted(vocabulary, w)] = 1
     sizes = np.array([len(w) for w in words], int)
     length = np.array([min(LENGTHS, key=lambda n: abs(np.log(n / s))) for s in sizes], int)
     of = [np.searchsorted(vocabulary, w) for w in words]
@@ -239,7 +240,9 @@ def matches(docs: list[np.ndarray], space: Space, items: Items) -> dict[tuple[in
     nowhere = len(items.vocabulary)
     known = np.searchsorted(items.vocabulary, line)
     known[known == nowhere] = 0
-    known = np.where(used & (items.vocabulary[known] == line), known, nowhere)
+    known = np.where(used & (items.vocabulary[known] == line), known, nowhere).astype(np.int32)
+    has = items.has.ravel()
+    wide = np.int32 if len(has) < 1 << 31 else np.int64
     step = min(LENGTHS) // OVERLAP
     parts = space.table[feature].reshape(-1, step, space.table.shape[1]).sum(axis=1)
     best: dict[tuple[int, int], tuple] = {}
@@ -264,19 +267,20 @@ def matches(docs: list[np.ndarray], space: Space, items: Items) -> dict[tuple[in
             reach = items.reach[item[some]]
             a = np.maximum(first[doc], start - reach)
             b = np.minimum(first[doc] + sizes[doc], start + length + reach)
-            words = known[np.minimum(start[:, None] + np.arange(length), len(line) - 1)]
-            seen = items.has[item[some][:, None], words].sum(axis=1)
+            words = np.take(known, start[:, None] + np.arange(length, dtype=np.int32), mode="clip")
+            hit = np.take(has, words + (item[some] * (nowhere + 1)).astype(wide)[:, None])
+            # eight bytes of 0 or 1 are added up by one multiplication
+            seen = ((hit.view(np.uint64) * _BYTES) >> np.uint64(56)).sum(axis=1).astype(np.int64)
             maybe = np.flatnonzero((seen * 3 >= needed[some]) & (b > a))
             # of the words that it shares, different ones
-            words = np.sort(np.where(items.has[item[some][maybe, None], words[maybe]],
-                                     words[maybe], nowhere), axis=1)
+            words = np.sort(np.where(hit[maybe], words[maybe], nowhere), axis=1)
             different = ((words[:, 1:] != words[:, :-1]) & (words[:, :-1] != nowhere)).sum(axis=1) \
                 + (words[:, -1] != nowhere)
             maybe = maybe[different * 3 >= needed[some][maybe]]
             for k in maybe.tolist():
                 key = int(doc[k]), int(item[low + k])
                 target, inside = items.places[key[1]], known[a[k]:b[k]]
-                inside = inside[items.has[key[1], inside]]
+                inside = inside[items.has[key[1], inside] > 0]
                 there[inside] = True
                 possible = np.count_nonzero(there[target])
                 there[inside] = False
