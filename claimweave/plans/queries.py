@@ -45,6 +45,11 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _BUILT[key]
 
 
+def forget() -> None:
+    """Build the tables anew when they are asked for again."""
+    _BUILT.clear()
+
+
 def _table(name: str, drop: tuple[str, ...] = ()):
     return lambda spark, sf: warehouse(spark, sf).table(name).drop(*drop)
 

@@ -20,6 +20,9 @@ from . import dimensions, facts, fuzzy, identity, rules as rule_plan, spine as s
 BY_MONTH = {"fact_receivable": "snapshot_date", "fact_patient_balance": "snapshot_date"}
 
 
+PAIR_TABLES = ("deterministic_match", "probabilistic_match")
+
+
 class Warehouse:
     """Tables of the cleaned, linkage and star layers over landed sources.
 
@@ -252,10 +255,15 @@ class Warehouse:
         wanted = {c.table for c in checks} | {c.args[0] for c in checks if c.kind == "relationship"}
         return run_checks({t: self.table(t) for t in wanted}, checks)
 
-    def build(self) -> dict[str, str]:
-        """Write every table under `store`, in dependency order; returns the paths."""
+    def build(self, pairs: bool = False) -> dict[str, str]:
+        """Write every table under `store`, in dependency order; returns the paths.
+
+        The tables of all matching pairs, which no other table needs and which
+        grow with the square of a group, are written only if `pairs` are asked for.
+        """
         if not self.store:
             raise ValueError("a warehouse needs a store folder to build into")
-        for name in self.names:
+        wanted = [n for n in self.names if pairs or n not in PAIR_TABLES]
+        for name in wanted:
             self.table(name)
-        return {name: self._path(name) for name in self.names}
+        return {name: self._path(name) for name in wanted}

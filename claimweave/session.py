@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -38,10 +40,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="claimweave-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     sc.setCheckpointDir(named)
     return named
 
 
+_STORED: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables that `stored` has written so far; DataFrames over them end here."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _STORED:
+        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as a table in the shared folder and continue from the stored rows.
 
@@ -50,6 +64,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = f"{checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STORED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

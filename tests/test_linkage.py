@@ -263,7 +263,7 @@ def test_one_long_name_costs_no_other_pair_anything():
     got = jaro_winkler([*words, b"ab" * 500_000], [*words[1:], b"miller", b"ba" * 500_000])
     assert tracemalloc.get_traced_memory()[1] < 500e6
     tracemalloc.stop()
-    assert time.perf_counter() - start < 30 and 0.9 < got[-1] < 1
+    assert time.perf_counter() - start < 60 and abs(got[-1] - 5 / 6) < 1e-9
 
 
 def test_long_words_like_short_ones(monkeypatch):
