@@ -106,8 +106,11 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text"
                 .join(last, ["doc", "_end"]).drop("_end"))
         told = stored(told, f"told-{size}")
         # an interval of the suffix array; its smallest place is the first copy
-        interval = told.groupBy("n", "rank", "after").agg(
-            F.min(F.struct("doc", "place")).alias("first"))
+        # stored, so that either side of the join comes straight from a shuffle and the adaptive
+        # skew join can split the interval of a very frequent line
+        interval = stored(told.groupBy("n", "rank", "after").agg(
+            F.min(F.struct("doc", "place")).alias("first"), F.count("*").alias("_n"))
+            .filter("_n > 1").drop("_n"), f"intervals-{size}")
         copies = (told.join(interval, ["n", "rank", "after"])
                   .filter(F.struct("doc", "place") > F.col("first"))
                   .select("doc", F.explode(F.sequence("place", F.col("place") + F.col("n") - 1))
