@@ -18,11 +18,11 @@ from struct import pack
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, types as T
 
-from .pieces import byte_pieces, segments
+from .pieces import byte_pieces, segments, slices
 
-CACHE_PIECES = 800_000
+CACHE_PIECES = 250_000
 CACHED_BYTES = 64
 _MASK = (1 << 64) - 1
 
@@ -181,7 +181,7 @@ def _schema(docs: DataFrame, id_column: str, *fields: T.StructField) -> T.Struct
 
 def _encode(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.RecordBatch]:
     cache = vocabulary.value.worker_cache()
-    for batch in batches:
+    for batch in slices(batches):
         ids = [encode_text(text or "", cache) for text in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
@@ -206,7 +206,7 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text",
 
 def _decode(batches: Iterator[pa.RecordBatch], ranks) -> Iterator[pa.RecordBatch]:
     bytes_of = {rank: token for token, rank in ranks.value.items()}
-    for batch in batches:
+    for batch in slices(batches):
         data = [None if ids is None else decode_ids(ids, bytes_of)
                 for ids in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())],
@@ -223,7 +223,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids",
 
 def _round_trip(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.RecordBatch]:
     cache, bytes_of = vocabulary.value.worker_cache(), vocabulary.value.bytes_of
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for text in batch.column(1).to_pylist():
             ids = encode_text(text or "", cache)

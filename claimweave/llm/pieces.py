@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import tiktoken
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -38,6 +39,13 @@ def kinds() -> np.ndarray:
     return out
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that less of them is held as Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def segments(text: str) -> Iterator[str]:
     """`text` in parts of bounded length, as far as it has a place where cutting changes no piece."""
     at = 0
