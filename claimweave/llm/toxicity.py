@@ -194,8 +194,13 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str =
     told = (labels.filter(F.col(label).isNotNull() & F.col(id_column).isNotNull())
             .groupBy(F.col(id_column).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
             .withColumn("_order", F.xxhash64("_id")))
+    # by hash about twice the sample, then the smallest hashes: few rows of a label leave a task
+    sizes = {r["_label"]: r["count"] for r in told.groupBy("_label").count().collect()}
+    share = F.coalesce(*[F.when(F.col("_label") == y, F.lit(min(1.0, 2 * rows_per_label / n)))
+                         for y, n in sizes.items()], F.lit(1.0))
+    drawn = told.filter(F.pmod("_order", F.lit(1 << 30)) < share * (1 << 30))
     first = Window.partitionBy("_label").orderBy("_order", "_id")
-    chosen = (told.withColumn("_nth", F.row_number().over(first))
+    chosen = (drawn.withColumn("_nth", F.row_number().over(first))
               .filter(F.col("_nth") <= rows_per_label).select("_id", "_label"))
     sample = (docs.select(F.col(id_column).alias("_id"), F.col(text).alias("text"))
               .filter(F.col("text").isNotNull())
