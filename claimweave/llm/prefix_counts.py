@@ -24,9 +24,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .bpe import Vocabulary
-from .pieces import SPACE, byte_widths, code_points, kinds, piece_starts, segments
+from .pieces import SPACE, byte_widths, code_points, kinds, piece_starts, segments, slices
 
-CACHE_PIECES = 500_000
+CACHE_PIECES = 1_200_000
+CACHE_PAIRS = 1_500_000
 CACHED_CHARS = 32
 
 
@@ -46,22 +47,22 @@ def read_library_file(path: str) -> tuple[dict[bytes, int], list[str]]:
     return ranks, special
 
 
-class PrefixTable:
-    """Steps of the token count over the characters of pieces."""
+class PrefixTable(dict):
+    """Steps of the token count over the characters of pieces seen so far; emptied when full."""
 
     def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
         self.vocabulary = Vocabulary(ranks)
         self.ranks = ranks
         self.tails = {token[i:] for token in ranks for i in range(1, len(token))}
         self.fits: dict[int, bool] = {}
-        self.steps: dict[str, bytes] = {}
 
     def pair_fits(self, left: int, right: int) -> bool:
         """Whether the bytes of the two tokens are encoded as these two; left is -1 at the start."""
         key = left << 32 | right
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) >= 4 * CACHE_PIECES:
+            if len(self.fits) >= CACHE_PAIRS:
                 self.fits.clear()
             of = self.vocabulary.bytes_of
             told = [right] if left < 0 else [left, right]
@@ -93,24 +94,22 @@ class PrefixTable:
                 raise ValueError("a byte is missing in the vocabulary")
         return counts
 
-    def __getitem__(self, piece: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes:
         """Little-endian 16-bit steps of the count, one for each character of `piece`."""
-        known = self.steps.get(piece)
-        if known is None:
-            data = piece.encode()
-            counts = self.byte_counts(data)
-            if len(data) != len(piece):
-                ends = np.cumsum(byte_widths(code_points(piece))).tolist()
-                counts = [0, *[counts[e] for e in ends]]
-            if len(piece) == 3 and piece[0] == "'" and piece[1].isalpha():
-                # until its last letter comes, a contraction is a quote and a letter
-                counts[2] = counts[1] + 1
-            known = pack(f"<{len(piece)}h", *[b - a for a, b in zip(counts, counts[1:])])
-            if len(piece) <= CACHED_CHARS:
-                if len(self.steps) >= CACHE_PIECES:
-                    self.steps.clear()
-                self.steps[piece] = known
-        return known
+        data = piece.encode()
+        counts = self.byte_counts(data)
+        if len(data) != len(piece):
+            ends = np.cumsum(byte_widths(code_points(piece))).tolist()
+            counts = [0, *[counts[e] for e in ends]]
+        if len(piece) == 3 and piece[0] == "'" and piece[1].isalpha():
+            # until its last letter comes, a contraction is a quote and a letter
+            counts[2] = counts[1] + 1
+        steps = pack(f"<{len(piece)}h", *[b - a for a, b in zip(counts, counts[1:])])
+        if len(piece) <= CACHED_CHARS:
+            if len(self) >= CACHE_PIECES:
+                self.clear()
+            self[piece] = steps
+        return steps
 
     def total(self, piece: str) -> int:
         return int(np.frombuffer(self[piece], "<i2").sum())
@@ -173,7 +172,7 @@ class _Worker:
 def _count(batches: Iterator[pa.RecordBatch], worker) -> Iterator[pa.RecordBatch]:
     table, special = worker.value.ready()
     squeeze = zstandard.ZstdCompressor(level=1).compress
-    for batch in batches:
+    for batch in slices(batches):
         sizes, totals, stored = [], [], []
         for text in batch.column(1).to_pylist():
             text = text or ""
