@@ -172,13 +172,71 @@ KINDS: tuple[tuple[str, str, Callable[[str, Feistel], str | None]], ...] = (
     ("ip", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", _address),
     ("iban", r"(?<!\w)[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", _iban),
     ("ssn", r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])", _social),
-    ("card", r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)", _card),
+    ("card", r"(?<!\d)\d(?:[ -]?\d){12,}(?!\d)", _card),
     ("phone", r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)"
               r"|(?<![\w(])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
               r"|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])", _phone),
     ("secret", r"(?i:\b(?:token|password|passwd|secret|api_?key))\s*[=:]\s*[\"'][^\"'\n]{6,}", _secret),
 )
 _PATTERNS = [(name, re.compile(pattern), make) for name, pattern, make in KINDS]
+_NUMBER = re.compile(r"\d+")
+
+
+def _usual(sizes: list[int]) -> bool:
+    """Whether digits of card numbers are written in such groups."""
+    return len(sizes) == 1 or sizes in ([4, 6, 4], [4, 6, 5]) or \
+        all(n == 4 for n in sizes[:-1]) and sizes[-1] <= 4
+
+
+def _cards(pattern: re.Pattern, text: str, net: Feistel) -> Iterator[tuple[int, int, str]]:
+    """Valid numbers among neighbouring groups of digits, whatever short numbers are next to them.
+
+    The whole run of groups comes first, then what is grouped like a card
+    number, then any other groups; of those the first and longest.
+    """
+    for run in pattern.finditer(text):
+        groups = [m.span() for m in _NUMBER.finditer(text, *run.span())]
+        sizes = [b - a for a, b in groups]
+        free = [True] * len(groups)
+        for allowed in (lambda i, j: j - i == len(sizes), lambda i, j: _usual(sizes[i:j]),
+                        lambda i, j: True):
+            i = 0
+            while i < len(groups):
+                ends, total, j = [], 0, i
+                while j < len(groups) and free[j] and total + sizes[j] <= 19:
+                    total += sizes[j]
+                    j += 1
+                    if total >= 13 and allowed(i, j):
+                        ends.append(j)
+                i += 1
+                for j in reversed(ends):
+                    start, end = groups[i - 1][0], groups[j - 1][1]
+                    new = _card(text[start:end], net)
+                    if new is not None:
+                        yield start, end, new
+                        free[i - 1:j] = [False] * (j - i + 1)
+                        i = j
+                        break
+
+
+def _ibans(pattern: re.Pattern, text: str, net: Feistel) -> Iterator[tuple[int, int, str]]:
+    """Valid numbers, without words in capitals that follow them."""
+    match = pattern.search(text)
+    while match:
+        start, at = match.start(), match.start() + 1
+        told = match.group()
+        while told:
+            new = _iban(told, net)
+            if new is not None:
+                at = start + len(told)
+                yield start, at, new
+                break
+            told = told.rpartition(" ")[0]
+        match = pattern.search(text, at)
+
+
+# kinds whose pattern may take a neighbour along
+_PARTS = {"card": _cards, "iban": _ibans}
 # every kind but secrets has a digit or an @; a text without either, "=" and ":" is left alone
 _HINT = re.compile(r"[0-9@=:]")
 
@@ -189,6 +247,9 @@ def pseudonymise(text: str, net: Feistel) -> tuple[str, list[tuple[str, int, int
         return text, []
     found: list[tuple[int, int, str, str]] = []
     for name, pattern, make in _PATTERNS:
+        if name in _PARTS:
+            found += [(start, end, name, new) for start, end, new in _PARTS[name](pattern, text, net)]
+            continue
         for match in pattern.finditer(text):
             start, end = match.span()
             new = make(match.group(), net)

@@ -59,6 +59,33 @@ def test_invalid_values_stay():
         assert pseudonymise(text, NET) == (text, [])
 
 
+@pytest.mark.parametrize("before, after", [
+    ("card ", " 12 items"), ("qty 2 ", ""), ("", " 123"), ("4 ", " 2 3"), ("1234 5678 9012 ", ""),
+    ("555-123-4567 ", " 2024"), ("12-", "-7"), ("1 2 3 4 5 6 7 8 9 ", " 1 2 3 4 5 6 7 8 9")])
+def test_cards_next_to_short_numbers(before, after):
+    rng = random.Random(5)
+    for _ in range(30):
+        plain = card(rng)
+        for number in (plain, " ".join(plain[i:i + 4] for i in range(0, 16, 4))):
+            new, spans = pseudonymise(before + number + after, NET)
+            assert number not in new and any(k == "card" for k, _, _ in spans)
+
+
+def test_cards_keep_their_pseudonym_next_to_others():
+    new = pseudonymise("4111111111111111", NET)[0]
+    assert pseudonymise("card 4111111111111111 12 items", NET)[0] == f"card {new} 12 items"
+    assert pseudonymise("4111111111111111 4111111111111111", NET)[0] == f"{new} {new}"
+
+
+def test_ibans_next_to_capitals():
+    for number in ("AT611904300234573201", "AT61 1904 3002 3457 3201"):
+        new = pseudonymise(number, NET)[0]
+        assert new != number
+        for before, after in (("", " BIC"), ("", " GIBA ATWW"), ("NR12 ABCD 1234 ", ""), ("", " 12")):
+            assert pseudonymise(before + number + after, NET)[0] == before + new + after
+        assert pseudonymise(f"{number} {number}", NET)[0] == f"{new} {new}"
+
+
 def test_equal_values_stay_linked_and_others_apart(frame):
     rng = random.Random(3)
     numbers = [card(rng) for _ in range(50)]
