@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .words import blocks
+from .words import blocks, mixed
 
 FEATURES = 1 << 14
 SKETCH = 48               # columns of the sketch
@@ -32,6 +32,7 @@ COMMON = 0.75             # share of the item's words in common subsequence with
 COMMON_WITH_ANSWER = 0.6  # enough if the answer is there too
 LEAST_WORDS = 8           # items with fewer words are told by their whole sequence only
 ITEMS_AT_ONCE = 1000
+ITEM_WORDS_AT_ONCE = 1 << 16
 _SEED = 20
 _BYTES = np.uint64(0x0101010101010101)
 _ANSWER = re.compile(r"(?i)\banswer\s*:")
@@ -153,14 +154,18 @@ def latent_space(docs: DataFrame, text: str = "text") -> Space:
 
 @dataclass
 class Items:
-    """Benchmark items, their words and latent vectors."""
+    """Benchmark items, their words, and latent vectors of the queries they are searched by."""
     ids: list
     answers: list[np.ndarray]  # as places in the vocabulary
-    vectors: np.ndarray
-    length: np.ndarray         # the compared passage length of each
+    vectors: np.ndarray        # of each query
+    of: np.ndarray             # the item of each query; long items have several
+    length: np.ndarray         # the compared passage length of each query
     vocabulary: np.ndarray     # sorted hashes of all their words
     has: np.ndarray            # item by vocabulary: whether it has the word
-    needed: np.ndarray         # words it must have in common with a passage at least
+    pairs: np.ndarray          # sorted places in `has` of all words of items ...
+    times: np.ndarray          # ... and how often the item has the word
+    needed: np.ndarray         # words it must have in common with a text at least
+    expected: np.ndarray       # of them, those that a passage of the compared length has room for
     reach: np.ndarray          # its number of words
     places: list[np.ndarray]   # its words as places in the vocabulary
 
@@ -173,6 +178,18 @@ def answer_of(text: str) -> str:
     return [x for x in _SENTENCE.split(text.strip()) if x.strip()][-1]
 
 
+def _compared(size: int) -> int:
+    return min(LENGTHS, key=lambda n: abs(np.log(n / size)))
+
+
+def _parts(words: np.ndarray) -> list[np.ndarray]:
+    """Stretches of an item that are searched: all of it, or as many as cover a long one."""
+    most = max(LENGTHS)
+    if len(words) <= most * 2 ** 0.5:
+        return [words]
+    return [words[at:at + most] for at in [*range(0, len(words) - most, most), len(words) - most]]
+
+
 def prepared(rows: list[tuple], space: Space) -> Items:
     """Items of (id, text) rows; texts without a word match nothing and are left out."""
     told = dict(document_words([t for _, t in rows]))
@@ -180,21 +197,27 @@ def prepared(rows: list[tuple], space: Space) -> Items:
     answers = [answer_of(rows[i][1]) for i in places]
     in_answer = dict(document_words(answers))
     words = [told[i] for i in places]
-    vectors = np.stack([space.table[_feature(w)].sum(axis=0) for w in words]) if words else \
+    queries = [(i, part) for i, w in enumerate(words) for part in _parts(w)]
+    vectors = np.stack([space.table[_feature(w)].sum(axis=0) for _, w in queries]) if queries else \
         np.zeros((0, space.table.shape[1]), np.float32)
     vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
     has = np.zeros((len(words), len(vocabulary) + 1), np.uint8)
     for i, w in enumerate(words):
         has[i, np.searchsorted(vocabulary, w)] = 1
     sizes = np.array([len(w) for w in words], int)
-    length = np.array([min(LENGTHS, key=lambda n: abs(np.log(n / s))) for s in sizes], int)
-    of = [np.searchsorted(vocabulary, w) for w in words]
+    length = np.array([_compared(len(w)) for _, w in queries], int)
+    of = np.array([i for i, _ in queries], int)
+    in_vocabulary = [np.searchsorted(vocabulary, w) for w in words]
+    pairs, times = np.unique(np.concatenate(
+        [np.zeros(0, int), *(i * (len(vocabulary) + 1) + w for i, w in enumerate(in_vocabulary))]),
+        return_counts=True)
+    needed = np.where(sizes >= LEAST_WORDS, COMMON_WITH_ANSWER, 1.0) * sizes
     return Items([rows[i][0] for i in places],
                  [np.searchsorted(vocabulary, in_answer.get(i, np.zeros(0, np.uint64)))
                   for i in range(len(places))],
                  vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9),
-                 length, vocabulary, has,
-                 np.where(sizes >= LEAST_WORDS, COMMON_WITH_ANSWER, 1.0) * sizes, sizes, of)
+                 of, length, vocabulary, has, pairs, times, needed,
+                 needed[of] * np.minimum(1, length / sizes[of]), sizes, in_vocabulary)
 
 
 def common_subsequence(item: np.ndarray, passage: np.ndarray) -> int:
@@ -218,6 +241,13 @@ def _within(short: np.ndarray, long: np.ndarray) -> bool:
     return all(word in rest for word in short.tolist())
 
 
+def _run_starts(rows: np.ndarray) -> np.ndarray:
+    """Where the run of equal values begins that a place of a sorted row is in."""
+    starts = np.zeros(rows.shape, np.int64)
+    starts[:, 1:] = np.where(rows[:, 1:] != rows[:, :-1], np.arange(1, rows.shape[1]), 0)
+    return np.maximum.accumulate(starts, axis=1)
+
+
 def _passages(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words of texts one after the other, with gaps no passage reaches over; start of each text; places
     that hold a word."""
@@ -232,6 +262,28 @@ def _passages(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return line, np.append(first, len(line)), used
 
 
+def _whole(known: np.ndarray, items: Items) -> Iterator[tuple[int, int]]:
+    """(place, item) where an item of fewer than LEAST_WORDS words stands as it is."""
+    of: dict[tuple, list[int]] = {}
+    for i, places in enumerate(items.places):
+        if len(places) < LEAST_WORDS:
+            of.setdefault(tuple(places.tolist()), []).append(i)
+    for size in sorted({len(told) for told in of}):
+        def keys(words: np.ndarray) -> np.ndarray:
+            key = np.zeros(words.shape[0] - size + 1, np.uint64)
+            for i in range(size):
+                key = mixed(key * np.uint64(31) + words[i:len(words) - size + 1 + i]
+                            .astype(np.uint64) + np.uint64(1))
+            return key
+
+        if len(known) < size:
+            continue
+        asked = np.unique(np.concatenate([keys(np.array(t)) for t in of if len(t) == size]))
+        for at in np.flatnonzero(np.isin(keys(known), asked)).tolist():
+            for item in of.get(tuple(known[at:at + size].tolist()), ()):
+                yield at, item
+
+
 def matches(docs: list[np.ndarray], space: Space, items: Items) -> dict[tuple[int, int], tuple]:
     """(share in common, answer found) of each (place in `docs`, item) of texts with an item."""
     line, first, used = _passages(docs)
@@ -246,6 +298,9 @@ def matches(docs: list[np.ndarray], space: Space, items: Items) -> dict[tuple[in
     step = min(LENGTHS) // OVERLAP
     parts = space.table[feature].reshape(-1, step, space.table.shape[1]).sum(axis=1)
     best: dict[tuple[int, int], tuple] = {}
+    for at, item in _whole(known, items):
+        key = int(np.searchsorted(first, at, "right") - 1), item
+        best[key] = (1.0, len(items.answers[item]) > 0)
     there = np.zeros(nowhere + 1, bool)
     for length in LENGTHS:
         while step < length // OVERLAP:
@@ -257,7 +312,7 @@ def matches(docs: list[np.ndarray], space: Space, items: Items) -> dict[tuple[in
         near = sum(filled[i:i + len(parts)] for i in range(OVERLAP))
         near = near / np.maximum(np.linalg.norm(near, axis=1, keepdims=True), 1e-9)
         at, of = np.nonzero(near @ items.vectors[chosen].T >= COSINE)
-        item = chosen[of]
+        item, expected = items.of[chosen[of]], items.expected[chosen[of]]
         needed = items.needed[item]
         for low in range(0, len(at), 1 << 14):
             some = slice(low, low + (1 << 14))
@@ -271,12 +326,14 @@ def matches(docs: list[np.ndarray], space: Space, items: Items) -> dict[tuple[in
             hit = np.take(has, words + (item[some] * (nowhere + 1)).astype(wide)[:, None])
             # eight bytes of 0 or 1 are added up by one multiplication
             seen = ((hit.view(np.uint64) * _BYTES) >> np.uint64(56)).sum(axis=1).astype(np.int64)
-            maybe = np.flatnonzero((seen * 3 >= needed[some]) & (b > a))
-            # of the words that it shares, different ones
+            maybe = np.flatnonzero((seen * 3 >= expected[some]) & (b > a))
+            # of the words that it shares, each as often as the item has it
             words = np.sort(np.where(hit[maybe], words[maybe], nowhere), axis=1)
-            different = ((words[:, 1:] != words[:, :-1]) & (words[:, :-1] != nowhere)).sum(axis=1) \
-                + (words[:, -1] != nowhere)
-            maybe = maybe[different * 3 >= needed[some][maybe]]
+            again = np.arange(length) - _run_starts(words)
+            told = (words + (item[some][maybe] * (nowhere + 1))[:, None])
+            pair = np.minimum(np.searchsorted(items.pairs, told), len(items.pairs) - 1)
+            shared = ((words != nowhere) & (again < items.times[pair])).sum(axis=1)
+            maybe = maybe[shared * 3 >= expected[some][maybe]]
             for k in maybe.tolist():
                 key = int(doc[k]), int(item[low + k])
                 target, inside = items.places[key[1]], known[a[k]:b[k]]
@@ -330,7 +387,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     """(id, item_id, common, answered) for every item that a document contains.
 
     All passages of all documents are compared with all items, `items_at_once`
-    of them at a time, which bounds what is broadcast. `common` is the share of
+    of them at a time or fewer long ones, which bounds what is broadcast. Items
+    of fewer than LEAST_WORDS words are also looked up as they are. `common` is the share of
     the item's words in common subsequence with the passage. Null, empty and
     wordless texts and items match nothing; repeated rows are searched each,
     repeated items found each.
@@ -341,7 +399,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                            T.StructField("common", T.DoubleType()),
                            T.StructField("answered", T.BooleanType())])
     asked = benchmark.filter(F.col(item_text).isNotNull()).select(item_id, item_text)
-    out, at_once = None, []
+    out, at_once, size = None, [], 0
 
     def search(rows: list[tuple]) -> DataFrame:
         shared = spark.sparkContext.broadcast((space, prepared(rows, space)))
@@ -349,9 +407,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
 
     for row in asked.toLocalIterator():
         at_once.append((row[0], row[1]))
-        if len(at_once) == items_at_once:
+        size += len(row[1].split())
+        if len(at_once) == items_at_once or size >= ITEM_WORDS_AT_ONCE:
             found = search(at_once)
-            out, at_once = found if out is None else out.unionByName(found), []
+            out, at_once, size = found if out is None else out.unionByName(found), [], 0
     if at_once or out is None:
         found = search(at_once)
         out = found if out is None else out.unionByName(found)

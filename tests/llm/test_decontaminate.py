@@ -78,6 +78,25 @@ def test_cosine_candidates_against_brute_force(spark, frame, planted):
     assert len(brute & found) >= 0.9 * len(brute)
 
 
+def test_verbatim_items_of_all_lengths(spark, frame):
+    rng = random.Random(7)
+    few = " ".join(rng.choices(["red", "green", "blue", "black", "white"], k=30))
+    items = [(i, sentence(rng, n)) for i, n in enumerate((8, 60, 90, 91, 128, 300, 320, 321, 1000))]
+    items += [(20, few), (21, "hapax"), (22, "hapax legomenon"), (23, "three rare ones"),
+              (24, "seven words that stand in one text"), (25, "three rare ones")]
+    rows = [(i, sentence(rng, rng.randrange(100, 500))) for i in range(60)]
+    for i, told in items:
+        for copy in range(3):
+            text = sentence(rng, rng.randrange(100, 1500)).split()
+            at = rng.randrange(len(text))
+            rows.append((1000 + 10 * i + copy, " ".join([*text[:at], told, *text[at:]])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = pairs(d.contaminated(frame(rows), bench))
+    leaks = {(1000 + 10 * i + copy, i) for i, _ in items for copy in range(3)}
+    assert leaks <= found
+    assert not {p for p in found if p[0] < 1000 and p[1] in (20, 21, 22, 23, 24, 25)}
+
+
 def test_sketch_does_not_depend_on_partitions(frame, planted):
     docs = frame(planted[0])
     one, many = (d.latent_space(docs.repartition(n)).table for n in (1, 7))
