@@ -69,7 +69,7 @@ def op8_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunks.repeated_passages(_documents(spark, sf_dir))
+    return chunks.whole_passages(_documents(spark, sf_dir))
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

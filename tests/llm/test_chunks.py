@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from claimweave.llm import chunks
@@ -71,6 +72,48 @@ def test_passages_of_fifty_words_are_caught(frame):
     assert got == set(range(1, 30))
 
 
+STOCK = "the of and a in to day year city house report water old new river market".split()
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(STOCK) + rng.choice(["", "s", "er", "ly", "ing", "ness"]) for _ in range(n))
+
+
+def test_many_passages_of_51_words_are_reported_whole(spark, frame):
+    rng = random.Random(8)
+    rows, where = [], {}
+    for i in range(300):
+        passage = prose(rng, 51)
+        for copy in range(2):
+            before = prose(rng, rng.randrange(0, 60))
+            rows.append((copy * 1000 + i, f"{before} {passage} {prose(rng, rng.randrange(0, 60))}"))
+        where[1000 + i] = (len(before) + 1, len(before) + 1 + len(passage))
+    got = {}
+    for r in chunks.whole_passages(frame(rows)).collect():
+        got.setdefault(r["doc_id"], []).append((r["start"], r["stop"]))
+    missed = [i for i, (a, b) in where.items()
+              if not any(x <= a and b <= y for x, y in got.get(i, ()))]
+    assert not missed
+
+
+def test_places_do_not_depend_on_blocks_or_surroundings(monkeypatch):
+    data = words(random.Random(9), 3000).encode()
+    ends, values = chunks.places(data)
+    shared = set(values.tolist()) & set(chunks.places(data[5000:5127])[1].tolist())
+    assert shared and np.diff(ends).max() <= chunks.SPREAD
+    monkeypatch.setattr(chunks, "_AT_ONCE", 300)
+    assert [x.tolist() for x in chunks.places(data)] == [ends.tolist(), values.tolist()]
+
+
+def test_deleting_whole_passages_keeps_first_copies(frame, odd_rows):
+    passage = words(random.Random(10), 51)
+    rows = [(1, f"Start {passage}. End"), (2, f"é{passage}, ü"), (3, f"日本 {passage} 日"),
+            *((100 + (i or 0), t) for i, t in odd_rows)]
+    kept = {r["doc_id"]: r["text"] for r in chunks.delete_passages(frame(rows)).collect()}
+    assert passage in kept[1] and kept[3].split() == ["日本", "日"]
+    assert len(kept[2]) < 30 and kept[2].endswith(", ü")
+
+
 def test_odd_rows(frame, odd_rows):
     docs = frame(odd_rows, clashing=True)
     got = {(r["doc_id"], r["first_id"]) for r in chunks.repeated_passages(docs).collect()}
