@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (bpe, chunks, decontaminate, langid, line_runs, outliers, prefix_counts, pseudonyms,
+from . import (bpe, chunks, collocations, decontaminate, langid, line_runs, outliers, prefix_counts, pseudonyms,
                simhash, toxicity)
 
 TOKEN_LIMIT = 512
@@ -80,6 +80,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,9 +93,52 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_byte_bpe, op3_line_runs, op4_pseudonyms, op5_outliers, op6_toxicity,
-        op7_decontaminate, op8_prefix_counts, op9_chunks, op10_langid, pipeline)}
+        op7_decontaminate, op8_prefix_counts, op9_chunks, op10_langid, op13_collocations,
+        pipeline)}
+
+
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(
+        coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+sequences AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w
+    FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM sequences WHERE len(w) > 0),
+phrases AS (
+    SELECT lang, w[i:i + k - 1] AS words, count(*) AS f
+    FROM places, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM phrases WHERE len(words) = 1 GROUP BY lang),
+frequent AS (SELECT lang, words, f FROM phrases WHERE f >= 100),
+spans AS (
+    SELECT lang, f, words, unnest(range(2, len(words))) AS k FROM frequent WHERE len(words) > 2),
+inner_phrases AS (
+    SELECT lang, f, words[i:i + k - 1] AS words
+    FROM (SELECT *, unnest(range(1, len(words) - k + 2)) AS i FROM spans)),
+hidden AS (
+    SELECT DISTINCT s.lang, s.words
+    FROM inner_phrases AS b JOIN frequent AS s ON s.lang = b.lang AND s.words = b.words
+    WHERE 100 * b.f >= 100 * s.f),
+cuts AS (
+    SELECT c.lang, c.words, c.f AS a, k, x.f AS l, y.f AS r,
+           (1000 * c.f::HUGEINT * t.n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score, t.n
+    FROM (SELECT *, unnest(range(1, len(words))) AS k FROM frequent
+          ANTI JOIN hidden USING (lang, words)) AS c
+    JOIN frequent AS x ON x.lang = c.lang AND x.words = c.words[1:k]
+    JOIN frequent AS y ON y.lang = c.lang AND y.words = c.words[k + 1:]
+    JOIN totals AS t ON t.lang = c.lang),
+lowest AS (
+    SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, n, score
+    FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM lowest QUALIFY rank <= 2000
+"""
 
 
 def all_sql() -> dict[str, str]:
-    """None of the methods can be told in SQL; tests hold them against plain versions."""
-    return {}
+    """DuckDB SQL where a method's result can be told in it; tests hold the others against plain
+    versions."""
+    return {"op13_collocations": COLLOCATIONS_SQL}
