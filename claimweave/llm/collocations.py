@@ -31,7 +31,7 @@ from .storage import stored
 LEAST_COUNT = 100
 MOST_WORDS = 5
 TOP = 2000
-SHARD_BYTES = 16 << 20        # text gathered by a task before it writes its shards
+SHARD_BYTES = 8 << 20         # text gathered by a task before it writes its shards
 FILTER_BITS = 1 << 30         # largest filter; 12 bits a phrase below that
 _SEGMENT_BITS = 1 << 19
 _ROWS = 1 << 16
