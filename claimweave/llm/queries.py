@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (bpe, chunks, collocations, decontaminate, langid, line_runs, outliers, prefix_counts, pseudonyms,
-               simhash, toxicity)
+from . import (bpe, chunks, collocations, decontaminate, langid, line_runs, outliers,
+               periodic_runs, prefix_counts, pseudonyms, simhash, toxicity)
 
 TOKEN_LIMIT = 512
 
@@ -80,6 +82,34 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def planted_order(doc_id: int | None, n_words: int) -> np.ndarray | None:
+    """Places of the words that make a tenth of the documents periodic from some word on.
+
+    Those without an id are left as they are.
+    """
+    if doc_id is None or not n_words:
+        return None
+    g, rest = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if rest:
+        return None
+    start = g % n_words
+    period = 1 + (n_words - start) // (3 + g % 8)
+    places = np.arange(n_words)
+    places[start:] = start + (places[start:] - start) % period
+    return places
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_documents(spark, sf_dir), order_of=planted_order)
+    best = periodic_runs.longest("runs")
+    told = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+        "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(told, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_documents(spark, sf_dir))
 
@@ -93,7 +123,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_byte_bpe, op3_line_runs, op4_pseudonyms, op5_outliers, op6_toxicity,
-        op7_decontaminate, op8_prefix_counts, op9_chunks, op10_langid, op13_collocations,
+        op7_decontaminate, op8_prefix_counts, op9_chunks, op10_langid, op12_periodic_runs, op13_collocations,
         pipeline)}
 
 
