@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (bpe, chunks, collocations, decontaminate, langid, line_runs, outliers,
-               periodic_runs, prefix_counts, pseudonyms, simhash, toxicity)
+               periodic_runs, prefix_counts, pseudonyms, quality, simhash, toxicity)
 
 TOKEN_LIMIT = 512
 
@@ -82,6 +82,16 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    held_out = langid.fold("doc_id", 3) == 1
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out)
+    model = quality.fit(docs, labels)
+    return quality.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def planted_order(doc_id: int | None, n_words: int) -> np.ndarray | None:
     """Places of the words that make a tenth of the documents periodic from some word on.
 
@@ -123,8 +133,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_byte_bpe, op3_line_runs, op4_pseudonyms, op5_outliers, op6_toxicity,
-        op7_decontaminate, op8_prefix_counts, op9_chunks, op10_langid, op12_periodic_runs, op13_collocations,
-        pipeline)}
+        op7_decontaminate, op8_prefix_counts, op9_chunks, op10_langid, op11_quality, op12_periodic_runs,
+        op13_collocations, pipeline)}
 
 
 COLLOCATIONS_SQL = r"""
