@@ -8,10 +8,11 @@ all extensions to the right, with their counts, and both ranges of an extended
 phrase follow from them. So phrases grow at both ends, all of one length at a
 time, and their counts are summed across shards.
 
-A phrase can be frequent only if its words, and the pairs of words in it, are.
-What is frequent in all shards together goes back to them as a Bloom filter,
-whose size is bounded. It only spares work: what it lets through wrongly fails
-the exact counts afterwards.
+Counts of phrases are first summed by hash: many more places than phrases, each
+shard's part packed. A phrase whose place stays below the limit is not frequent;
+of the others, the exact counts are summed. What may be frequent goes to the
+shards as a Bloom filter of bounded size. Both only spare work: what they let
+through wrongly fails the exact counts.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -33,6 +35,8 @@ MOST_WORDS = 5
 TOP = 2000
 SHARD_BYTES = 8 << 20         # text gathered by a task before it writes its shards
 FILTER_BITS = 1 << 30         # largest filter; 12 bits a phrase below that
+_PLACE_BITS = 24              # places of one part of the counts by hash
+_SHARDS_PER_PART = 4          # so many shards' phrases share a part, however many there are
 _SEGMENT_BITS = 1 << 19
 _ROWS = 1 << 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -158,45 +162,43 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def _bits(keys: np.ndarray, bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Segment of the filter, and the bits in it, that stand for each key."""
-    segment = (keys >> np.uint64(40)) % np.uint64(max(1, bits // _SEGMENT_BITS))
+def _bits(places: np.ndarray, bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Segment of the filter, and the bits in it, that stand for each place."""
+    mixed = (places.astype(np.uint64) + np.uint64(1)) * _STEP
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    segment = (mixed >> np.uint64(1)) % np.uint64(max(1, bits // _SEGMENT_BITS))
     size = np.uint64(min(bits, _SEGMENT_BITS))
-    mixed = keys * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
     return segment.astype(np.int64), [
         ((mixed >> np.uint64(shift)) % size).astype(np.int64) for shift in (0, 15, 30, 44)]
 
 
+def _places(keys: np.ndarray, parts: int) -> np.ndarray:
+    return (keys % np.uint64(parts << _PLACE_BITS)).astype(np.int64)
+
+
 @dataclass
 class Filter:
+    """The places of phrases that may be frequent."""
+
+    parts: int
     bits: int
     data: np.ndarray    # packed, eight to a byte
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
-        segment, places = _bits(keys, self.bits)
+        segment, bits = _bits(_places(keys, self.parts), self.bits)
         out = np.ones(len(keys), bool)
-        for place in places:
-            bit = segment * min(self.bits, _SEGMENT_BITS) + place
+        for one in bits:
+            bit = segment * min(self.bits, _SEGMENT_BITS) + one
             out &= (self.data[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
         return out
 
 
-def _phrase_keys(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        langs = batch.column(0).to_pylist()
-        keys = np.fromiter(
-            (int(_keys(_hashes(phrase.encode().split(b" "))[None, :], lang)[0])
-             for lang, phrase in zip(langs, batch.column(1).to_pylist())),
-            np.uint64, len(langs))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(_bits(keys, bits)[0]), pa.array(keys.view(np.int64))], ["segment", "key"])
-
-
 def _segments(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     size = min(bits, _SEGMENT_BITS)
     held: dict[int, np.ndarray] = {}
     for batch in batches:
-        segment, places = _bits(batch.column(1).to_numpy().view(np.uint64), bits)
+        segment, places = _bits(batch.column(1).to_numpy(), bits)
         for s in np.unique(segment).tolist():
             data = held.setdefault(s, np.zeros(size // 8, np.uint8))
             for place in places:
@@ -207,25 +209,71 @@ def _segments(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Recor
                                          ["segment", "data"])
 
 
-def bloom_filter(phrases: DataFrame, most_bits: int = FILTER_BITS) -> Filter:
-    """Filter of the rows of (lang, phrase), of `most_bits` (a power of two) at most.
+def _with_segment(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        places = batch.column(0).to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(_bits(places, bits)[0]), batch.column(0)],
+                                         ["segment", "place"])
 
-    Each phrase sets four bits of one segment; segments are made where the
-    phrases of each are brought together, and only they reach the driver.
+
+def bloom_filter(places: DataFrame, parts: int, most_bits: int = FILTER_BITS) -> Filter:
+    """Filter of a column of places, of `most_bits` (a power of two) at most.
+
+    Each place sets four bits of one segment; segments are made where the places
+    of each are brought together, and only they reach the driver.
     """
-    wanted = 12 * phrases.count()
+    wanted = 12 * places.count()
     bits = 1 << 13
     while bits < wanted and bits < most_bits:
         bits *= 2
-    made = (phrases.select("lang", "phrase")
-            .mapInArrow(partial(_phrase_keys, bits=bits), "segment long, key long")
+    made = (places.mapInArrow(partial(_with_segment, bits=bits), "segment long, place long")
             .repartition("segment").mapInArrow(partial(_segments, bits=bits),
                                                "segment long, data binary"))
     data = np.zeros(bits // 8, np.uint8)
     size = min(bits, _SEGMENT_BITS) // 8
     for row in made.collect():
         data[row["segment"] * size:(row["segment"] + 1) * size] |= np.frombuffer(row["data"], np.uint8)
-    return Filter(bits, data)
+    return Filter(parts, bits, data)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Bytes of 32-bit numbers, first all lowest ones, and so on; they compress better so."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
+def _hashed(keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Counts of a shard by place, a row for each part: gaps between places, and counts."""
+    order = np.argsort(_places(keys, parts))
+    place, n = _places(keys, parts)[order], np.minimum(counts[order], (1 << 32) - 1)
+    part = place >> _PLACE_BITS
+    head = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
+    data, size = [], []
+    for a, b in zip(head, [*head[1:], len(place)]):
+        within = place[a:b] & ((1 << _PLACE_BITS) - 1)
+        data.append(pa.compress(_planes(np.diff(within, prepend=0)) + _planes(n[a:b]),
+                                codec="zstd", asbytes=True))
+        size.append(b - a)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[head] if len(part) else [], pa.int64()), pa.array(size, pa.int64()),
+         pa.array(data, pa.binary())], ["part", "size", "data"])
+
+
+def _reaching(rows: pd.DataFrame, least: int) -> pd.DataFrame:
+    """Places of a part whose counts reach `least` in all shards together."""
+    place, n = [], []
+    for size, data in zip(rows["size"], rows["data"]):
+        raw = pa.decompress(data, 8 * size, codec="zstd", asbytes=True)
+        place.append(np.cumsum(_from_planes(raw[:4 * size])))
+        n.append(_from_planes(raw[4 * size:]))
+    every, at = np.unique(np.concatenate(place), return_inverse=True)
+    total = np.bincount(at, weights=np.concatenate(n))  # exact below 2 ** 53
+    found = every[total >= least] + (int(rows["part"].iloc[0]) << _PLACE_BITS)
+    return pd.DataFrame({"place": found})
 
 
 def _packed(ids: np.ndarray) -> bytes:
@@ -298,38 +346,46 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array,
                 *(_unpacked(batch.column(side)[i].as_py(), n) for side in ("left", "right"))))
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for lang, words, index in _shards(batches):
-        yield from _told(lang, words, index.single())
-
-
-def _pairs(index: Index, lang: str, hashes: np.ndarray, words: Filter) -> Phrases:
-    """Pairs of words that may be frequent."""
-    usable = words.holds(_keys(hashes[:, None], lang))
-    pairs = index.extended(index.single().only(usable), 1)
-    return pairs.only(usable[pairs.words[:, 1] - 1])
-
-
-def _two(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+def _grown(index: Index, lang: str, hashes: np.ndarray, may: list[Filter],
+           most_words: int) -> Iterator[tuple[Phrases, np.ndarray]]:
+    """Phrases of 1 to `most_words` words with their keys, extended to the right and to the left
+    in turn. The first filter knows words and pairs, the second longer phrases."""
+    phrases = index.single()
+    for n in range(1, most_words + 1):
+        side = 1 if n == 2 else n % 2
+        if n > 1:
+            phrases = index.extended(phrases, side)
+        if n > 2:  # a longer phrase is as rare as the pair at its new end
+            ends = phrases.words[:, -2:] if side else phrases.words[:, :2]
+            phrases = phrases.only(may[0].holds(_keys(hashes[ends - 1], lang)))
+        keys = _keys(hashes[phrases.words - 1], lang)
+        known = may[0] if n <= 2 and may else may[1] if n > 2 and len(may) > 1 else None
+        if known is not None:
+            some = known.holds(keys)
+            phrases, keys = phrases.only(some), keys[some]
+        yield phrases, keys
+
+
+def _by_hash(batches: Iterator[pa.RecordBatch], lengths: tuple[int, int], parts: int,
+             shared=None) -> Iterator[pa.RecordBatch]:
+    """Counts by place of the phrases of some lengths."""
     for lang, words, index in _shards(batches):
-        yield from _told(lang, words, _pairs(index, lang, _hashes(words.to_pylist()),
-                                             shared.value[0]))
+        keys, counts = [], []
+        for phrases, some in _grown(index, lang, _hashes(words.to_pylist()),
+                                    shared.value if shared else [], lengths[1]):
+            if phrases.words.shape[1] >= lengths[0]:
+                keys.append(some)
+                counts.append(phrases.count)
+        yield _hashed(np.concatenate(keys), np.concatenate(counts), parts)
 
 
-def _longer(batches: Iterator[pa.RecordBatch], shared, most_words: int) -> Iterator[pa.RecordBatch]:
-    """Phrases of three words or more, extended to the right and to the left in turn."""
+def _exact(batches: Iterator[pa.RecordBatch], most_words: int, shared) -> Iterator[pa.RecordBatch]:
+    """Counts of the phrases that may be frequent; of the empty phrase, the number of words."""
     for lang, words, index in _shards(batches):
-        hashes = _hashes(words.to_pylist())
-
-        def may(pair: np.ndarray) -> np.ndarray:
-            return shared.value[1].holds(_keys(hashes[pair - 1], lang))
-
-        phrases = _pairs(index, lang, hashes, shared.value[0])
-        phrases = phrases.only(may(phrases.words))
-        for n in range(3, most_words + 1):
-            side = n % 2
-            phrases = index.extended(phrases, side)
-            phrases = phrases.only(may(phrases.words[:, -2:] if side else phrases.words[:, :2]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang], pa.string()), pa.array([""]),
+             pa.array([int(index.counts[1:].sum())], pa.int64())], ["lang", "phrase", "n"])
+        for phrases, _ in _grown(index, lang, _hashes(words.to_pylist()), shared.value, most_words):
             yield from _told(lang, words, phrases)
 
 
@@ -337,23 +393,26 @@ def frequent_phrases(index: DataFrame, least: int = LEAST_COUNT, most_words: int
                      most_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, n) of all phrases of 1 to `most_words` words that occur `least` times or
     more, counted over all shards, and (lang, n) of all words."""
-    schema = "lang string, phrase string, n long"
-
-    def summed(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-
     sc = index.sparkSession.sparkContext
-    vocabulary = stored(summed(index.mapInArrow(_words, schema)), "words")
-    totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("n"))
-    one = vocabulary.filter(F.col("n") >= least)
-    filters = [bloom_filter(one, most_bits)]
-    two = stored(summed(index.mapInArrow(partial(_two, shared=sc.broadcast(filters)), schema))
-                 .filter(F.col("n") >= least), "pairs")
-    filters = [*filters, bloom_filter(two, most_bits)]
-    more = stored(summed(index.mapInArrow(
-        partial(_longer, shared=sc.broadcast(filters), most_words=most_words), schema))
-        .filter(F.col("n") >= least), "phrases")
-    return one.unionByName(two).unionByName(more), totals
+    shards, parts = index.count(), 1
+    while parts * _SHARDS_PER_PART < shards:
+        parts *= 2
+    filters: list[Filter] = []
+    for lengths in ((1, min(2, most_words)), (3, most_words)):
+        if lengths[0] > lengths[1]:
+            continue
+        counted = index.mapInArrow(
+            partial(_by_hash, lengths=lengths, parts=parts, shared=sc.broadcast(filters)),
+            "part long, size long, data binary")
+        places = stored(counted.groupBy("part").applyInPandas(
+            partial(_reaching, least=least), "place long"), "places")
+        filters = [*filters, bloom_filter(places, parts, most_bits)]
+    counts = stored(index.mapInArrow(
+        partial(_exact, most_words=most_words, shared=sc.broadcast(filters)),
+        "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+        .filter((F.col("n") >= least) | (F.col("phrase") == "")), "phrases")
+    return (counts.filter(F.col("phrase") != ""),
+            counts.filter(F.col("phrase") == "").select("lang", "n"))
 
 
 def _whole(x: Column) -> Column:
