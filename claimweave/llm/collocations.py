@@ -10,13 +10,14 @@ time, and their counts are summed across shards.
 
 Counts of phrases are first summed by hash: many more places than phrases, each
 shard's part packed. A phrase whose place stays below the limit is not frequent;
-of the others, the exact counts are summed. What may be frequent goes to the
+of the others, the exact counts are summed, packed alike. What may be frequent goes to the
 shards as a Bloom filter of bounded size. Both only spare work: what they let
 through wrongly fails the exact counts.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -38,7 +39,6 @@ FILTER_BITS = 1 << 30         # largest filter; 12 bits a phrase below that
 _PLACE_BITS = 24              # places of one part of the counts by hash
 _SHARDS_PER_PART = 4          # so many shards' phrases share a part, however many there are
 _SEGMENT_BITS = 1 << 19
-_ROWS = 1 << 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 # bytes of words, blanks between words, and marks that end a piece
@@ -327,15 +327,10 @@ def build_index(docs: DataFrame, text: str = "text", lang: str = "lang",
         "lang string, n long, words array<binary>, left binary, right binary"), "word-index")
 
 
-def _told(lang: str, words: pa.Array, phrases: Phrases) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(phrases.count), _ROWS):
-        some = slice(at, at + _ROWS)
-        columns = [words.take(pa.array(phrases.words[some, i] - 1))
-                   for i in range(phrases.words.shape[1])]
-        phrase = pc.binary_join_element_wise(*columns, b" ") if len(columns) > 1 else columns[0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(phrase), pa.string()), phrase.cast(pa.string()),
-             pa.array(phrases.count[some].astype(np.int64))], ["lang", "phrase", "n"])
+def _told(words: pa.Array, phrases: Phrases) -> list[bytes]:
+    columns = [words.take(pa.array(phrases.words[:, i] - 1)) for i in range(phrases.words.shape[1])]
+    return (pc.binary_join_element_wise(*columns, b" ") if len(columns) > 1
+            else columns[0]).to_pylist()
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array, Index]]:
@@ -380,13 +375,40 @@ def _by_hash(batches: Iterator[pa.RecordBatch], lengths: tuple[int, int], parts:
 
 
 def _exact(batches: Iterator[pa.RecordBatch], most_words: int, shared) -> Iterator[pa.RecordBatch]:
-    """Counts of the phrases that may be frequent; of the empty phrase, the number of words."""
+    """Counts of the phrases that may be frequent, a row for each part of the places: the phrases,
+    a line each, and their counts. The empty phrase has the number of words."""
+    parts = shared.value[0].parts
     for lang, words, index in _shards(batches):
+        told, counts, part = [b""], [np.array([index.counts[1:].sum()])], [np.zeros(1, np.int64)]
+        for phrases, keys in _grown(index, lang, _hashes(words.to_pylist()), shared.value,
+                                    most_words):
+            told += _told(words, phrases)
+            counts.append(phrases.count)
+            part.append(_places(keys, parts) >> _PLACE_BITS)
+        part, counts = np.concatenate(part), np.concatenate(counts).astype("<i8")
+        order = np.argsort(part, kind="stable")
+        head = np.flatnonzero(np.append(True, np.diff(part[order]) > 0))
+        groups = np.split(order, head[1:])
+        lines = [b"\n".join([told[i] for i in some]) for some in groups]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang], pa.string()), pa.array([""]),
-             pa.array([int(index.counts[1:].sum())], pa.int64())], ["lang", "phrase", "n"])
-        for phrases, _ in _grown(index, lang, _hashes(words.to_pylist()), shared.value, most_words):
-            yield from _told(lang, words, phrases)
+            [pa.array(part[order][head]), pa.array([lang] * len(head), pa.string()),
+             pa.array([len(x) for x in lines], pa.int64()),
+             pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in lines], pa.binary()),
+             pa.array([counts[some].tobytes() for some in groups], pa.binary())],
+            ["part", "lang", "size", "phrases", "counts"])
+
+
+def _summed(rows: pd.DataFrame, least: int) -> pd.DataFrame:
+    """Phrases of a part that occur `least` times or more in all shards together."""
+    total: dict[tuple[str, bytes], int] = defaultdict(int)
+    for lang, size, phrases, counts in zip(rows["lang"], rows["size"], rows["phrases"],
+                                           rows["counts"]):
+        lines = pa.decompress(phrases, size, codec="zstd", asbytes=True).split(b"\n")
+        for phrase, n in zip(lines, np.frombuffer(counts, "<i8").tolist()):
+            total[lang, phrase] += n
+    found = [(lang, phrase.decode(), n) for (lang, phrase), n in total.items()
+             if n >= least or not phrase]
+    return pd.DataFrame(found, columns=["lang", "phrase", "n"])
 
 
 def frequent_phrases(index: DataFrame, least: int = LEAST_COUNT, most_words: int = MOST_WORDS,
@@ -409,8 +431,9 @@ def frequent_phrases(index: DataFrame, least: int = LEAST_COUNT, most_words: int
         filters = [*filters, bloom_filter(places, parts, most_bits)]
     counts = stored(index.mapInArrow(
         partial(_exact, most_words=most_words, shared=sc.broadcast(filters)),
-        "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-        .filter((F.col("n") >= least) | (F.col("phrase") == "")), "phrases")
+        "part long, lang string, size long, phrases binary, counts binary")
+        .groupBy("part").applyInPandas(partial(_summed, least=least),
+                                       "lang string, phrase string, n long"), "phrases")
     return (counts.filter(F.col("phrase") != ""),
             counts.filter(F.col("phrase") == "").select("lang", "n"))
 
