@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.similarity import jaro_winkler_column
 from ..operators.agreement import Agreement, Model, agreements
+from ..operators.segments import segments, windows
 from ..operators.skew import attach, meet
 from ..session import stored
 
@@ -218,28 +219,67 @@ def _likeness(left: str, right: str) -> Column:
 
 
 EDIT_THRESHOLD = "0.75"
+EDIT_NAME, EDIT_DOB, EDIT_PLACE = 0.3, 0.2, 0.2
+EDIT_KEYS = 1000  # keys of one record, for names of usual length
 
 
-def edit_distance_score(pairs: DataFrame, people: DataFrame,
-                        threshold: str = EDIT_THRESHOLD) -> DataFrame:
-    """Alternative score of profile pairs: 0.3 first name, 0.3 last name,
-    0.2 birth-year distance, 0.2 address; pairs from `threshold` on.
+def name_likeness(threshold: str, place: float) -> float:
+    """How alike both names must be in sum, at an address score of `place` and equal birth years."""
+    # a score counts from half a thousandth below the threshold on
+    least = float(threshold) - 0.0005 - 1e-9
+    return (least - EDIT_DOB - EDIT_PLACE * place) / EDIT_NAME
+
 
-    `pairs` must be those of the plain blocks: equal birth years alone leave so
-    much to the names that no smaller set of agreements follows from the score.
+def edit_candidates(people: DataFrame, rows: int, threshold: str = EDIT_THRESHOLD) -> DataFrame:
+    """(rep_a, rep_b): profile pairs of different systems that the edit-distance score can accept.
+
+    Without an equal zip nearly all must come from the names, so both have a
+    segment in common. With an equal zip, or zip and city, the better name
+    alone is that alike; with an equal street there is nothing to derive, and
+    the address is the key. Nothing is lost; names may be NULL, which counts as
+    empty.
     """
-    traits = ("first", "last", "dob", "street", "city", "zip")
+    levels = dict(Model().address_levels)
+    both = min(1.0, name_likeness(threshold, 0.0) - 1)
+    better = min(1.0, name_likeness(threshold, float(Decimal(levels["city"]))) / 2)
+    first, last = (F.coalesce(F.col(c), F.lit("")) for c in ("first", "last"))
+
+    def keys(take) -> Column:
+        names = F.flatten(F.transform(take(last, both), lambda x: F.transform(
+            take(first, both), lambda y: F.xxhash64(F.lit(0), x, y))))
+        near = [F.when(F.col("zip").isNotNull(), F.transform(
+            take(name, better), lambda x: F.xxhash64(F.lit(number), "zip", x)))
+            for number, name in ((1, last), (2, first))]
+        home = F.when(F.col("zip").isNotNull() & F.col("street").isNotNull(),
+                      F.array(F.xxhash64(F.lit(3), "zip", "city", "street")))
+        return F.explode(F.flatten(F.array(
+            names, *(F.coalesce(x, F.array().cast("array<bigint>")) for x in (*near, home)))))
+
+    left = people.select(keys(segments).alias("k"), F.col("rep").alias("rep_a"),
+                         F.col("system").alias("sa"))
+    right = people.select(keys(windows).alias("k"), F.col("rep").alias("rep_b"),
+                          F.col("system").alias("sb"))
+    # one record's keys are bounded by the length of its names
+    return (meet(left, right, "k", "rep_a", "rep_b", rows * EDIT_KEYS)
+            .filter(F.col("sa") < F.col("sb")).select("rep_a", "rep_b").distinct())
+
+
+def edit_distance_score(pairs: DataFrame, people: DataFrame,
+                        threshold: str = EDIT_THRESHOLD) -> DataFrame:
+    """Alternative score of the given profile pairs that lie in a plain block: 0.3 first name,
+    0.3 last name, 0.2 birth-year distance, 0.2 address; pairs from `threshold` on."""
+    traits = ("first", "last", "dob", "phone", "street", "city", "zip")
 
     def side(tag):
         return people.select(F.col("rep").alias(f"rep_{tag}"),
                              *[F.col(t).alias(f"{t}_{tag}") for t in traits])
 
-    wide = pairs.join(side("a"), "rep_a").join(side("b"), "rep_b").withColumn(
-        "address_score", _level(_place_relation(), Model().address_levels, None))
+    wide = (pairs.join(side("a"), "rep_a").join(side("b"), "rep_b").filter(_in_block())
+            .withColumn("address_score", _level(_place_relation(), Model().address_levels, None)))
     years = F.abs(F.year("dob_a") - F.year("dob_b"))
     dated = F.coalesce(1.0 - F.least(years, F.lit(100)) / 100.0, F.lit(0.0))
-    total = (_likeness("first_a", "first_b") * 0.3 + _likeness("last_a", "last_b") * 0.3
-             + dated * 0.2 + F.col("address_score").cast("double") * 0.2)
+    total = (_likeness("first_a", "first_b") * EDIT_NAME + _likeness("last_a", "last_b") * EDIT_NAME
+             + dated * EDIT_DOB + F.col("address_score").cast("double") * EDIT_PLACE)
     return (wide.withColumn("edit_score", F.round(total, 3).cast("decimal(4,3)"))
             .filter(F.col("edit_score") >= F.lit(Decimal(threshold)))
             .select("rep_a", "rep_b", "edit_score"))

@@ -117,8 +117,8 @@ class Warehouse:
     def edit_pairs(self) -> DataFrame:
         """(nid_a, nid_b, edit_score): record pairs of the plain blocks by the other score."""
         def make():
-            pairs = store_rows(fuzzy.candidates(self.people(), self.people_rows(), self.model,
-                                                mode="blocks"), "blocked")
+            pairs = store_rows(fuzzy.edit_candidates(self.people(), self.people_rows()),
+                               "edit-candidates")
             scored = store_rows(fuzzy.edit_distance_score(pairs, self.people()), "edit-scored")
             reps = (scored.select(F.col("rep_a").alias("rep"))
                     .unionByName(scored.select(F.col("rep_b").alias("rep"))).distinct())
