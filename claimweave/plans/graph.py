@@ -66,18 +66,13 @@ def identifiers(providers: DataFrame, referrals: DataFrame) -> DataFrame:
 EVIDENCE = {"listed organisation": 0.9, "same claim": 0.7, "same referral order": 0.6}
 
 
-def _confidence() -> Column:
+def confidence() -> Column:
     base = F.coalesce(*[F.when(F.col("evidence") == k, F.lit(v)) for k, v in EVIDENCE.items()])
     return F.round(1.0 - F.pow(1.0 - base, F.col("support")), 3).cast("decimal(4,3)")
 
 
-def edges(providers: DataFrame, referrals: DataFrame, headers: DataFrame) -> DataFrame:
-    """refers_to (provider to firm), employed_by (provider to organisation) and
-    billed_by (rendering to billing provider), with the rows that support each.
-
-    A single row of a kind of evidence is as good as EVIDENCE says; each further
-    row leaves the same share of the remaining doubt.
-    """
+def links(providers: DataFrame, referrals: DataFrame, headers: DataFrame) -> DataFrame:
+    """A row for every source row that supports an edge."""
     refer = referrals.filter(
         "referring_provider_npi IS NOT NULL AND counterparty_org_name IS NOT NULL").select(
         person_id("referring_provider_npi").alias("from_entity_id"),
@@ -95,7 +90,17 @@ def edges(providers: DataFrame, referrals: DataFrame, headers: DataFrame) -> Dat
         person_id("billing_provider_npi").alias("to_entity_id"),
         F.lit("billed_by").alias("edge_type"), F.lit("rcm").alias("source_system"),
         F.lit("same claim").alias("evidence"))
-    return (refer.unionByName(employ).unionByName(bill)
+    return refer.unionByName(employ).unionByName(bill)
+
+
+def edges(providers: DataFrame, referrals: DataFrame, headers: DataFrame) -> DataFrame:
+    """refers_to (provider to firm), employed_by (provider to organisation) and
+    billed_by (rendering to billing provider), with the rows that support each.
+
+    A single row of a kind of evidence is as good as EVIDENCE says; each further
+    row leaves the same share of the remaining doubt.
+    """
+    return (links(providers, referrals, headers)
             .groupBy("from_entity_id", "to_entity_id", "edge_type", "source_system", "evidence")
             .agg(F.count("*").alias("support"))
-            .withColumn("confidence", _confidence()))
+            .withColumn("confidence", confidence()))

@@ -22,7 +22,7 @@ from ..sources.samples import PAYERS, external, landed
 from ..sources.sinks import write_csv
 from ..streaming.upsert import current_rows, start_upsert
 from . import (checks, clinical, consistency, dimensions, evaluation, fixtures, graph, identity,
-               incremental, reports, rules as rule_plan)
+               incremental, reports, resolve, rules as rule_plan)
 from .spine import numbered
 from .warehouse import Warehouse
 
@@ -370,6 +370,24 @@ def _registry_providers(spark, sf):
         house.clean("referral_order"), external(spark, sf, "registry"))
 
 
+def _resolved(spark, sf):
+    house = warehouse(spark, sf)
+    return house, *house.once("resolved", lambda: resolve.resolved(resolve.mentions(
+        house.table("dim_provider"), house.table("referral_order"),
+        external(spark, sf, "providers"))))
+
+
+def _resolved_entities(spark, sf):
+    _, named, evidence = _resolved(spark, sf)
+    return resolve.entities(named, evidence)
+
+
+def _resolved_edges(spark, sf):
+    house, named, _ = _resolved(spark, sf)
+    return resolve.edges(named, graph.links(*[house.table(n) for n in (
+        "dim_provider", "referral_order", "rcm_claim_header")]))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable] = {"bronze_row_hash": _row_hashes, "bronze_audit_columns": _audit}
     out |= {f"silver_{n}": _table(n, ("_silver_loaded_at",)) for n in SOURCES}
@@ -447,6 +465,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "graph_entities": _over(graph.entities, "dim_provider", "referral_order"),
         "graph_identifiers": _over(graph.identifiers, "dim_provider", "referral_order"),
         "graph_edges": _over(graph.edges, "dim_provider", "referral_order", "rcm_claim_header"),
+        "graph_resolved_entities": _resolved_entities,
+        "graph_resolved_edges": _resolved_edges,
         "fixture_accounts": _over(consistency.account_drift, "rcm_patient_account",
                                   "emr_patient"),
         "fixture_money_lines": _over(consistency.money_by_claim, "rcm_claim_line"),

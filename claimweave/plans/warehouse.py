@@ -54,6 +54,10 @@ class Warehouse:
             self._tables[name] = store_rows(df, name.strip("_").split()[0]) if stored else df
         return self._tables[name]
 
+    def once(self, name: str, make: Callable[[], object]):
+        """What `make` returns, made on the first call and remembered under `name`."""
+        return self._once(f"once {name}", make)
+
     def _rows(self, name: str, df: DataFrame) -> int:
         if name not in self._counts:
             self._counts[name] = df.count()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from claimweave.operators.quality import TEST_KEY
 from claimweave.plans import checks, clinical
 from claimweave.plans.graph import EVIDENCE
+from claimweave.plans.resolve import ADDRESS_LIKENESS, NAME_LIKENESS
 from claimweave.plans.queries import DIMENSION_MEMBERS, _missing_column
 from claimweave.plans.rules import RULES
 from claimweave.sources.layout import LINEAGE, OVERDUE_BUCKETS, SOURCES
@@ -536,6 +537,77 @@ SELECT {_person_key('rendering_provider_npi')}, {_person_key('billing_provider_n
   'rcm', 'same claim'
 FROM rcm_claim_header
 WHERE billing_provider_npi IS NOT NULL AND rendering_provider_npi IS NOT NULL""")
+_PLAIN = ("TRIM(REGEXP_REPLACE(REGEXP_REPLACE(UPPER({}), '[^A-Z0-9 ]', '', 'g'),"
+          " ' +', ' ', 'g'))")
+_PLACE = "NULLIF(UPPER(CONCAT_WS(' ', {}, {})), '')"
+part("mention_rows", "dim_provider referral_order ext_providers", f"""
+SELECT 'provider:' || source_provider_id AS mention, 'person' AS entity_type,
+  {_PLAIN.format('full_name')} AS name, {_PLACE.format('address_line1', 'zip')} AS address, phone,
+  npi, NULL AS case_id, NULL AS org_type, source_system, {_person_key('npi')} AS entity_id
+FROM dim_provider
+UNION ALL
+SELECT 'employer:' || source_provider_id, 'org', {_legal('org_name')},
+  {_PLACE.format('address_line1', 'zip')}, phone, NULL, NULL, NULL, source_system, {_org('org_name')}
+FROM dim_provider WHERE org_name IS NOT NULL
+UNION ALL
+SELECT 'firm:' || referral_order_id, 'org', {_legal('counterparty_org_name')}, NULL, NULL, NULL,
+  case_reference_id, counterparty_org_type, 'referral', {_org('counterparty_org_name')}
+FROM referral_order WHERE counterparty_org_name IS NOT NULL
+UNION ALL
+SELECT 'clinical:' || "Id", 'person', {_PLAIN.format('"NAME"')}, {_PLACE.format('"ADDRESS"', '"ZIP"')},
+  NULL, NULL, NULL, NULL, 'clinical', NULL FROM ext_providers""")
+part("mention_sets", "mention_rows", """
+SELECT *, CASE WHEN LENGTH(name) > 0 THEN LIST_DISTINCT(LIST_TRANSFORM(
+    RANGE(1, GREATEST(LENGTH(name) - 2, 1) + 1), LAMBDA i: SUBSTRING(name, i, 3))) END AS grams,
+  LIST_DISTINCT(STRING_SPLIT_REGEX(address, '\\s+')) AS words
+FROM mention_rows""")
+
+
+def _overlap(c: str) -> str:
+    return (f"CAST(LEN(LIST_INTERSECT(x.{c}, y.{c})) AS DOUBLE)"
+            f" / LEN(LIST_DISTINCT(LIST_CONCAT(x.{c}, y.{c})))")
+
+
+_MENTION_PAIR = ("FROM mention_sets x JOIN mention_sets y"
+                 " ON x.mention < y.mention AND x.entity_type = y.entity_type")
+part("mention_pairs", "mention_sets", f"""
+SELECT x.mention AS u, y.mention AS v, 'name and address' AS evidence {_MENTION_PAIR}
+WHERE x.address IS NOT NULL AND y.address IS NOT NULL
+  AND {_overlap('words')} >= {ADDRESS_LIKENESS} AND {_overlap('grams')} >= {NAME_LIKENESS}
+UNION ALL
+SELECT x.mention, y.mention, 'phone and address' {_MENTION_PAIR} AND x.phone = y.phone
+WHERE x.phone <> '' AND x.address IS NOT NULL AND y.address IS NOT NULL
+  AND {_overlap('words')} >= {ADDRESS_LIKENESS}
+UNION ALL
+SELECT x.mention, y.mention, 'case, type and name' {_MENTION_PAIR} AND x.case_id = y.case_id
+  AND x.org_type = y.org_type
+WHERE {_overlap('grams')} >= {NAME_LIKENESS}
+UNION ALL
+SELECT MIN(mention) OVER (PARTITION BY npi), mention, 'same NPI' FROM mention_sets
+WHERE npi IS NOT NULL
+UNION ALL
+SELECT MIN(mention) OVER (PARTITION BY name), mention, 'same legal name' FROM mention_sets
+WHERE entity_type = 'org' AND name <> ''""")
+part("mention_links", "mention_pairs", "SELECT * FROM mention_pairs WHERE u <> v")
+part("mention_near", "mention_links", """
+SELECT u AS node, v AS other FROM mention_links UNION SELECT v, u FROM mention_links""")
+part("mention_reached", "mention_reached mention_near mention_rows", """
+SELECT mention AS node, mention AS label FROM mention_rows
+UNION
+SELECT a.other, r.label FROM mention_reached r JOIN mention_near a ON a.node = r.node
+WHERE r.label < a.other""")
+part("resolved_mentions", "mention_reached mention_rows", """
+SELECT m.*, 'RES-' || MD5(r.label) AS resolved_id
+FROM mention_rows m JOIN (SELECT node, MIN(label) AS label FROM mention_reached GROUP BY node) r
+  ON r.node = m.mention""")
+part("resolved_names", "resolved_mentions", """
+SELECT resolved_id, name, COUNT(*) AS n FROM resolved_mentions WHERE name <> '' GROUP BY ALL""")
+part("resolved_evidence", "resolved_mentions mention_links", """
+SELECT resolved_id, STRING_AGG(evidence, ', ' ORDER BY evidence) AS evidence FROM (
+  SELECT DISTINCT m.resolved_id, l.evidence
+  FROM mention_links l JOIN resolved_mentions m ON m.mention = l.u) GROUP BY 1""")
+part("resolved_ends", "resolved_mentions", """
+SELECT DISTINCT entity_id, resolved_id FROM resolved_mentions WHERE entity_id IS NOT NULL""")
 part("registry_rows", "ext_registry", """
 SELECT npi, MIN(ROW(first_name, last_name, specialty, org_name, phone, address_line1, city, state,
                     zip)) AS r FROM ext_registry GROUP BY npi""")
@@ -594,6 +666,27 @@ SELECT *, CAST(ROUND(1.0 - POW(1.0 - CASE evidence {' '.join(
     f"WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in EVIDENCE.items())} END, support), 3)
   AS DECIMAL(4,3)) AS confidence
 FROM (SELECT *, COUNT(*) AS support FROM graph_links GROUP BY ALL)""", "graph_links"),
+        "graph_resolved_entities": query("""
+SELECT e.*, COALESCE(b.name_count, 0) AS name_count, b.name AS canonical_name,
+  COALESCE(v.evidence, '') AS evidence
+FROM (SELECT resolved_id, entity_type, MIN(phone) AS canonical_phone,
+        MIN(address) AS canonical_address, COUNT(*) AS mention_count,
+        COUNT(DISTINCT npi) AS npi_count,
+        ARRAY_TO_STRING(LIST_SORT(LIST(DISTINCT source_system)), ', ') AS source_systems
+      FROM resolved_mentions GROUP BY 1, 2) e
+LEFT JOIN (SELECT resolved_id, FIRST(name ORDER BY n DESC, name) AS name, COUNT(*) AS name_count
+           FROM resolved_names GROUP BY 1) b USING (resolved_id)
+LEFT JOIN resolved_evidence v USING (resolved_id)""",
+                                         "resolved_mentions resolved_names resolved_evidence"),
+        "graph_resolved_edges": query(f"""
+SELECT *, CAST(ROUND(1.0 - POW(1.0 - CASE evidence {' '.join(
+    f"WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in EVIDENCE.items())} END, support), 3)
+  AS DECIMAL(4,3)) AS confidence
+FROM (SELECT f.resolved_id AS from_resolved_id, t.resolved_id AS to_resolved_id, edge_type,
+        source_system, evidence, COUNT(*) AS support
+      FROM graph_links l JOIN resolved_ends f ON f.entity_id = l.from_entity_id
+      JOIN resolved_ends t ON t.entity_id = l.to_entity_id GROUP BY ALL)""",
+                                      "graph_links resolved_ends"),
         "fixture_accounts": query("""
 SELECT a.rcm_account_id, a.emr_patient_id,
   COALESCE(LOWER(a.patient_first_name) = LOWER(p.last_name)
