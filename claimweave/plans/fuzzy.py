@@ -87,6 +87,17 @@ def _block_keys(shifted: bool) -> Column:
     return F.explode(F.filter(F.array(*keys), lambda k: k.isNotNull()))
 
 
+def match_keys(model: Model) -> tuple[Column, Column]:
+    """Exploded keys of a profile as the smaller system's and as the larger one's.
+
+    Two profiles that could reach the threshold share a key.
+    """
+    sets = agreements(model)
+    if sets is None:
+        return _block_keys(True), _block_keys(False)
+    return _keys(sets, True), _keys(sets, False)
+
+
 def candidates(people: DataFrame, rows: int, model: Model = Model(), mode: str = "pruned",
                against: DataFrame | None = None) -> DataFrame:
     """(rep_a, rep_b): profile pairs of different systems that could reach the threshold.

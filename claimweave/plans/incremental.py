@@ -9,6 +9,7 @@ from ..operators.components import connected_components
 from ..operators.skew import attach
 from ..session import stored
 from . import fuzzy, identity
+from .match_index import MatchIndex
 from .rules import RULES, rule_groups, rule_members
 
 KEY = ["source_system", "source_patient_key"]
@@ -60,9 +61,43 @@ def _state(spine: DataFrame, earlier: DataFrame | None) -> DataFrame:
         "old_cluster", "match_confidence", "match_method")])
 
 
-def rematch(spine: DataFrame, earlier: DataFrame | None, model: Model = Model()) -> DataFrame:
+def indexed_members(index: MatchIndex, state: DataFrame, fresh_records: DataFrame) -> DataFrame:
+    """Rule members of the fresh records and of all that share a key with them."""
+    touched = index.rule_records(fresh_records)
+    return rule_members(state.join(touched, [*KEY, "digest"], "left_semi"))
+
+
+def indexed_people(index: MatchIndex, flagged: DataFrame,
+                   fresh_records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Profiles of the fresh records and of those that agree enough with them, and the pairs.
+
+    Only these are grouped; of all other records nothing is made but their digest.
+    """
+    tagged = stored(fuzzy.with_profile(fresh_records), "fresh-profiles")
+    pairs = stored(index.profile_pairs(tagged), "indexed-pairs")
+    involved = (tagged.select("profile").unionByName(pairs.select("profile_a").toDF("profile"))
+                .unionByName(pairs.select("profile_b").toDF("profile")).distinct())
+    people = stored(_people(flagged.join(involved, "profile", "left_semi")), "incremental-people")
+    reps = people.select("profile", "rep")
+    named = (pairs.join(reps.toDF("profile_a", "rep_a"), "profile_a")
+             .join(reps.toDF("profile_b", "rep_b"), "profile_b").select("rep_a", "rep_b"))
+    return people, named
+
+
+def _people(flagged: DataFrame) -> DataFrame:
+    return (flagged.groupBy("profile", "system", *fuzzy.TRAITS)
+            .agg(F.min("nid").alias("rep"), F.count("*").alias("n"),
+                 F.max(F.coalesce("new", F.lit(False))).alias("fresh")))
+
+
+def rematch(spine: DataFrame, earlier: DataFrame | None, model: Model = Model(),
+            index: MatchIndex | None = None) -> DataFrame:
     """Crosswalk of the whole spine, matching only what involves fresh records.
 
+    With `index`, which must hold the keys of all records of `earlier`, fresh
+    records are added to it and probe it; else the keys of all records are made
+    anew. The result is the same.
+
     `earlier` is the stored crosswalk of a former run, with its `digest` (None at
     the very start). An intact old cluster enters as one node, its smallest
     record, so only new ties are followed; its confidences stay as evidence.
@@ -71,15 +106,20 @@ def rematch(spine: DataFrame, earlier: DataFrame | None, model: Model = Model())
     """
     rows = spine.count()
     state = stored(_state(spine, earlier), "incremental-known")
-    fresh = state.filter("old_cluster IS NULL").select("nid")
-    members = stored(rule_members(spine), "incremental-members")
-    links = stored(new_rule_links(members, fresh, rows * len(RULES)), "incremental-links")
+    fresh_records = state.filter("old_cluster IS NULL").select(*spine.columns, "digest")
+    fresh = fresh_records.select("nid")
     flagged = fuzzy.with_profile(spine).join(fresh.withColumn("new", F.lit(True)), "nid", "left")
-    people = stored(
-        flagged.groupBy("profile", "system", *fuzzy.TRAITS)
-        .agg(F.min("nid").alias("rep"), F.count("*").alias("n"),
-             F.max(F.coalesce("new", F.lit(False))).alias("fresh")), "incremental-people")
-    scored = stored(new_scored(people, people.count(), model), "incremental-scored")
+    if index is None:
+        members = rule_members(spine)
+        people = stored(_people(flagged), "incremental-people")
+    else:
+        index.add(fresh_records)
+        members = indexed_members(index, state, fresh_records)
+        people, pairs = indexed_people(index, flagged, fresh_records)
+    members = stored(members, "incremental-members")
+    links = stored(new_rule_links(members, fresh, rows * len(RULES)), "incremental-links")
+    scored = stored(new_scored(people, people.count(), model) if index is None
+                    else fuzzy.score(pairs, people, model), "incremental-scored")
     fuzzy_rows = stored(fuzzy.fuzzy_members(flagged, people, scored, rows), "incremental-fuzzy")
 
     sizes = state.filter("old_cluster IS NOT NULL").groupBy("old_cluster").agg(

@@ -23,6 +23,7 @@ from ..sources.sinks import write_csv
 from ..streaming.upsert import current_rows, start_upsert
 from . import (checks, clinical, consistency, dimensions, evaluation, fixtures, graph, identity,
                incremental, reports, resolve, rules as rule_plan)
+from .match_index import MatchIndex
 from .spine import numbered
 from .warehouse import Warehouse
 
@@ -249,8 +250,9 @@ def _last_day(house) -> DataFrame:
 
 
 def _after(earlier_spine, spine) -> DataFrame:
-    earlier = stored(incremental.rematch(earlier_spine, None), "earlier-match")
-    return incremental.rematch(spine, earlier).select(
+    index = MatchIndex(spine.sparkSession)
+    earlier = stored(incremental.rematch(earlier_spine, None, index=index), "earlier-match")
+    return incremental.rematch(spine, earlier, index=index).select(
         "source_system", "source_patient_key", "cluster_id", "match_confidence", "match_method",
         "patient_id")
 
