@@ -21,8 +21,8 @@ from ..sources.lineage import audit_columns
 from ..sources.samples import PAYERS, external, landed
 from ..sources.sinks import write_csv
 from ..streaming.upsert import current_rows, start_upsert
-from . import (checks, clinical, consistency, dimensions, evaluation, fixtures, graph, identity,
-               incremental, reports, resolve, rules as rule_plan)
+from . import (checks, clinical, consistency, dimensions, evaluation, fixtures, graph, history,
+               identity, incremental, reports, resolve, rules as rule_plan)
 from .match_index import MatchIndex
 from .spine import numbered
 from .warehouse import Warehouse
@@ -236,8 +236,8 @@ def _freshness(spark, sf):
     return freshness([landed(spark, sf, n) for n in SOURCES], "2024-06-10", max_days=7)
 
 
-def _last_day(house) -> DataFrame:
-    """Keys of the patient records of the last load day."""
+def _loaded(house) -> DataFrame:
+    """Keys of the patient records with the time they were loaded."""
     return house.clean("emr_patient").select(
         F.lit("emr").alias("source_system"), F.col("emr_patient_id").alias("source_patient_key"),
         "_ingested_at").unionByName(house.clean("rcm_patient_account").select(
@@ -245,8 +245,32 @@ def _last_day(house) -> DataFrame:
                 "source_system", "source_patient_key", "_ingested_at")).unionByName(
         house.clean("referral_order").select(
             F.lit("referral"), "referral_order_id", "_ingested_at").toDF(
-                "source_system", "source_patient_key", "_ingested_at")).filter(
-        "_ingested_at >= timestamp_ntz'2024-06-03 00:00:00'")
+                "source_system", "source_patient_key", "_ingested_at"))
+
+
+def _last_day(house) -> DataFrame:
+    """Keys of the patient records of the last load day."""
+    return _loaded(house).filter("_ingested_at >= timestamp_ntz'2024-06-03 00:00:00'")
+
+
+def _history(house) -> DataFrame:
+    days = _loaded(house).select(*incremental.KEY, F.to_date("_ingested_at").alias("load_day"))
+    return house.once("xref history", lambda: history.over_days(house.spine(), days))
+
+
+def _receivable_as_of(spark, sf):
+    """Receivables with the patient as known on the day they were loaded, and as known last."""
+    house = warehouse(spark, sf)
+    versions = _history(house)
+    rows = house.clean("rcm_ar_balance_snapshot").select(
+        "claim_id", "rcm_account_id", "snapshot_date", "payer_responsibility_balance",
+        "patient_responsibility_balance", F.to_date("_ingested_at").alias("known_on"))
+    key = {"source_system": F.lit("rcm"), "source_patient_key": F.col("rcm_account_id")}
+    told = history.as_of(rows, versions, key, "known_on", ("patient_id", "match_method"))
+    last = versions.filter("effective_to IS NULL AND source_system = 'rcm'").select(
+        F.col("source_patient_key").alias("rcm_account_id"),
+        F.col("patient_id").alias("patient_id_now"))
+    return told.join(last, "rcm_account_id", "left")
 
 
 def _after(earlier_spine, spine) -> DataFrame:
@@ -449,6 +473,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "er_incremental": _incremental,
         "er_incremental_changed": _incremental_changed,
         "er_incremental_withdrawn": _incremental_withdrawn,
+        "gold_xref_history": lambda spark, sf: _history(warehouse(spark, sf)),
+        "fact_receivable_as_of": _receivable_as_of,
         "er_hot_key_pairs": _hot_key_pairs,
         "er_review_records": _review_records,
         "bronze_csv_round_trip": _csv_round_trip,

@@ -212,6 +212,44 @@ part("patient_source_xref", "final_match", """
 SELECT patient_id, source_system, source_patient_key, match_confidence, match_method
 FROM final_match""")
 
+part("node_days", "emr_patient rcm_patient_account referral_order", """
+SELECT 'emr::' || emr_patient_id AS node, CAST(_ingested_at AS DATE) AS load_day FROM emr_patient
+UNION ALL SELECT 'rcm::' || rcm_account_id, CAST(_ingested_at AS DATE) FROM rcm_patient_account
+UNION ALL SELECT 'referral::' || referral_order_id, CAST(_ingested_at AS DATE) FROM referral_order""")
+part("day_pairs", "final_pairs node_days", """
+SELECT d.day, p.* FROM final_pairs p
+JOIN node_days x ON x.node = p.node_a JOIN node_days y ON y.node = p.node_b
+JOIN (SELECT DISTINCT load_day AS day FROM node_days) d
+  ON x.load_day <= d.day AND y.load_day <= d.day""")
+part("day_near", "day_pairs", """
+SELECT day, node_a AS node, node_b AS other FROM day_pairs
+UNION SELECT day, node_b, node_a FROM day_pairs""")
+part("day_reached", "day_reached day_near node_days", """
+SELECT d.day, n.node, n.node AS label
+FROM node_days n JOIN (SELECT DISTINCT load_day AS day FROM node_days) d ON n.load_day <= d.day
+UNION
+SELECT a.day, a.other, r.label FROM day_reached r
+JOIN day_near a ON a.node = r.node AND a.day = r.day WHERE r.label < a.other""")
+part("day_best", "day_pairs", """
+SELECT day, node, confidence, match_method FROM (
+  SELECT node_a AS node, * FROM day_pairs UNION ALL SELECT node_b, * FROM day_pairs)
+QUALIFY ROW_NUMBER() OVER (PARTITION BY day, node
+                           ORDER BY confidence DESC, rule_rank, match_method) = 1""")
+part("day_match", "day_reached day_best", """
+SELECT l.day, l.node, l.cluster_id,
+  CAST(COALESCE(b.confidence, 1.000) AS DECIMAL(4,3)) AS match_confidence,
+  COALESCE(b.match_method, 'unmatched_singleton') AS match_method
+FROM (SELECT day, node, MIN(label) AS cluster_id FROM day_reached GROUP BY 1, 2) l
+LEFT JOIN day_best b USING (day, node)""")
+part("xref_history", "day_match", """
+SELECT SPLIT_PART(node, '::', 1) AS source_system, SUBSTRING(node, STRPOS(node, '::') + 2)
+    AS source_patient_key, 'PAT-' || MD5(cluster_id) AS patient_id, cluster_id, match_confidence,
+  match_method, day AS effective_from,
+  LEAD(day) OVER (PARTITION BY node ORDER BY day) AS effective_to
+FROM (SELECT *, LAG(ROW(cluster_id, match_confidence, match_method))
+        OVER (PARTITION BY node ORDER BY day) AS before FROM day_match)
+WHERE before IS DISTINCT FROM ROW(cluster_id, match_confidence, match_method)""")
+
 _FIELDS = ("first_name", "last_name", "dob", "phone", "email", "address_line1", "city", "state",
            "zip")
 
@@ -666,6 +704,17 @@ SELECT *, CAST(ROUND(1.0 - POW(1.0 - CASE evidence {' '.join(
     f"WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in EVIDENCE.items())} END, support), 3)
   AS DECIMAL(4,3)) AS confidence
 FROM (SELECT *, COUNT(*) AS support FROM graph_links GROUP BY ALL)""", "graph_links"),
+        "gold_xref_history": table("xref_history"),
+        "fact_receivable_as_of": query("""
+SELECT s.claim_id, s.rcm_account_id, s.snapshot_date, s.payer_responsibility_balance,
+  s.patient_responsibility_balance, CAST(s._ingested_at AS DATE) AS known_on, h.patient_id,
+  h.match_method, l.patient_id AS patient_id_now
+FROM rcm_ar_balance_snapshot s
+LEFT JOIN xref_history h ON h.source_system = 'rcm' AND h.source_patient_key = s.rcm_account_id
+  AND CAST(s._ingested_at AS DATE) >= h.effective_from
+  AND (h.effective_to IS NULL OR CAST(s._ingested_at AS DATE) < h.effective_to)
+LEFT JOIN xref_history l ON l.source_system = 'rcm' AND l.source_patient_key = s.rcm_account_id
+  AND l.effective_to IS NULL""", "rcm_ar_balance_snapshot xref_history"),
         "graph_resolved_entities": query("""
 SELECT e.*, COALESCE(b.name_count, 0) AS name_count, b.name AS canonical_name,
   COALESCE(v.evidence, '') AS evidence
