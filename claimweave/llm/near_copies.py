@@ -2,9 +2,11 @@
 
 Texts with the same set of shingles are one node. Nodes meet on bands of their
 MinHash signatures; what meets is verified by the exact Jaccard similarity of
-the shingle sets. First each node is compared with the smallest one of its
-band only, which joins most of a large group; then all pairs of a band that are
-still in different groups are compared, in cells of bounded size.
+the shingle sets. In each band the nodes are compared with one centre only, that
+which meets most others in its bands: the text that the copies of a group were
+made from, or the one nearest to it. Bands that still hold several groups get
+another centre from outside the first one's group, a few times; the pairs that
+are then left of different groups are compared in cells of bounded size.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..operators.components import connected_components
 from ..operators.skew import meet
@@ -25,6 +27,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # at the least similarity a pair is missed with (1 - 0.8 ** 5) ** 30, less than 1 in 100,000
 ROWS, BANDS = 5, 30
+CENTRES = 3   # rounds of comparing a band's nodes with one of them
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = np.random.default_rng(42).integers(0, 1 << 63, ROWS * BANDS, dtype=np.uint64) \
@@ -52,7 +55,7 @@ def _digest(found: np.ndarray) -> int:
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, at = batch.column(0), 0
+        ids, hashes, at = batch.column(0), batch.column(2), 0
         held, size = [], 0
 
         def rows(sets: list[np.ndarray], at: int) -> pa.RecordBatch:
@@ -66,11 +69,11 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     key = mixed(key * _STEP + np.minimum.reduceat(line * factor, first))
                 keys[:, band] = key
             return pa.RecordBatch.from_arrays(
-                [ids.slice(at, len(sets)), pa.array([_digest(s) for s in sets], pa.int64()),
+                [ids.slice(at, len(sets)), hashes.slice(at, len(sets)), pa.array([_digest(s) for s in sets], pa.int64()),
                  pa.array(np.array([len(s) for s in sets], np.int64)),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS),
                                           pa.array(keys.ravel().view(np.int64)))],
-                ["id", "node", "size", "bands"])
+                ["id", "text_hash", "node", "size", "bands"])
 
         for i in range(batch.num_rows):
             held.append(shingles(batch.column(1)[i].as_py()))
@@ -92,25 +95,34 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(found.view(np.int64)))], ["node", "found"])
 
 
+def text_hash(text: str) -> Column:
+    return F.xxhash64(text)
+
+
 def groups(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
            similarity: float = SIMILARITY) -> DataFrame:
-    """(id, node, component_id) of every row with an id.
+    """(id, text_hash, node, component_id, first) of every row with an id.
 
     The component is the smallest id reachable over pairs of texts whose
-    shingle sets have a Jaccard similarity of `similarity` or more. Ids are
-    integers. Texts without a word, null ones too, are equal to each other.
+    shingle sets have a Jaccard similarity of `similarity` or more. Rows of one
+    id with different texts are documents of their own; `text_hash` tells them
+    apart, and `first` marks the document of each component with the smallest id
+    (then hash). Ids are integers. Texts without a word, null ones too, are
+    equal to each other.
     """
     rows = docs.filter(F.col(id_column).isNotNull()).select(
         F.col(id_column).alias("id"), F.col(text).alias("text"))
-    marks = stored(rows.mapInArrow(_signed, T.StructType([
-        rows.schema["id"], T.StructField("node", T.LongType()), T.StructField("size", T.LongType()),
+    marks = stored(rows.withColumn("text_hash", text_hash("text")).mapInArrow(_signed, T.StructType([
+        rows.schema["id"], T.StructField("text_hash", T.LongType()), T.StructField("node", T.LongType()), T.StructField("size", T.LongType()),
         T.StructField("bands", T.ArrayType(T.LongType()))])), "near-marks")
     nodes = marks.groupBy("node").agg(F.min("id").alias("low"), F.max("size").alias("size"),
                                       F.first("bands").alias("bands"))
     tagged = nodes.select("node", "low", "size", F.explode("bands").alias("band"))
-    bands = tagged.groupBy("band").agg(
-        F.count("*").alias("n"), F.min_by(F.struct("node", "size"), "node").alias("centre"))
-    members = stored(tagged.join(bands.filter("n > 1"), "band"), "near-members")
+    bands = tagged.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = stored(tagged.join(bands, "band"), "near-shared")
+    # how many others a node meets in all its bands
+    meets = shared.groupBy("node").agg(F.sum("n").alias("meets"))
+    members = stored(shared.drop("n").join(meets, "node"), "near-members")
 
     wanted = stored(members.select("node", F.col("low").alias("id")).distinct(), "near-wanted")
     # a node has the text of any row with its smallest id that gives this node
@@ -130,27 +142,46 @@ def groups(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
     def sizes_allow(one: str, other: str):
         return F.least(one, other) >= similarity * F.greatest(one, other)
 
-    to_centre = stored(similar(
-        members.filter(F.col("node") != F.col("centre.node"))
-        .filter(sizes_allow("size", "centre.size"))
-        .select(F.col("node").alias("u"), F.col("centre.node").alias("v")).distinct()), "near-links")
-    found = connected_components(to_centre).withColumnRenamed("id", "node")
-    placed = stored(members.select("band", "node", "size").join(found, "node", "left")
-                    .withColumn("component", F.coalesce("component", "node")), "near-placed")
-    open_bands = (placed.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-                  .filter("a <> b").select("band"))
-    rest = stored(placed.join(open_bands, "band"), "near-open")
+    def placed(found: DataFrame | None) -> DataFrame:
+        """Nodes of the bands that hold several groups, with their group."""
+        if found is None:
+            return members.withColumn("component", F.col("node"))
+        told = stored(members.join(found, "node", "left").withColumn(
+            "component", F.coalesce("component", "node")), "near-placed")
+        several = (told.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+                   .filter("a <> b").select("band"))
+        return stored(told.join(several, "band"), "near-open")
+
+    rest, links, used, most = placed(None), None, None, F.struct("meets", -F.col("node"))
+    for _ in range(CENTRES):
+        # the node that meets most, and from the second round on, that of the other groups
+        free = rest
+        if used is not None:
+            head = rest.groupBy("band").agg(F.max_by("component", most).alias("head"))
+            free = (rest.join(head, "band").filter("component <> head")
+                    .join(used, ["band", "node"], "left_anti"))
+        centre = stored(free.groupBy("band").agg(
+            F.max_by(F.struct("node", "size", "component"), most).alias("centre")), "near-centres")
+        pairs = (rest.join(centre, "band").filter(F.col("component") != F.col("centre.component"))
+                 .filter(sizes_allow("size", "centre.size"))
+                 .select(F.col("node").alias("u"), F.col("centre.node").alias("v")).distinct())
+        near = stored(similar(pairs), "near-links")
+        links = near if links is None else links.unionByName(near)
+        now = centre.select("band", "centre.node")
+        used = now if used is None else used.unionByName(now)
+        rest = placed(connected_components(links).withColumnRenamed("id", "node"))
     left, right = (rest.select("band", *(F.col(c).alias(c + side) for c in (
         "node", "size", "component"))) for side in ("_u", "_v"))
     pairs = (meet(left, right, "band", "node_u", "node_v", rest.count())
              .filter("node_u < node_v and component_u <> component_v")
              .filter(sizes_allow("size_u", "size_v"))
              .select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct())
-    links = to_centre.unionByName(stored(similar(pairs), "near-links"))
+    links = links.unionByName(stored(similar(pairs), "near-links"))
 
     components = connected_components(links).withColumnRenamed("id", "node")
-    joined = marks.select("id", "node").join(components, "node", "left").withColumn(
+    joined = marks.select("id", "text_hash", "node").join(components, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    lows = joined.groupBy("component").agg(F.min("id").alias("component_id"))
-    return joined.join(lows, "component").select(F.col("id").alias(id_column), "node", "component_id")
-
+    lows = joined.groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("low"))
+    return joined.join(lows, "component").select(
+        F.col("id").alias(id_column), "text_hash", "node", F.col("low.id").alias("component_id"),
+        (F.struct("id", "text_hash") == F.col("low")).alias("first"))

@@ -41,12 +41,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each group of near copies: that with the smallest id.
 
     Near copies have a Jaccard similarity of 0.8 or more over runs of five words.
-    Rows of one id count as one document, of which one row stays. Rows without
-    an id are no member of a group and stay.
+    Rows of one id with different texts count as documents of their own, equal
+    rows as one. Rows without an id are no member of a group and stay.
     """
-    first = near_copies.groups(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    chosen = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.unionByName(docs.filter(F.col("doc_id").isNull())).select(docs.columns)
+    mark = unused("_hash", docs)
+    first = near_copies.groups(docs).filter("first").select(
+        "doc_id", F.col("text_hash").alias(mark)).distinct()
+    kept = docs.withColumn(mark, near_copies.text_hash("text"))
+    chosen = (kept.join(first, ["doc_id", mark], "left_semi")
+              .dropDuplicates(["doc_id", mark]))
+    return chosen.unionByName(kept.filter(F.col("doc_id").isNull())).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
