@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.draws import pick
 from ..operators.agreement import Model
@@ -20,6 +20,7 @@ from ..sources.layout import SOURCES
 from ..sources.lineage import audit_columns
 from ..sources.samples import PAYERS, external, landed
 from ..sources.sinks import write_csv
+from ..streaming import changes as changefeed, volumes
 from ..streaming.upsert import current_rows, start_upsert
 from . import (checks, clinical, consistency, dimensions, evaluation, fixtures, graph, history,
                identity, incremental, reports, resolve, rules as rule_plan)
@@ -357,6 +358,64 @@ def _stream_merged(spark, sf):
     return current_rows(spark, f"{base}/table", source.name).select(*source.columns)
 
 
+LATE_BY_HOURS = 12
+ARRIVALS = 4
+
+
+def _arrival() -> Column:
+    """Batch in which an event arrives: by its time, every seventh one batch late, every
+    eleventh two."""
+    at = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    due = F.floor((at - F.col("_first")) * ARRIVALS / (F.col("_last") - F.col("_first") + 1))
+    late = F.when(F.col("event_id") % 11 == 0, 2).when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    return F.least(due + late, F.lit(ARRIVALS - 1)).cast("int")
+
+
+def _stream_volumes(spark, sf):
+    """Events per type and hour as a stream of four batches, of which late rows are dropped."""
+    base = f"{checkpoint_dir(spark)}/volumes-{uuid.uuid4().hex}"
+    rows = spark.read.parquet(f"{sf}/events.parquet").select(
+        "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    first, last = rows.agg(F.min(F.unix_timestamp("ts")), F.max(F.unix_timestamp("ts"))).first()
+    dealt = rows.withColumns({"_first": F.lit(first), "_last": F.lit(last)}).withColumn(
+        "_batch", _arrival()).drop("_first", "_last")
+    for batch in range(ARRIVALS):
+        # one file a batch, as the stream takes a file at a time
+        dealt.filter(F.col("_batch") == batch).drop("_batch").coalesce(1).write.mode(
+            "append").parquet(f"{base}/feed")
+        volumes.start_volumes(spark, f"{base}/feed", rows.schema, f"{base}/windows",
+                              f"{base}/progress", "event_type", "ts", f"{LATE_BY_HOURS} hours",
+                              once=True, files_per_batch=1).awaitTermination()
+    return spark.read.parquet(f"{base}/windows").withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "first_seen", "last_seen")})
+
+
+def _stream_changes(spark, sf):
+    """Claims as a change feed in three batches: new ones, then changes and deletions, then some
+    that come back and old changes that come late."""
+    base = f"{checkpoint_dir(spark)}/changes-{uuid.uuid4().hex}"
+    k = F.substring("claim_id", 2, 20).cast("long")
+    claims = warehouse(spark, sf).clean("rcm_claim_header").select(
+        "claim_id", "payer_name", "claim_status", "total_charge_amount")
+
+    def changes(rows, seq, op="upsert", **columns):
+        return rows.withColumns({c: F.lit(v) for c, v in columns.items()}).withColumns(
+            {changefeed.OPERATION: F.lit(op), changefeed.SEQUENCE: F.lit(seq).cast("long")})
+
+    batches = [
+        changes(claims, 1),
+        changes(claims.filter(k % 4 == 0), 3, claim_status="appealed").unionByName(
+            changes(claims.filter(k % 5 == 0), 4, changefeed.DELETE)),
+        changes(claims.filter(k % 10 == 0), 5, claim_status="reopened").unionByName(
+            changes(claims.filter(k % 3 == 0), 2, claim_status="late"))]
+    schema = batches[0].schema
+    for batch in batches:
+        batch.write.mode("append").parquet(f"{base}/feed")
+        changefeed.start_changes(spark, f"{base}/feed", schema, f"{base}/table", f"{base}/progress",
+                                 ["claim_id"], once=True).awaitTermination()
+    return changefeed.current(spark, f"{base}/table", schema, ["claim_id"])
+
+
 def _filled(spark, sf):
     rules = {"payer_name": pick("claim_id", "payer", PAYER_NAMES),
              "claim_status": F.lit("submitted")}
@@ -479,6 +538,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "er_review_records": _review_records,
         "bronze_csv_round_trip": _csv_round_trip,
         "stream_merged_claims": _stream_merged,
+        "stream_volumes": _stream_volumes,
+        "stream_changes": _stream_changes,
         "bi_ar_by_fiscal_period": _over(reports.ar_by_fiscal_period, receivable, "dim_date"),
         "bi_denial_by_fiscal_period": _over(reports.denial_by_fiscal_period, lines, "dim_date"),
         "bi_ar_aging_counterparty": _over(reports.aging_by_counterparty, receivable,

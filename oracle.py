@@ -6,7 +6,8 @@ from claimweave.operators.quality import TEST_KEY
 from claimweave.plans import checks, clinical
 from claimweave.plans.graph import EVIDENCE
 from claimweave.plans.resolve import ADDRESS_LIKENESS, NAME_LIKENESS
-from claimweave.plans.queries import DIMENSION_MEMBERS, _missing_column
+from claimweave.plans.queries import (ARRIVALS, DIMENSION_MEMBERS, LATE_BY_HOURS,
+                                        _missing_column)
 from claimweave.plans.rules import RULES
 from claimweave.sources.layout import LINEAGE, OVERDUE_BUCKETS, SOURCES
 from claimweave.sources.samples import EXTERNAL_SQL, INPUT_TABLES, PAYERS, SOURCE_SQL
@@ -212,6 +213,17 @@ part("patient_source_xref", "final_match", """
 SELECT patient_id, source_system, source_patient_key, match_confidence, match_method
 FROM final_match""")
 
+part("arrivals", "", f"""
+SELECT e.*, DATE_TRUNC('hour', ts) AS hour, CAST(LEAST(
+    FLOOR((FLOOR(EPOCH(ts)) - lo) * {ARRIVALS} / (hi - lo + 1))
+    + CASE WHEN event_id % 11 = 0 THEN 2 WHEN event_id % 7 = 0 THEN 1 ELSE 0 END,
+    {ARRIVALS - 1}) AS INTEGER) AS batch
+FROM events e, (SELECT FLOOR(EPOCH(MIN(ts))) AS lo, FLOOR(EPOCH(MAX(ts))) AS hi FROM events)""")
+# what a batch drops: rows of windows that had ended by the watermark of the batches before
+part("watermarks", "arrivals", f"""
+SELECT b.batch, MAX(a.ts) - INTERVAL {LATE_BY_HOURS} HOUR AS passed
+FROM (SELECT UNNEST(RANGE({ARRIVALS})) AS batch) b LEFT JOIN arrivals a ON a.batch < b.batch
+GROUP BY 1""")
 part("node_days", "emr_patient rcm_patient_account referral_order", """
 SELECT 'emr::' || emr_patient_id AS node, CAST(_ingested_at AS DATE) AS load_day FROM emr_patient
 UNION ALL SELECT 'rcm::' || rcm_account_id, CAST(_ingested_at AS DATE) FROM rcm_patient_account
@@ -704,6 +716,19 @@ SELECT *, CAST(ROUND(1.0 - POW(1.0 - CASE evidence {' '.join(
     f"WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in EVIDENCE.items())} END, support), 3)
   AS DECIMAL(4,3)) AS confidence
 FROM (SELECT *, COUNT(*) AS support FROM graph_links GROUP BY ALL)""", "graph_links"),
+        "stream_volumes": query(f"""
+SELECT event_type AS feed, hour AS window_start, COUNT(*) AS row_count, MIN(ts) AS first_seen,
+  MAX(ts) AS last_seen
+FROM arrivals a JOIN watermarks w USING (batch)
+WHERE w.passed IS NULL OR a.hour + INTERVAL 1 HOUR > w.passed
+GROUP BY 1, 2
+HAVING ANY_VALUE(a.hour) + INTERVAL 1 HOUR <= (SELECT MAX(ts) - INTERVAL {LATE_BY_HOURS} HOUR FROM events)""",
+                                "arrivals watermarks"),
+        "stream_changes": query("""
+SELECT claim_id, payer_name, CASE WHEN k % 10 = 0 THEN 'reopened' WHEN k % 4 = 0 THEN 'appealed'
+  WHEN k % 3 = 0 THEN 'late' ELSE claim_status END AS claim_status, total_charge_amount
+FROM (SELECT *, CAST(claim_id[2:] AS BIGINT) AS k FROM rcm_claim_header)
+WHERE k % 5 <> 0 OR k % 10 = 0""", "rcm_claim_header"),
         "gold_xref_history": table("xref_history"),
         "fact_receivable_as_of": query("""
 SELECT s.claim_id, s.rcm_account_id, s.snapshot_date, s.payer_responsibility_balance,
