@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.draws import pick
 from ..operators.agreement import Model
-from ..operators import quality
+from ..operators import quality, sketches
 from ..operators.quality import freshness, load_volumes, masked, reconcile
 from ..operators.skew import meet
 from ..operators.typed import clean
@@ -177,6 +177,30 @@ def _cardinality(spark, sf):
     return quality.cardinality(members, tolerance=0.5)
 
 
+# every column of every feed that names a member of a dimension
+ALL_MEMBERS = {
+    "provider": (("emr_provider", "npi"), ("rcm_claim_header", "billing_provider_npi"),
+                 ("rcm_claim_header", "rendering_provider_npi"),
+                 ("referral_order", "referring_provider_npi")),
+    "facility": (("emr_encounter", "facility_id"), ("rcm_claim_header", "facility_id"),
+                 ("referral_order", "receiving_facility_id")),
+    "payer": (("rcm_claim_header", "payer_name"),),
+    "patient": (("emr_patient", "emr_patient_id"), ("rcm_patient_account", "rcm_account_id"),
+                ("referral_order", "referral_order_id")),
+    "counterparty": (("referral_order", "counterparty_org_name"),)}
+
+
+def _cardinality_sketch(spark, sf):
+    """One stored table of sketches, added to by load day, then spikes from the sketches alone."""
+    members = reduce(DataFrame.unionByName, [
+        landed(spark, sf, table).select(
+            F.lit(name).alias("dimension"), F.col(column).alias("member"),
+            F.col("_ingested_at").cast("date").alias("load_day"))
+        for name, columns in ALL_MEMBERS.items() for table, column in columns])
+    return sketches.growth_by_load(stored(sketches.load_sketches(members), "sketches"),
+                                   tolerance=0.5)
+
+
 def _fact_volumes(spark, sf):
     house = warehouse(spark, sf)
     return quality.fact_volumes({
@@ -545,6 +569,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bi_ar_aging_counterparty": _over(reports.aging_by_counterparty, receivable,
                                           "bridge_pair", "dim_counterparty_org"),
         "dq_cardinality": _cardinality,
+        "dq_cardinality_sketch": _cardinality_sketch,
+        "bi_metrics_cube": _over(reports.receivables_cube, receivable),
         "dq_fact_volumes": _fact_volumes,
         "dq_reconcile_claim_line": _reconcile(lines, "rcm_claim_line", {
             c: (f"{c}_amount", f"{c}_amount") for c in ("charge", "allowed", "paid")}),

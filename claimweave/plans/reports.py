@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators import bitmaps
+from ..session import stored
 from ..sources.layout import OVERDUE_BUCKETS
 from .facts import MONEY_SUM
 
@@ -208,3 +212,54 @@ def dimension_coverage(receivable: DataFrame) -> DataFrame:
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose key is set but not in the parent."""
     return child.filter(F.col(key).isNotNull()).join(parent.select(key).distinct(), key, "left_anti")
+
+
+CUBE = ["payer_key", "facility_key", "month"]
+CUBE_GRAINS = [CUBE, ["payer_key", "month"], ["facility_key", "month"], ["month"],
+               ["payer_key", "facility_key"], ["payer_key"], ["facility_key"], []]
+
+
+def receivables_cube(receivable: DataFrame) -> DataFrame:
+    """Rows, claims, patients and closing balance by payer, facility and month, and by every
+    coarser grain.
+
+    Distinct counts come from bitmaps made once. A balance is a level, not a
+    flow, so it is not added up over days: the closing balance of a period is
+    that of each claim's last snapshot in it, and over all months that of its
+    last snapshot of all. `grain` names the columns that count; in them NULL is
+    a missing key, elsewhere it is all.
+    """
+    dated = receivable.withColumn("month", F.date_format("snapshot_date", "yyyy-MM"))
+    rows = bitmaps.numbered(bitmaps.numbered(dated, "claim_id", "_claim"), "patient_id", "_patient")
+    last = F.max("snapshot_date")
+    # one row a claim and month, small beside the facts; hot claims are added up before the shuffle
+    in_month = dated.groupBy("claim_id", "month").agg(last.alias("_last_in_month"))
+    overall = in_month.groupBy("claim_id").agg(F.max("_last_in_month").alias("_last"))
+    kept = stored(rows.join(in_month, ["claim_id", "month"], "left").join(overall, "claim_id", "left"),
+                  "cube-rows")
+    balance, zero = F.col("total_ar_balance"), F.lit(0).cast("decimal(38,2)")
+
+    def closing(day: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("snapshot_date") == F.col(day), balance)),
+                          zero).cast("decimal(38,2)")
+
+    flows = stored(kept.groupBy(*CUBE).agg(
+        F.count("*").alias("receivable_rows"), closing("_last_in_month").alias("_by_month"),
+        closing("_last").alias("_by_all")), "cube-cells")
+    out = None
+    for grain in CUBE_GRAINS:
+        level = "_by_month" if "month" in grain else "_by_all"
+        told = flows.groupBy(*grain).agg(
+            F.sum("receivable_rows").cast("long").alias("receivable_rows"),
+            F.sum(level).cast("decimal(38,2)").alias("closing_balance"))
+        told = told.select(*[F.col(c) if c in grain else F.lit(None).cast("string").alias(c)
+                             for c in CUBE], F.lit(",".join(grain)).alias("grain"),
+                           "receivable_rows", "closing_balance")
+        out = told if out is None else out.unionByName(told)
+    for number, name in (("_claim", "claims"), ("_patient", "patients")):
+        found = bitmaps.cells(kept.filter(F.col(number).isNotNull()), CUBE, number)
+        counted = bitmaps.distinct_by(found, CUBE_GRAINS, CUBE, name)
+        same = [out[c].eqNullSafe(counted[c]) for c in (*CUBE, "grain")]
+        out = out.join(counted, reduce(Column.__and__, same), "left").select(
+            *[out[c] for c in out.columns], F.coalesce(counted[name], F.lit(0)).alias(name))
+    return out

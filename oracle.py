@@ -6,8 +6,9 @@ from claimweave.operators.quality import TEST_KEY
 from claimweave.plans import checks, clinical
 from claimweave.plans.graph import EVIDENCE
 from claimweave.plans.resolve import ADDRESS_LIKENESS, NAME_LIKENESS
-from claimweave.plans.queries import (ARRIVALS, DIMENSION_MEMBERS, LATE_BY_HOURS,
+from claimweave.plans.queries import (ALL_MEMBERS, ARRIVALS, DIMENSION_MEMBERS, LATE_BY_HOURS,
                                         _missing_column)
+from claimweave.plans.reports import CUBE, CUBE_GRAINS
 from claimweave.plans.rules import RULES
 from claimweave.sources.layout import LINEAGE, OVERDUE_BUCKETS, SOURCES
 from claimweave.sources.samples import EXTERNAL_SQL, INPUT_TABLES, PAYERS, SOURCE_SQL
@@ -213,6 +214,19 @@ part("patient_source_xref", "final_match", """
 SELECT patient_id, source_system, source_patient_key, match_confidence, match_method
 FROM final_match""")
 
+_MEMBER_COLUMNS = [(d, t, c) for d, columns in ALL_MEMBERS.items() for t, c in columns]
+part("all_members", " ".join(sorted({f"landed_{t}" for _, t, _ in _MEMBER_COLUMNS})),
+     "\nUNION\n".join(
+         f"SELECT '{d}' AS dimension, {c} AS member, CAST(_ingested_at AS DATE) AS load_day"
+         f" FROM landed_{t} WHERE {c} IS NOT NULL" for d, t, c in _MEMBER_COLUMNS))
+part("member_loads", "all_members", """
+SELECT dimension, load_day, DENSE_RANK() OVER (PARTITION BY dimension ORDER BY load_day) AS nth
+FROM (SELECT DISTINCT dimension, load_day FROM all_members)""")
+part("cube_rows", "fact_receivable", """
+SELECT r.*, STRFTIME(snapshot_date, '%Y-%m') AS month,
+  MAX(snapshot_date) OVER (PARTITION BY claim_id, STRFTIME(snapshot_date, '%Y-%m')) AS last_in_month,
+  MAX(snapshot_date) OVER (PARTITION BY claim_id) AS last_of_all
+FROM fact_receivable r""")
 part("arrivals", "", f"""
 SELECT e.*, DATE_TRUNC('hour', ts) AS hour, CAST(LEAST(
     FLOOR((FLOOR(EPOCH(ts)) - lo) * {ARRIVALS} / (hi - lo + 1))
@@ -716,6 +730,30 @@ SELECT *, CAST(ROUND(1.0 - POW(1.0 - CASE evidence {' '.join(
     f"WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in EVIDENCE.items())} END, support), 3)
   AS DECIMAL(4,3)) AS confidence
 FROM (SELECT *, COUNT(*) AS support FROM graph_links GROUP BY ALL)""", "graph_links"),
+        "dq_cardinality_sketch": query("""
+SELECT *, ROUND(new_members / CAST(known_before AS DOUBLE), 4) AS growth,
+  COALESCE(ROUND(new_members / CAST(known_before AS DOUBLE), 4) > 0.5, FALSE) AS spike
+FROM (
+  SELECT l.dimension, l.load_day,
+    (SELECT COUNT(*) FROM all_members m WHERE m.dimension = l.dimension
+       AND m.load_day = l.load_day) AS load_members,
+    (SELECT COUNT(*) FROM (SELECT member FROM all_members m WHERE m.dimension = l.dimension
+       GROUP BY member HAVING MIN(load_day) = l.load_day)) AS new_members,
+    CASE WHEN l.nth > 1 THEN (SELECT COUNT(DISTINCT member) FROM all_members m
+       WHERE m.dimension = l.dimension AND m.load_day < l.load_day) END AS known_before,
+    CASE WHEN l.nth > 1 THEN (SELECT COUNT(*) FROM all_members m JOIN all_members o
+         ON o.dimension = m.dimension AND o.member = m.member
+       WHERE m.dimension = l.dimension AND m.load_day = l.load_day AND o.load_day = b.load_day) END
+      AS shared_with_last
+  FROM member_loads l LEFT JOIN member_loads b ON b.dimension = l.dimension AND b.nth = l.nth - 1)""",
+                                       "all_members member_loads"),
+        "bi_metrics_cube": query("\nUNION ALL\n".join(f"""
+SELECT {', '.join(c if c in g else f'NULL AS {c}' for c in CUBE)}, '{','.join(g)}' AS grain,
+  COUNT(*) AS receivable_rows, CAST(COALESCE(SUM(total_ar_balance) FILTER (
+    snapshot_date = {'last_in_month' if 'month' in g else 'last_of_all'}
+    AND claim_id IS NOT NULL), 0) AS DECIMAL(38,2)) AS closing_balance,
+  COUNT(DISTINCT claim_id) AS claims, COUNT(DISTINCT patient_id) AS patients
+FROM cube_rows {'GROUP BY ' + ', '.join(g) if g else ''}""" for g in CUBE_GRAINS), "cube_rows"),
         "stream_volumes": query(f"""
 SELECT event_type AS feed, hour AS window_start, COUNT(*) AS row_count, MIN(ts) AS first_seen,
   MAX(ts) AS last_seen
