@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.draws import pick
 from ..operators.agreement import Model
 from ..operators import quality, sketches
+from ..operators.forest import spanning_forest
 from ..operators.quality import freshness, load_volumes, masked, reconcile
 from ..operators.skew import meet
 from ..operators.typed import clean
@@ -149,6 +150,15 @@ def _quality(spark, sf):
     return evaluation.pairwise_quality(house.walk(), truth)
 
 
+def _threshold_curve(spark, sf):
+    """Quality of the clusters at every threshold from that of the review floor on."""
+    house = warehouse(spark, sf)
+    truth = evaluation.sample_truth(house.spine(), landed_orders(spark, sf))
+    ties = evaluation.weighted_ties(house.links(), house.fuzzy_members_for(REVIEW),
+                                    house.scored_for(REVIEW))
+    return evaluation.threshold_curve(spanning_forest(ties), truth)
+
+
 def landed_orders(spark, sf):
     return spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_custkey")
 
@@ -516,6 +526,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "er_crosswalk": _final_match(None),
         "er_crosswalk_4pass": _final_match(4),
         "er_match_quality": _quality,
+        "er_threshold_curve": _threshold_curve,
         "gold_patient_source_xref": _table("patient_source_xref",
                                            ("effective_from", "effective_to")),
         "gold_dim_patient": _table("dim_patient"),

@@ -238,6 +238,27 @@ part("watermarks", "arrivals", f"""
 SELECT b.batch, MAX(a.ts) - INTERVAL {LATE_BY_HOURS} HOUR AS passed
 FROM (SELECT UNNEST(RANGE({ARRIVALS})) AS batch) b LEFT JOIN arrivals a ON a.batch < b.batch
 GROUP BY 1""")
+part("curve_near", "exact_pairs likely_pairs", """
+SELECT t.threshold, p.node_a AS node, p.node_b AS other
+FROM (SELECT node_a, node_b, confidence FROM exact_pairs
+      UNION ALL SELECT node_a, node_b, confidence FROM likely_pairs WHERE confidence >= 0.65) p
+JOIN (SELECT CAST(UNNEST(RANGE(65, 101, 5)) / 100.0 AS DECIMAL(4,3)) AS threshold) t
+  ON p.confidence >= t.threshold
+UNION
+SELECT t.threshold, p.node_b, p.node_a
+FROM (SELECT node_a, node_b, confidence FROM exact_pairs
+      UNION ALL SELECT node_a, node_b, confidence FROM likely_pairs WHERE confidence >= 0.65) p
+JOIN (SELECT CAST(UNNEST(RANGE(65, 101, 5)) / 100.0 AS DECIMAL(4,3)) AS threshold) t
+  ON p.confidence >= t.threshold""")
+part("curve_reached", "curve_reached curve_near", """
+SELECT DISTINCT threshold, node, node AS label FROM curve_near
+UNION
+SELECT a.threshold, a.other, r.label FROM curve_reached r
+JOIN curve_near a ON a.node = r.node AND a.threshold = r.threshold WHERE r.label < a.other""")
+part("curve_judged", "curve_reached truth", """
+SELECT threshold, cluster, j.truth FROM (
+  SELECT threshold, node, MIN(label) AS cluster FROM curve_reached GROUP BY 1, 2) c
+JOIN truth j ON j.node = c.node""")
 part("node_days", "emr_patient rcm_patient_account referral_order", """
 SELECT 'emr::' || emr_patient_id AS node, CAST(_ingested_at AS DATE) AS load_day FROM emr_patient
 UNION ALL SELECT 'rcm::' || rcm_account_id, CAST(_ingested_at AS DATE) FROM rcm_patient_account
@@ -730,6 +751,17 @@ SELECT *, CAST(ROUND(1.0 - POW(1.0 - CASE evidence {' '.join(
     f"WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in EVIDENCE.items())} END, support), 3)
   AS DECIMAL(4,3)) AS confidence
 FROM (SELECT *, COUNT(*) AS support FROM graph_links GROUP BY ALL)""", "graph_links"),
+        "er_threshold_curve": query("""
+SELECT threshold, r AS right_pairs, f AS found_pairs, t AS true_pairs,
+  ROUND(r / CAST(f AS DOUBLE), 6) AS precision_share, ROUND(r / CAST(t AS DOUBLE), 6) AS recall_share
+FROM (SELECT threshold, CAST(SUM(n * (n - 1) / 2) AS BIGINT) AS r FROM (
+        SELECT threshold, COUNT(*) AS n FROM curve_judged GROUP BY threshold, cluster, truth)
+      GROUP BY 1)
+JOIN (SELECT threshold, CAST(SUM(n * (n - 1) / 2) AS BIGINT) AS f FROM (
+        SELECT threshold, COUNT(*) AS n FROM curve_judged GROUP BY threshold, cluster)
+      GROUP BY 1) USING (threshold),
+  (SELECT CAST(SUM(n * (n - 1) / 2) AS BIGINT) AS t FROM (
+     SELECT COUNT(*) AS n FROM truth GROUP BY truth))""", "curve_judged truth"),
         "dq_cardinality_sketch": query("""
 SELECT *, ROUND(new_members / CAST(known_before AS DOUBLE), 4) AS growth,
   COALESCE(ROUND(new_members / CAST(known_before AS DOUBLE), 4) > 0.5, FALSE) AS spike
