@@ -73,3 +73,14 @@ def test_odd_rows(spark, frame, odd_rows):
     of = {r["doc_id"]: r["component_id"] for r in got}
     assert of[1] == of[2] == 1 and of[3] == of[4] == of[5] == 3
     assert near_copies.groups(frame([])).collect() == []
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark, frame):
+    rng = random.Random(5)
+    a, b, c = (words(rng, 60) for _ in range(3))
+    docs = frame([(1, a), (1, b), (2, c), (3, b), (3, b), (None, a), (None, a), (4, None), (5, "")],
+                 clashing=True)
+    kept = pipeline.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(1, a), (1, b), (2, c), (None, a), (None, a), (4, None)], key=str)
