@@ -6,8 +6,8 @@ from claimweave.operators.quality import TEST_KEY
 from claimweave.plans import checks, clinical
 from claimweave.plans.graph import EVIDENCE
 from claimweave.plans.resolve import ADDRESS_LIKENESS, NAME_LIKENESS
-from claimweave.plans.queries import (ALL_MEMBERS, ARRIVALS, DIMENSION_MEMBERS, LATE_BY_HOURS,
-                                        _missing_column)
+from claimweave.plans.queries import (ALL_MEMBERS, ARRIVALS, BAD_FEEDS, DIMENSION_MEMBERS,
+                                        LATE_BY_HOURS, _missing_column)
 from claimweave.plans.reports import CUBE, CUBE_GRAINS
 from claimweave.plans.rules import RULES
 from claimweave.sources.layout import LINEAGE, OVERDUE_BUCKETS, SOURCES
@@ -762,6 +762,11 @@ JOIN (SELECT threshold, CAST(SUM(n * (n - 1) / 2) AS BIGINT) AS f FROM (
       GROUP BY 1) USING (threshold),
   (SELECT CAST(SUM(n * (n - 1) / 2) AS BIGINT) AS t FROM (
      SELECT COUNT(*) AS n FROM truth GROUP BY truth))""", "curve_judged truth"),
+        "bronze_load_log": query("\nUNION ALL\n".join(
+            f"SELECT '{n}' AS table_name, '{x.file}' AS source_file, "
+            + (f"0 AS row_count, '{BAD_FEEDS[n]}' AS status" if n in BAD_FEEDS else
+               f"COUNT(*) AS row_count, 'loaded' AS status FROM landed_{n}")
+            for n, x in SOURCES.items()), " ".join(f"landed_{n}" for n in SOURCES)),
         "dq_cardinality_sketch": query("""
 SELECT *, ROUND(new_members / CAST(known_before AS DOUBLE), 4) AS growth,
   COALESCE(ROUND(new_members / CAST(known_before AS DOUBLE), 4) > 0.5, FALSE) AS spike
