@@ -179,19 +179,25 @@ def _schema(docs: DataFrame, id_column: str, *fields: T.StructField) -> T.Struct
     return T.StructType([docs.schema[id_column], *fields])
 
 
-def _encode(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.RecordBatch]:
-    cache = vocabulary.value.worker_cache()
+def _encode(batches: Iterator[pa.RecordBatch], vocabulary,
+            decoded: bool) -> Iterator[pa.RecordBatch]:
+    cache, bytes_of = vocabulary.value.worker_cache(), vocabulary.value.bytes_of
     for batch in slices(batches):
         ids = [encode_text(text or "", cache) for text in batch.column(1).to_pylist()]
+        columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                   pa.array(ids, pa.binary())]
+        if decoded:
+            columns.append(pa.array([hashlib.sha256(decode_ids(x, bytes_of)).hexdigest()
+                                     for x in ids], pa.string()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
-             pa.array(ids, pa.binary())], ["id", "n_tokens", "ids"])
+            columns, ["id", "n_tokens", "ids", "decoded_sha256"][:len(columns)])
 
 
-def encode(docs: DataFrame, ranks_path: str, text: str = "text",
-           id_column: str = "doc_id") -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, text: str = "text", id_column: str = "doc_id",
+           decoded: bool = False) -> DataFrame:
     """(id, n_tokens, ids) of every row; `ids` holds little-endian unsigned 32-bit integers.
 
+    `decoded` adds `decoded_sha256`, the digest of the bytes that the ids decode to.
     A null text counts as empty and has no ids; repeated rows are encoded each;
     other columns are ignored. Special-token strings are ordinary text. The
     vocabulary is broadcast: its size is that of the file. Texts are encoded
@@ -199,9 +205,10 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text",
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(ranks_path)))
     schema = _schema(docs, id_column, T.StructField("n_tokens", T.LongType()),
-                     T.StructField("ids", T.BinaryType()))
+                     T.StructField("ids", T.BinaryType()),
+                     *([T.StructField("decoded_sha256", T.StringType())] if decoded else []))
     return docs.select(id_column, text).mapInArrow(
-        partial(_encode, vocabulary=vocabulary), schema)
+        partial(_encode, vocabulary=vocabulary, decoded=decoded), schema)
 
 
 def _decode(batches: Iterator[pa.RecordBatch], ranks) -> Iterator[pa.RecordBatch]:

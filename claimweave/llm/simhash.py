@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..operators.components import connected_components
-from .storage import stored
+from .storage import stored, unused
 
 SEED = 42
 BITS = 64
@@ -30,6 +30,7 @@ BLOCKS = 6
 COMPARED_AT_ONCE = 2048
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _AT_ONCE = 1 << 16
+_ROWS_AT_ONCE = 500
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -194,3 +195,43 @@ def groups(docs: DataFrame, distance: int = DISTANCE, shingle: int = 3, text: st
     of = marked.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         "fp", F.coalesce("component", "rep").alias("component_id"))
     return marks.join(of, "fp", "left").select(id_column, "fp", "component_id")
+
+
+def _marked(batches: Iterator[pa.RecordBatch], at: int, shingle: int,
+            names: list[str]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            part = batch.slice(low, _ROWS_AT_ONCE)
+            values = np.array([fingerprint(x, shingle) for x in part.column(at).to_pylist()], "<u8")
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values.view("<i8"))], names)
+
+
+def first_of_groups(docs: DataFrame, distance: int = DISTANCE, shingle: int = 3,
+                    text: str = "text", id_column: str = "doc_id", blocks: int = BLOCKS,
+                    compared_at_once: int = COMPARED_AT_ONCE) -> DataFrame:
+    """One row of each group of linked fingerprints, that with the smallest id, all columns kept.
+
+    Rows are grouped by their fingerprints, as in `groups`, but rows of one id
+    with different texts are documents of their own. Rows without an id are
+    linked by their texts and give way to rows with one. Of rows with equal ids
+    that of the smallest MD5 of the text stays. Texts without a word, null ones
+    too, are one group with what is linked to fingerprint 0. Rows of one
+    fingerprint are reduced to one before the shuffle, so copies without number
+    cost no task more than others.
+    """
+    mark = unused("_fp", docs)
+    schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.LongType())])
+    marks = docs.mapInArrow(partial(_marked, at=docs.columns.index(text), shingle=shingle,
+                                    names=schema.names), schema)
+    order = F.struct(F.col(id_column).isNull(), id_column, F.md5(F.coalesce(text, F.lit(""))))
+    firsts = stored(marks.groupBy(F.col(mark).alias("fp")).agg(
+        F.min_by(F.struct(*docs.columns), order).alias("row"), F.min(order).alias("place")),
+        "simhash-firsts")
+    found = stored(connected_components(links(firsts.select("fp", F.col("fp").alias("rep")),
+                                              distance, blocks, compared_at_once)),
+                   "simhash-linked").withColumnRenamed("id", "fp")
+    # only linked fingerprints meet here, without their texts
+    first = (found.join(firsts.select("fp", "place"), "fp").groupBy("component")
+             .agg(F.min_by("fp", F.struct("place", "fp")).alias("fp")))
+    others = found.join(first, "fp", "left_anti").select("fp")
+    return firsts.join(others, "fp", "left_anti").select("row.*")

@@ -7,7 +7,7 @@ import pytest
 import tiktoken
 
 import corpus_pipeline as pipeline
-from claimweave.llm import bpe, queries
+from claimweave.llm import bpe, queries, simhash, stages
 from llm_words import words
 
 SF = "/root/testdata/sf0.001"
@@ -39,6 +39,43 @@ def folder(spark, frame, tmp_path):
     return str(tmp_path), dict(rows), line
 
 
+def plain_firsts(rows):
+    """One row of each group of linked fingerprints, by comparing all rows with all."""
+    marks = [simhash.fingerprint(r["text"]) for r in rows]
+    group = list(range(len(rows)))
+    for i, a in enumerate(marks):
+        for j in range(i):
+            if (a ^ marks[j]).bit_count() <= 3 and group[i] != group[j]:
+                group = [group[i] if g == group[j] else g for g in group]
+    order = {}
+    for g, r in zip(group, rows):
+        key = (r["doc_id"] is None, r["doc_id"] or 0,
+               hashlib.md5((r["text"] or "").encode()).hexdigest())
+        if g not in order or key < order[g][0]:
+            order[g] = key, r
+    return [r for _, r in order.values()]
+
+
+def test_near_copies_against_all_pairs(spark, frame, odd_rows):
+    """Copies with a few words changed, rows of one id, without an id, and odd ones."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        told = words(rng, rng.choice([20, 150, 600])).split()
+        for copy in range(4):
+            rows.append((1000 + 10 * i + copy, " ".join(told)))
+            told[rng.randrange(len(told))] = f"other{copy}"
+    a, b = words(rng, 60), words(rng, 60)
+    rows += [(1, a), (1, b), (2, b), (None, a), (None, words(rng, 60)), *odd_rows]
+    docs = frame(rows, clashing=True)
+    kept = stages.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = kept.collect()
+    assert 60 < len(got) < len(rows) - 60
+    assert sorted(map(str, got)) == sorted(map(str, plain_firsts(docs.collect())))
+    assert stages.drop_near_copies(spark, frame([]), "").collect() == []
+
+
 def test_stages_take_effect(spark, folder):
     path, texts, line = folder
     docs = spark.read.parquet(f"{path}/documents.parquet")
@@ -53,8 +90,10 @@ def test_stages_take_effect(spark, folder):
     assert [line in after[200 + i] for i in range(6)] == [True] + [False] * 5
     # 301 is near 300; 302 and 303 lost their only line and are in one group with other empty ones
     assert ids[2] - ids[3] == {301, 303, 500, 501, 502}
+    assert sorted(map(tuple, seen[3].collect())) == sorted(
+        map(tuple, plain_firsts(seen[2].collect())))
     assert ids[3] - ids[4] == {400, 401, 402, 403, 404}
-    assert seen[3].filter("doc_id = 503").count() == 1
+    assert seen[3].filter("doc_id = 503").count() == 2
 
 
 def test_last_stage_encodes_what_is_left(spark, folder):
@@ -64,8 +103,9 @@ def test_last_stage_encodes_what_is_left(spark, folder):
     docs = spark.read.parquet(f"{path}/documents.parquet")
     for _, stage in pipeline.STAGES[:-1]:
         docs = stage(spark, docs, path)
-    want = {(r["doc_id"], tuple(theirs.encode_ordinary(r["text"] or ""))) for r in docs.collect()}
-    got = {(r["doc_id"], tuple(np.frombuffer(r["ids"], "<u4").tolist()))
+    want = {(r["doc_id"], tuple(theirs.encode_ordinary(r["text"] or "")),
+             hashlib.sha256((r["text"] or "").encode()).hexdigest()) for r in docs.collect()}
+    got = {(r["doc_id"], tuple(np.frombuffer(r["ids"], "<u4").tolist()), r["decoded_sha256"])
            for r in pipeline.run(spark, path).collect()}
     assert got == want
 
