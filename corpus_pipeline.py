@@ -1,76 +1,21 @@
-"""Training-corpus pipeline: each stage works on all that the one before it kept.
-
-Rows are taken as they come: a null or empty text is scored, linked and encoded
-like any other, a row without an id stays unless its text decides otherwise, and
-columns besides those of `documents` pass through all stages but the last.
-"""
+"""Training-corpus pipeline over `documents`; the stages are in claimweave/llm/stages.py."""
 
 from __future__ import annotations
 
-import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from claimweave.llm import bpe, decontaminate, langid, line_runs, near_copies, toxicity
-from claimweave.llm.storage import stored, unused
+from claimweave.llm import stages
+from claimweave.llm.storage import stored
 
 # most steps have no counterpart in SQL; tests hold them against plain versions
 ORACLE_SQL = None
 
-
-def _only(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """Rows of `docs` whose id is in `found`, or is not; every row of an id fares alike."""
-    name = unused("_id", docs)
-    ids = found.select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(name)), how)
-
-
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below the threshold of a classifier learned from the labelled ones."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(
-        langid.fold("doc_id", 4) != 2)
-    model = toxicity.fit(docs, labels)
-    return toxicity.keep_below(docs, model)
-
-
-def delete_line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later copies of line runs."""
-    return line_runs.delete_repeats(docs, count_column=None)
-
-
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id.
-
-    Near copies have a Jaccard similarity of 0.8 or more over runs of five words.
-    Rows of one id with different texts count as documents of their own, equal
-    rows as one. Rows without an id are no member of a group and stay.
-    """
-    mark = unused("_hash", docs)
-    first = near_copies.groups(docs).filter("first").select(
-        "doc_id", F.col("text_hash").alias(mark)).distinct()
-    kept = docs.withColumn(mark, near_copies.text_hash("text"))
-    chosen = (kept.join(first, ["doc_id", mark], "left_semi")
-              .dropDuplicates(["doc_id", mark]))
-    return chosen.unionByName(kept.filter(F.col("doc_id").isNull())).select(docs.columns)
-
-
-def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = stored(decontaminate.contaminated(docs, benchmark), "contaminated")
-    return _only(docs, found, "left_anti")
-
-
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, as little-endian unsigned 32-bit integers."""
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-
-
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("line_dedup", delete_line_runs),
-    ("near_dedup", drop_near_copies),
-    ("decontamination", drop_contaminated),
-    ("encoding", encode),
+    ("toxicity", stages.drop_toxic),
+    ("line_dedup", stages.delete_line_runs),
+    ("near_dedup", stages.drop_near_copies),
+    ("decontamination", stages.drop_contaminated),
+    ("encoding", stages.encode),
 ]
 
 
