@@ -24,6 +24,7 @@ from .words import blocks, mixed
 FEATURES = 1 << 14
 SKETCH = 48               # columns of the sketch
 COMMON_DIRECTIONS = 4     # leading singular vectors, of what all texts share, that are left out
+PROJECTED = 512           # random directions that stand for the space where texts span none
 PASSAGE = 32              # words of a sketched passage
 LENGTHS = (16, 32, 64)    # words of a compared passage, the one nearest to the item's length
 OVERLAP = 4               # a passage begins at each such part of its length
@@ -35,6 +36,8 @@ ITEMS_AT_ONCE = 1000
 ITEM_WORDS_AT_ONCE = 1 << 16
 _SEED = 20
 _BYTES = np.uint64(0x0101010101010101)
+_WIDE = 3                 # sums of sketch columns that one 64-bit number holds, 21 bits each
+_REGION_WORDS = 1 << 21   # words of candidate regions that are looked at together
 _ANSWER = re.compile(r"(?i)\banswer\s*:")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -64,51 +67,63 @@ def _feature(hashed: np.ndarray) -> np.ndarray:
     return (hashed & np.uint64(FEATURES - 1)).astype(np.int64)
 
 
+def _packed_signs() -> np.ndarray:
+    """Rows of _WIDE columns of `_signs`, 1 for plus and 0 for minus, by feature; 0 at no word."""
+    plus = (np.append(_signs(), np.full((1, SKETCH), -1, np.int8), axis=0) > 0).astype(np.uint64)
+    shifts = np.uint64(21) * np.arange(_WIDE, dtype=np.uint64)
+    return np.ascontiguousarray((plus.reshape(-1, SKETCH // _WIDE, _WIDE) << shifts).sum(axis=2).T)
+
+
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (feature, passages with it, sketch) of a partition, and their number at feature -1."""
-    signs = np.append(_signs(), np.zeros((1, SKETCH), np.int8), axis=0).astype(np.float32)
-    sketch = np.zeros((FEATURES + 1, SKETCH), np.float32)
-    total, summed = np.zeros((FEATURES, SKETCH), np.int64), 0
-    found, passages = np.zeros(FEATURES, np.int64), 0
+    """Rows (feature, passages with it, sketch) of a partition, and their number at feature -1.
 
-    def flush() -> None:
-        nonlocal summed
-        total[:] += sketch[:FEATURES].astype(np.int64)
-        sketch[:], summed = 0, 0
+    The words of a passage with a plus sign are counted in packed numbers; twice
+    that less the number of words is the sum of the signs.
+    """
+    signs = _packed_signs()
+    total = np.zeros((SKETCH, FEATURES + 1), np.int64)
+    found, passages = np.zeros(FEATURES, np.int64), 0
+    field = np.uint64((1 << 21) - 1)
 
     def add(words: np.ndarray) -> None:
-        """TF' (TF S) of passages that follow each other, the last filled up with no word."""
-        nonlocal summed, passages
-        drawn = signs[words].reshape(-1, PASSAGE, SKETCH).sum(axis=1)
-        order = np.argsort(words.astype(np.int16), kind="stable")
-        in_order = words[order]
+        """TF' (TF S) of at most 2 ** 15 words in passages that follow each other, the last
+        filled up with no word."""
+        nonlocal passages
+        order = np.argsort(words, kind="stable")
+        in_order, passage = words[order], order // PASSAGE
         edge = np.flatnonzero(np.concatenate(([True], in_order[1:] != in_order[:-1])))
-        sketch[in_order[edge]] += np.add.reduceat(drawn[order // PASSAGE], edge, axis=0)
+        features = in_order[edge]
+        real = (words != FEATURES).reshape(-1, PASSAGE).sum(axis=1)
+        minus = np.add.reduceat(real[passage], edge)
+        for i, row in enumerate(signs):
+            # a sum is at most 2 ** 15 words of 32 each, 2 ** 20
+            plus = row[words].reshape(-1, PASSAGE).sum(axis=1)
+            sums = np.add.reduceat(plus[passage], edge)
+            for k in range(_WIDE):
+                one = (sums >> np.uint64(21 * k) & field).astype(np.int64)
+                total[_WIDE * i + k, features] += 2 * one - minus
         within = np.sort(words.reshape(-1, PASSAGE), axis=1)
         first = np.ones(within.shape, bool)
         first[:, 1:] = within[:, 1:] != within[:, :-1]
         found[:] += np.bincount(within[first], minlength=FEATURES + 1)[:FEATURES]
-        passages += len(drawn)
-        summed += len(words)
-        if summed > 1 << 17:  # single precision holds whole numbers up to 2 ** 24
-            flush()
+        passages += len(real)
 
     for batch in batches:
         held, size = [], 0
         for _, hashed in document_words(batch.column(0).to_pylist()):
-            for at in range(0, len(hashed), 1 << 15):
-                part = _feature(hashed[at:at + (1 << 15)])
-                held += [part, np.full(-len(part) % PASSAGE, FEATURES)]
-                size += len(part)
-                if size >= 1 << 15:
+            for at in range(0, len(hashed), 1 << 13):
+                part = _feature(hashed[at:at + (1 << 13)]).astype(np.int16)
+                filled = -len(part) % PASSAGE
+                if size + len(part) + filled > 1 << 15:
                     add(np.concatenate(held))
                     held, size = [], 0
+                held += [part, np.full(filled, FEATURES, np.int16)]
+                size += len(part) + filled
         if size:
             add(np.concatenate(held))
-    flush()
     some = np.flatnonzero(found)
     columns = [np.append(some, -1), np.append(found[some], passages),
-               *np.concatenate((total[some], np.zeros((1, SKETCH), np.int64))).T]
+               *np.concatenate((total[:, some], np.zeros((SKETCH, 1), np.int64)), axis=1)]
     yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns],
                                      ["feature", "found", *(f"s{i}" for i in range(SKETCH))])
 
@@ -145,8 +160,10 @@ def latent_space(docs: DataFrame, text: str = "text") -> Space:
     values, vectors = np.linalg.eigh(core)
     good = values > 1e-9 * max(values.max(), 1e-300)
     half = y @ (vectors[:, good] / np.sqrt(values[good]))
-    if half.shape[1] <= COMMON_DIRECTIONS:  # too few texts to span a space: plain TF-IDF
-        return Space(np.append(np.diag(idf), np.zeros((1, FEATURES)), axis=0).astype(np.float32))
+    if half.shape[1] <= COMMON_DIRECTIONS:  # too few texts to span a space: projected TF-IDF
+        drawn = np.random.default_rng(_SEED).integers(0, 2, (FEATURES, PROJECTED)) * 2 - 1
+        table = idf[:, None] * drawn
+        return Space(np.append(table, np.zeros((1, PROJECTED)), axis=0).astype(np.float32))
     v, s, _ = np.linalg.svd(half, full_matrices=False)
     table = idf[:, None] * v[:, COMMON_DIRECTIONS:] / np.maximum(s[COMMON_DIRECTIONS:], 1e-9)
     return Space(np.append(table, np.zeros((1, table.shape[1])), axis=0).astype(np.float32))
@@ -241,6 +258,26 @@ def _within(short: np.ndarray, long: np.ndarray) -> bool:
     return all(word in rest for word in short.tolist())
 
 
+def _possible(known: np.ndarray, a: np.ndarray, b: np.ndarray, item: np.ndarray,
+              items: Items) -> np.ndarray:
+    """Words of each item, repeats included, that stand anywhere in the region from a to b."""
+    out, nowhere = np.zeros(len(a), np.int64), len(items.vocabulary)
+    has, width = items.has.ravel(), int((b - a).max(initial=1))
+    rows = max(1, _REGION_WORDS // width)
+    for low in range(0, len(a), rows):
+        some = slice(low, low + rows)
+        at = a[some][:, None] + np.arange(width)
+        words = np.where(at < b[some][:, None], np.take(known, at, mode="clip"), nowhere)
+        told = words + (item[some] * (nowhere + 1))[:, None]
+        row, column = np.nonzero(np.take(has, told))
+        # each word of an item once in a region
+        once = np.unique(row * (nowhere + 1) + words[row, column])
+        row = once // (nowhere + 1)
+        pair = np.searchsorted(items.pairs, once + (item[some][row] - row) * (nowhere + 1))
+        out[some] = np.bincount(row, items.times[pair], minlength=len(out[some]))
+    return out
+
+
 def _run_starts(rows: np.ndarray) -> np.ndarray:
     """Where the run of equal values begins that a place of a sorted row is in."""
     starts = np.zeros(rows.shape, np.int64)
@@ -301,7 +338,6 @@ def matches(docs: list[np.ndarray], space: Space, items: Items) -> dict[tuple[in
     for at, item in _whole(known, items):
         key = int(np.searchsorted(first, at, "right") - 1), item
         best[key] = (1.0, len(items.answers[item]) > 0)
-    there = np.zeros(nowhere + 1, bool)
     for length in LENGTHS:
         while step < length // OVERLAP:
             parts, step = parts[0::2] + parts[1::2], 2 * step
@@ -334,15 +370,11 @@ def matches(docs: list[np.ndarray], space: Space, items: Items) -> dict[tuple[in
             pair = np.minimum(np.searchsorted(items.pairs, told), len(items.pairs) - 1)
             shared = ((words != nowhere) & (again < items.times[pair])).sum(axis=1)
             maybe = maybe[shared * 3 >= expected[some][maybe]]
-            for k in maybe.tolist():
+            possible = _possible(known, a[maybe], b[maybe], item[some][maybe], items)
+            for k in maybe[possible >= needed[some][maybe]].tolist():
                 key = int(doc[k]), int(item[low + k])
                 target, inside = items.places[key[1]], known[a[k]:b[k]]
                 inside = inside[items.has[key[1], inside] > 0]
-                there[inside] = True
-                possible = np.count_nonzero(there[target])
-                there[inside] = False
-                if possible < needed[low + k]:
-                    continue
                 share = common_subsequence(target, inside) / len(target)
                 answer = items.answers[key[1]]
                 answered = len(answer) > 0 and _within(answer, inside)
@@ -391,7 +423,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     of fewer than LEAST_WORDS words are also looked up as they are. `common` is the share of
     the item's words in common subsequence with the passage. Null, empty and
     wordless texts and items match nothing; repeated rows are searched each,
-    repeated items found each.
+    repeated items found each. Where there are no texts, or too few to span a
+    latent space, TF-IDF vectors are projected onto PROJECTED random directions.
     """
     spark = docs.sparkSession
     space = latent_space(docs, text)

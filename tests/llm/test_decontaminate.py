@@ -103,6 +103,36 @@ def test_sketch_does_not_depend_on_partitions(frame, planted):
     assert np.allclose(one @ one.T[:, :50], many @ many.T[:, :50], atol=1e-3)
 
 
+def test_packed_sums_are_the_sketch(frame, planted):
+    """TF'(TF S) by dense matrices, and the passages of each feature."""
+    rows = planted[0]
+    tf = []
+    for _, hashed in d.document_words([t for _, t in rows]):
+        features = (hashed & np.uint64(d.FEATURES - 1)).astype(int)
+        tf += [np.bincount(features[at:at + d.PASSAGE], minlength=d.FEATURES)
+               for at in range(0, len(features), d.PASSAGE)]
+    tf = np.array(tf)
+    want = tf.T @ (tf @ d._signs().astype(int))
+    batch = frame(rows).select("text").toArrow().combine_chunks().to_batches()[0]
+    (got,) = d._sketched(iter([batch]))
+    got = got.to_pandas().set_index("feature")
+    assert got.loc[-1, "found"] == len(tf)
+    told = got.drop(index=-1)
+    assert (told["found"].to_numpy() == (tf > 0).sum(axis=0)[told.index]).all()
+    assert (told.drop(columns="found").to_numpy() == want[told.index]).all()
+    assert set(told.index) == set(np.flatnonzero(tf.sum(axis=0)))
+
+
+def test_a_single_text(spark, frame, planted):
+    _, items, _ = planted
+    rng = random.Random(9)
+    docs = frame([(1, f"{sentence(rng, 90)} {items[3][1]} {sentence(rng, 90)}")])
+    assert d.latent_space(docs).table.shape[1] <= d.PROJECTED
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert pairs(d.contaminated(docs, bench)) == {(1, 3)}
+    assert d.latent_space(frame([])).table.shape == (d.FEATURES + 1, d.PROJECTED)
+
+
 def test_answers():
     assert d.answer_of("Question: what? Answer: blue") == "blue"
     assert d.answer_of("First. Second one.\n") == "Second one."
