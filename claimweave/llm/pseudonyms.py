@@ -114,18 +114,31 @@ def _iban(text: str, net: Feistel) -> str | None:
     return "".join(c if c == " " else next(told) for c in text)
 
 
+def _day(at: dt.date, net: Feistel) -> dt.date:
+    """The pseudonym of a date. Days above the twelfth stay above it, others below: so a date that
+    can be read in one order only still can, and no two dates are written alike."""
+    new = at
+    while True:
+        new = dt.date.fromordinal(FIRST_DAY + net.within(
+            "date", new.toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1))
+        if (new.day > 12) == (at.day > 12):
+            return new
+
+
 def _date(text: str, net: Feistel) -> str | None:
+    """Year first, else day first, else month first where only that makes a date."""
     parts = re.split(r"[-/.]", text)
-    year_first = len(parts[0]) == 4
-    year, month, day = map(int, parts if year_first else parts[::-1])
-    try:
-        at = dt.date(year, month, day).toordinal()
-    except ValueError:
-        return None
-    new = dt.date.fromordinal(
-        FIRST_DAY + net.within("date", at - FIRST_DAY, LAST_DAY - FIRST_DAY + 1))
-    told = [f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"]
-    return text[4 if year_first else 2].join(told if year_first else told[::-1])
+    orders = ["ymd"] if len(parts[0]) == 4 else ["dmy", "mdy"]
+    for order in orders:
+        told = dict(zip(order, map(int, parts)))
+        try:
+            at = dt.date(told["y"], told["m"], told["d"])
+        except ValueError:
+            continue
+        new = _day(at, net)
+        written = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
+        return text[len(parts[0])].join(written[x] for x in order)
+    return None
 
 
 def _address(text: str, net: Feistel) -> str | None:

@@ -50,6 +50,21 @@ def test_formats_and_checks():
     assert len(iban) == len("GB82 WEST 1234 5698 7654 32") and "@mail1.example.com" in new
 
 
+def test_orders_of_dates():
+    """A date has one pseudonym in every order it is written in; different dates differ."""
+    first, late = dt.date(1980, 1, 1), {}
+    for n in range(0, 4000, 3):
+        day = first + dt.timedelta(n)
+        told = pseudonymise(f"{day:%Y-%m-%d} {day:%d.%m.%Y} {day:%m/%d/%Y}", NET)[0].split()
+        new = dt.datetime.strptime(told[0], "%Y-%m-%d").date()
+        assert told[1] == f"{new:%d.%m.%Y}"
+        assert (new.day > 12) == (day.day > 12)
+        if day.day > 12:
+            assert told[2] == f"{new:%m/%d/%Y}"
+        assert late.setdefault(told[2], day) == day
+    assert pseudonymise("13/32/1980 13-13-1980", NET)[1] == []
+
+
 def test_invalid_values_stay():
     rng = random.Random(2)
     wrong = card(rng)
