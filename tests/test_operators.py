@@ -161,6 +161,22 @@ def test_hot_key_is_cut_into_cells(spark, small_limit):
     assert "_row" in plan and "_col" in plan
 
 
+def test_a_large_join_is_dealt_by_its_pairs(spark, small_limit):
+    # one small partition, which alone would be joined in place by one task
+    side = spark.range(60).coalesce(1).select((F.col("id") % 1).alias("k"), F.col("id").alias("a"))
+    pairs = meet(side, side.withColumnRenamed("a", "b"), "k", "a", "b", 60)
+    assert pairs.rdd.getNumPartitions() >= 60 * 60 // (9 * 64)
+    assert pairs.distinct().count() == 60 * 60
+
+
+def test_many_mild_keys_are_dealt_by_their_pairs_too(spark, small_limit):
+    side = spark.range(900).coalesce(1).select((F.col("id") % 300).alias("k"),
+                                               F.col("id").alias("a"))
+    pairs = meet(side, side.withColumnRenamed("a", "b"), "k", "a", "b", 900)
+    assert pairs.rdd.getNumPartitions() > 1
+    assert pairs.distinct().count() == 300 * 9
+
+
 def test_no_cell_exceeds_the_pair_budget(spark):
     from claimweave.operators.skew import cells
     sizes = [(1, 1), (5, 3), (3000, 2), (2, 3000), (100, 100), (5000, 5000), (1, 10 ** 6),
