@@ -15,6 +15,7 @@ from claimweave.functions.similarity import jaro_winkler, score_series
 from claimweave.operators.agreement import Agreement, Model, agreements
 from claimweave.plans import fuzzy, identity, rules
 from claimweave.plans.incremental import rematch
+from claimweave.plans.queries import REVIEW
 from claimweave.plans.spine import SPINE_COLUMNS, numbered
 from claimweave.session import materialise
 
@@ -138,6 +139,27 @@ def test_pruned_candidates_lose_nothing(spark, model):
     assert matched(spark, people, model) == matched(spark, people, model, "blocks")
 
 
+@pytest.mark.parametrize("threshold", ["0.65", "0.70", "0.75"])
+def test_candidates_by_equal_names_lose_nothing(spark, threshold):
+    long = "x" * 100
+    people = crowd(13) + [
+        person("emr", "l1", last_name=f"{long}abc", zip="90001", city="A"),
+        person("rcm", "l2", last_name=f"{long}acb", zip="90001", city="B")]
+    model = Model(threshold=threshold, by_names=True)
+    found = matched(spark, people, model)
+    assert found == matched(spark, people, model, "blocks")
+    # names of this length are alike enough without being equal
+    assert (("emr::l1", "rcm::l2") in found) == (threshold == "0.65")
+
+
+def test_equal_names_leave_out_people_who_share_a_birth_date_and_zip(spark):
+    people = [person(system, f"{i}", first_name=f"Q{i}", last_name=f"Z{i}", city=f"{i}")
+              for i in range(20) for system in ("emr", "rcm")]
+    spine = make_spine(spark, people)
+    profiles = materialise(fuzzy.profiles(fuzzy.with_profile(spine)))
+    assert fuzzy.candidates(profiles, 40, REVIEW).count() == 20
+
+
 def test_spreading_does_not_change_matches(spark, small_limit):
     people = crowd(12)
     salted = matched(spark, people)
