@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.casts import clean_value, key_text
 from ..sources.layout import LINEAGE, Source
-from .latest import latest_per_key
+from .latest import newest_per_key
 
 
 class ContractError(ValueError):
@@ -20,7 +20,7 @@ def newest_rows(landed: DataFrame, source: Source, raw_key: bool = False) -> Dat
     the text as it arrived. All rows with a NULL key count as one key.
     """
     keys = [F.col(k) if raw_key else key_text(k, source.rule(k)[0]) for k in source.key]
-    return latest_per_key(landed, keys, [F.desc("_ingested_at"), F.asc("_row_hash")])
+    return newest_per_key(landed, keys, [F.desc("_ingested_at"), F.asc("_row_hash")])
 
 
 def clean(landed: DataFrame, source: Source, raw_key: bool = False) -> DataFrame:
