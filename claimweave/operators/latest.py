@@ -10,6 +10,7 @@ from .skew import BROADCAST_KEYS
 
 HOT_ROWS = 10_000  # rows of one key from which on a limit is placed before the shuffle
 ROWS_PER_SORT = 1_000_000  # rows that one task sorts after the shuffle
+ROWS_PER_SPLIT = 100_000  # rows of a split from which on few splits are dealt to more tasks
 
 
 def latest_per_key(df: DataFrame, keys: list, order: list) -> DataFrame:
@@ -38,6 +39,13 @@ def _sorted_after_shuffle(df: DataFrame, keys: list, order: list, rows: int) ->
             .drop("_before", *names))
 
 
+def _dealt(df: DataFrame, keys: list, rows: int, splits: int) -> DataFrame:
+    """`df` over all cores, if it lies in fewer splits with many rows each; no key repeats."""
+    if splits < df.sparkSession.sparkContext.defaultParallelism and rows > splits * ROWS_PER_SPLIT:
+        return df.repartition(*keys)
+    return df
+
+
 def newest_per_key(df: DataFrame, keys: list, order: list) -> DataFrame:
     """The rows of `latest_per_key`, of which only those with repeated keys are sorted.
 
@@ -48,12 +56,14 @@ def newest_per_key(df: DataFrame, keys: list, order: list) -> DataFrame:
     """
     keys = [F.col(k) if isinstance(k, str) else k for k in keys]
     own = F.xxhash64(*keys)
-    counts = df.select(own.alias("_h")).groupBy("_h").agg(F.count("*").alias("_n"))
+    counts = df.select(own.alias("_h"), F.spark_partition_id().alias("_split")).groupBy("_h").agg(
+        F.count("*").alias("_n"), F.max("_split").alias("_split"))
     repeats = F.col("_n") > 1
-    rows, repeated, repeated_rows, hottest = counts.agg(
-        F.sum("_n"), F.count_if(repeats), F.sum(F.when(repeats, F.col("_n"))), F.max("_n")).first()
+    rows, repeated, repeated_rows, hottest, last = counts.agg(
+        F.sum("_n"), F.count_if(repeats), F.sum(F.when(repeats, F.col("_n"))), F.max("_n"),
+        F.max("_split")).first()
     if not repeated:
-        return df
+        return _dealt(df, keys, rows or 0, (last or 0) + 1)
 
     def latest(some: DataFrame, most: int) -> DataFrame:
         if hottest > HOT_ROWS:
@@ -64,6 +74,6 @@ def newest_per_key(df: DataFrame, keys: list, order: list) -> DataFrame:
         return latest(df, rows)
     listed = F.broadcast(counts.filter(repeats).select("_h"))
     marked = df.withColumn("_h", own)
-    alone = marked.join(listed, "_h", "left_anti").drop("_h")
+    alone = _dealt(marked.join(listed, "_h", "left_anti").drop("_h"), keys, rows, last + 1)
     return alone.unionByName(latest(marked.join(listed, "_h", "left_semi").drop("_h"),
                                     repeated_rows))

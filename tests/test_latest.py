@@ -42,3 +42,13 @@ def test_newest_row_of_repeated_null_and_hot_keys(spark, monkeypatch, alone, twi
     assert got.columns == df.columns
     # input splits are sorted for a hot key only
     assert ("WindowGroupLimit" in _plan(got)) == (hot > 15)
+
+
+def test_few_large_splits_are_dealt_to_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(latest, "ROWS_PER_SPLIT", 10)
+    df = _feed(spark, [(f"k{i}", None, 1, "x") for i in range(50)]).coalesce(1)
+    got = newest_per_key(df, *_by())
+    assert "Exchange hashpartitioning" in _plan(got) and "Sort" not in _plan(got)
+    assert _rows(got) == _rows(df)
+    wide = df.repartition(spark.sparkContext.defaultParallelism, "k")
+    assert _plan(newest_per_key(wide, *_by())).count("Exchange") == 1
