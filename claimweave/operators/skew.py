@@ -41,9 +41,11 @@ def attach(many: DataFrame, one: DataFrame, key: str, spread: str, rows: int,
 
     `rows` is an upper bound for the rows of `many`. Rows of a key above the
     limit are spread over chunks by a hash of `spread`; its single row in `one`
-    is copied once per chunk.
+    is copied once per chunk. Up to as many rows in all there is nothing to spread.
     """
     limit = _setting(many, ROW_LIMIT_SETTING, ROWS_PER_CHUNK)
+    if rows <= limit:
+        return many.join(one, [key], how)
     hot = (one.filter(F.col(count) > limit)
            .groupBy(F.xxhash64(key).alias("_h"))
            .agg(F.max(F.ceil(F.col(count) / F.lit(limit))).cast("int").alias("_k")))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.skew import attach, meet
+from ..session import stored
 
 
 @dataclass(frozen=True)
@@ -93,10 +94,15 @@ def best_rule_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def rule_groups(members: DataFrame, rules=RULES) -> DataFrame:
-    """Groups in which every record has a partner, with size and smallest record."""
+    """Groups in which every record has a partner, with size and smallest record.
+
+    Systems are told apart by their hashes: numbers are added up in place, where
+    the minimum of a text would have all members sorted first.
+    """
+    system = F.when(F.col("system").isNotNull(), F.xxhash64("system"))
     return (members.groupBy("grp", "rule")
             .agg(F.count("*").alias("n"), F.min("nid").alias("hub"),
-                 F.min("system").alias("s0"), F.max("system").alias("s1"))
+                 F.min(system).alias("s0"), F.max(system).alias("s1"))
             .filter((F.col("s0") != F.col("s1")) | (_may_match(rules) & (F.col("n") > 1)))
             .select("grp", "n", "hub"))
 
@@ -105,6 +111,7 @@ def rule_links(members: DataFrame, rows: int, rules=RULES) -> DataFrame:
     """(nid, rule, hub): each matched record tied to the smallest of its group.
 
     Same components and same best rule per record as all pairs, in linear size.
+    The groups are stored, as the join reads them twice.
     """
-    return attach(members, rule_groups(members, rules), "grp", "nid", rows).select(
-        "nid", "rule", "hub")
+    groups = stored(rule_groups(members, rules), "rule-groups")
+    return attach(members, groups, "grp", "nid", rows).select("nid", "rule", "hub")
