@@ -16,6 +16,7 @@ from functools import partial
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from .pieces import slices
 from .storage import stored, unused
 
 MIN_WORDS = 5
@@ -127,7 +128,7 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text"
 
 def _without(batches: Iterator[pa.RecordBatch], text: str, count: bool) -> Iterator[pa.RecordBatch]:
     """The last column lists the lines to leave out."""
-    for batch in batches:
+    for batch in slices(batches):
         at, last = batch.schema.get_field_index(text), batch.num_columns - 1
         texts, lists = batch.column(at).to_pylist(), batch.column(last).to_pylist()
         for i, gone in enumerate(lists):

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ import tiktoken
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 SEGMENT_CHARS = 1 << 18
+_POINTS_AT_ONCE = 1 << 14
 # a space after a plain letter or digit always begins a piece, so text may be cut there
 _SAFE_CUT = re.compile(r"(?<=[A-Za-z0-9])(?= )")
 _ONE, _TWO = frozenset("stmd"), frozenset(("re", "ve", "ll"))
@@ -30,12 +32,13 @@ def kinds() -> np.ndarray:
     counts: with single bytes as tokens it returns just what a pattern matches.
     """
     out = np.zeros(0x110000, np.uint8)
-    points = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    points = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
     for kind, name in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
         matcher = tiktoken.Encoding("class", pat_str=name, special_tokens={},
                                     mergeable_ranks={bytes([b]): b for b in range(256)})
-        matched = bytes(matcher.encode_ordinary(points)).decode()
-        out[code_points(matched)] = kind
+        for at in range(0, len(points), _POINTS_AT_ONCE):
+            matched = bytes(matcher.encode_ordinary(points[at:at + _POINTS_AT_ONCE])).decode()
+            out[code_points(matched)] = kind
     return out
 
 

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from .pieces import slices
 from .words import blocks
 
 PREFIXES = (4, 5, 6, 7)        # bytes of a word's beginning that are features besides the word
@@ -105,7 +106,7 @@ class Model:
 
 
 def _labelled_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         doc, feature = features(batch.column(0).to_pylist())
         label = batch.column(1).to_numpy(zero_copy_only=False)
         yield pa.RecordBatch.from_arrays(
@@ -115,7 +116,7 @@ def _labelled_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 def _rows(batches: Iterator[pa.RecordBatch], kept: np.ndarray, groups) -> Iterator[pa.RecordBatch]:
     """Kept features of each text (pair -1) and of its counterfactuals (pair 0, 1, ...)."""
-    for batch in batches:
+    for batch in slices(batches):
         texts, label, pair, row = [], [], [], []
         for i, (text, y) in enumerate(zip(batch.column(0).to_pylist(),
                                           batch.column(1).to_pylist())):
@@ -234,7 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str =
 
 def _scored(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     model = shared.value
-    for batch in batches:
+    for batch in slices(batches):
         doc, place = features(batch.column(1).to_pylist(), model.kept)
         total = np.bincount(doc, weights=model.weights[place.astype(np.int64)],
                             minlength=batch.num_rows) if len(doc) else np.zeros(batch.num_rows)
@@ -252,7 +253,7 @@ def score(docs: DataFrame, model: Model, text: str = "text",
 
 def _kept(batches: Iterator[pa.RecordBatch], shared, text: str,
           threshold: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         at = batch.schema.get_field_index(text)
         some = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows)), batch.column(at)],
                                           ["id", "text"])

@@ -1,6 +1,8 @@
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 
 from claimweave.llm import langid, toxicity
 from llm_words import words
@@ -126,3 +128,25 @@ def test_fold_of_ids(spark):
         "doc_id", langid.fold("doc_id", 4).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["doc_id"]).encode() if r["doc_id"] is not None else b"") % 4
                for r in got)
+
+
+def test_no_worker_holds_the_features_of_a_whole_batch(monkeypatch):
+    held, features = [], toxicity.features
+
+    def watched(texts, *rest):
+        held.append(len(texts))
+        return features(texts, *rest)
+
+    monkeypatch.setattr(toxicity, "features", watched)
+    texts = [f"word{i % 7} pathetic" for i in range(3000)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(3000)), pa.array(texts), pa.array([i % 2 for i in range(3000)])],
+        ["doc_id", "text", "label"])
+    model = toxicity.Model(np.zeros(0, np.uint64), np.zeros(0), -4.0)
+    shared = SimpleNamespace(value=model)
+    counted = list(toxicity._labelled_features(iter([batch.select(["text", "label"])])))
+    scored = list(toxicity._scored(iter([batch]), shared))
+    kept = list(toxicity._kept(iter([batch]), shared, "text", 0.3))
+    assert [sum(x.num_rows for x in out) for out in (scored, kept)] == [3000, 3000]
+    assert sum(x.num_rows for x in counted) == len(features(texts)[0])
+    assert max(held) <= 500

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from claimweave.llm import line_runs
@@ -72,3 +73,15 @@ def test_rows_of_one_id_with_other_texts(frame):
 def test_empty_table_and_no_repeats(frame):
     assert line_runs.delete_repeats(frame([])).collect() == []
     assert line_runs.delete_repeats(frame([(1, "a b c d e f")])).first()["text"] == "a b c d e f"
+
+
+def test_lines_are_left_out_of_few_rows_at_once():
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(1200)), pa.array(["a\nb\nc"] * 1200),
+         pa.array([[i % 3] if i % 2 else None for i in range(1200)], pa.list_(pa.int32()))],
+        ["doc_id", "text", "gone"])
+    got = list(line_runs._without(iter([batch]), "text", True))
+    assert max(x.num_rows for x in got) <= 500
+    rows = [row for x in got for row in zip(*(c.to_pylist() for c in x.columns))]
+    left = {0: "b\nc", 1: "a\nc", 2: "a\nb"}
+    assert rows == [(i, left[i % 3] if i % 2 else "a\nb\nc", i % 2) for i in range(1200)]
