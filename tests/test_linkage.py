@@ -326,3 +326,24 @@ def test_similarity_needs_no_package_on_the_workers(tmp_path):
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True,
                           input=cloudpickle.dumps(score_series), check=True)
     assert done.stdout.split() == [b"0.9611"]
+
+
+def test_records_that_no_system_can_pair_get_no_keys(spark, monkeypatch):
+    people = [person(s, f"{s}{i}", phone="4150000001") for i, s in enumerate(
+        ("emr", "emr", "rcm", "referral", "referral"))]
+    profiles = materialise(fuzzy.profiles(fuzzy.with_profile(make_spine(spark, people))))
+    sides, meet = [], fuzzy.meet
+
+    def watched(left, right, *rest):
+        sides.append(({r[0] for r in left.select("sa").distinct().collect()},
+                      {r[0] for r in right.select("sb").distinct().collect()}))
+        return meet(left, right, *rest)
+
+    monkeypatch.setattr(fuzzy, "meet", watched)
+    for make in (fuzzy.candidates, fuzzy.edit_candidates):
+        assert make(profiles, 10).count() == 3  # three systems, one profile each
+    assert sides == [({"emr", "rcm"}, {"rcm", "referral"})] * 2
+    alone = profiles.filter("system = 'rcm'")
+    assert fuzzy.candidates(alone, 10).count() == 0
+    assert fuzzy.candidates(alone, 10, against=profiles).count() == 1
+    assert fuzzy.candidates(alone, 10, against=profiles.limit(0)).count() == 0
