@@ -127,7 +127,7 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text"
 
 
 def _without(batches: Iterator[pa.RecordBatch], text: str, count: bool) -> Iterator[pa.RecordBatch]:
-    """The last column lists the lines to leave out."""
+    """The last column lists the lines to leave out; `delete_repeats` does the same without Python."""
     for batch in slices(batches):
         at, last = batch.schema.get_field_index(text), batch.num_columns - 1
         texts, lists = batch.column(at).to_pylist(), batch.column(last).to_pylist()
@@ -143,21 +143,37 @@ def _without(batches: Iterator[pa.RecordBatch], text: str, count: bool) -> Itera
         yield pa.RecordBatch.from_arrays(arrays, [f"c{i}" for i in range(len(arrays))])
 
 
+def _kept(x: Column) -> Column:
+    """The lines of `x.lines` whose numbers are not in the sorted `x.gone`, joined again.
+
+    They are cut out as the stretches between the numbers, so the work is linear in the lines.
+    """
+    edges = F.concat(F.array(F.lit(-1)), x["gone"], F.array(F.size(x["lines"])))
+    starts = F.slice(edges, F.lit(1), F.size(edges) - 1)
+    stretches = F.zip_with(starts, F.slice(edges, F.lit(2), F.size(edges) - 1), lambda a, b:
+                           F.slice(x["lines"], a + 2, b - a - 1))
+    return F.array_join(F.flatten(stretches), "\n")
+
+
 def delete_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text",
                    id_column: str = "doc_id", count_column: str | None = "n_removed") -> DataFrame:
     """The rows of `docs`, their texts without later copies of runs.
 
     Lines without a word stay, and null texts. A document is never removed; its
     text may become empty. `count_column`, if named, gets the number of removed
-    lines, in place of a column of that name; all other columns stay.
+    lines, in place of a column of that name; all other columns stay. The lines
+    are left out in place: no batch of whole texts leaves the executor's heap.
     """
     if count_column:
         docs = docs.drop(count_column)
     doc, lines_gone = unused("_doc", docs), unused("_gone", docs)
     gone = (later_copies(docs, min_words, text, id_column)
             .groupBy(F.col("doc").alias(doc)).agg(F.collect_list("line_no").alias(lines_gone)))
-    joined = (docs.withColumn(doc, _document(text, id_column)).join(gone, doc, "left")
-              .select(*docs.columns, lines_gone))
-    added = [T.StructField(count_column, T.IntegerType())] if count_column else []
-    return joined.mapInArrow(partial(_without, text=text, count=bool(count_column)),
-                             T.StructType([*docs.schema.fields, *added]))
+    joined = docs.withColumn(doc, _document(text, id_column)).join(gone, doc, "left")
+    # an array of one, as each text is to be split once
+    once = F.array(F.struct(F.split(text, "\n", -1).alias("lines"),
+                            F.array_sort(lines_gone).alias("gone")))
+    left = F.when(F.col(lines_gone).isNull(), F.col(text)).otherwise(
+        F.transform(once, _kept)[0])
+    count = [F.coalesce(F.array_size(lines_gone), F.lit(0)).alias(count_column)] if count_column else []
+    return joined.select(*[left.alias(c) if c == text else F.col(c) for c in docs.columns], *count)

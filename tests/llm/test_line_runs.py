@@ -85,3 +85,12 @@ def test_lines_are_left_out_of_few_rows_at_once():
     rows = [row for x in got for row in zip(*(c.to_pylist() for c in x.columns))]
     left = {0: "b\nc", 1: "a\nc", 2: "a\nb"}
     assert rows == [(i, left[i % 3] if i % 2 else "a\nb\nc", i % 2) for i in range(1200)]
+
+
+def test_no_batch_of_texts_leaves_the_heap(frame):
+    same = "\n".join(f"a line of five words {i}" for i in range(3000))
+    rows = [(1, same), (2, "own\n" + same + "\n\nend"), (3, None), (4, "own\n" + same)]
+    got = line_runs.delete_repeats(frame(rows))
+    assert "InArrow" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {(r["doc_id"], r["text"], r["n_removed"]) for r in got.collect()} == {
+        (1, same, 0), (2, "own\n\nend", 3000), (3, None, 0), (4, "", 3001)}
