@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import stored
-from .skew import meet
+from .skew import dealt, meet
 
 _SLACK = 1e-9
 
@@ -40,7 +40,7 @@ def _rarest_first(rows: DataFrame, column: str) -> DataFrame:
     """(rep, `column`): each row's tokens in order of their frequency over all rows."""
     told = rows.select("rep", F.explode(column).alias("token"))
     often = told.groupBy("token").agg(F.count("*").alias("often"))
-    return (told.join(often, "token").groupBy("rep")
+    return (told.join(dealt(often), "token").groupBy("rep")
             .agg(F.transform(F.array_sort(F.collect_list(F.struct("often", "token"))),
                              lambda x: x["token"]).alias(column)))
 
@@ -51,12 +51,15 @@ def _prefix(column: str, least: float) -> Column:
 
 
 def _may(column: str, least: float) -> Column:
-    """Whether sizes, and places of the shared token, leave room for the similarity."""
+    """Whether sizes, and places of the shared token, leave room for the similarity.
+
+    Alike sets also meet in the first token they share, and all they share lies from there on;
+    so the tokens before it count for nothing.
+    """
     a, b = F.col(f"{column}_size_a"), F.col(f"{column}_size_b")
     needed = (a + b) * (least / (1 + least)) - _SLACK
     after = F.least(a - F.col(f"{column}_at_a"), b - F.col(f"{column}_at_b"))
-    return (F.least(a, b) >= F.greatest(a, b) * least - _SLACK) & (after >= needed - F.least(
-        F.col(f"{column}_at_a"), F.col(f"{column}_at_b")))
+    return (F.least(a, b) >= F.greatest(a, b) * least - _SLACK) & (after >= needed)
 
 
 def alike(rows: DataFrame, least: dict[str, float], id_column: str = "id"
@@ -77,11 +80,11 @@ def alike(rows: DataFrame, least: dict[str, float], id_column: str = "id"
     sets = rows.filter(full).select(F.col(id_column).alias("id"),
                                     *[F.array_sort(c).alias(c) for c in columns])
     told = stored(sets.groupBy(*columns).agg(F.min("id").alias("rep")), "token-sets")
-    members = sets.join(told, columns).select("id", "rep")
+    members = sets.join(dealt(told), columns).select("id", "rep")
     ordered = told.select("rep", *[F.array(F.xxhash64(c)).alias(c) for c in equal])
     for c in columns:
         if c not in equal:
-            ordered = ordered.join(_rarest_first(told, c), "rep")
+            ordered = ordered.join(dealt(_rarest_first(told, c)), "rep")
     ordered = stored(ordered, "token-orders")
     keys = ordered.select("rep", *[F.size(c).alias(f"{c}_size") for c in columns], *[
         _prefix(c, least[c]).alias(c) for c in columns])
@@ -97,12 +100,12 @@ def alike(rows: DataFrame, least: dict[str, float], id_column: str = "id"
     # a set's prefix has at most as many tokens as the set
     most = ordered.select(F.sum(reduce(Column.__mul__, [F.size(c).cast("long") for c in columns]))
                           ).first()[0] or 0
-    met = (meet(side("a"), side("b"), "k", "rep_a", "rep_b", most)
+    met = (meet(side("a"), dealt(side("b")), "k", "rep_a", "rep_b", most)
            .filter(F.col("rep_a") < F.col("rep_b"))
            .filter(reduce(Column.__and__, [_may(c, least[c]) for c in columns]))
            .select("rep_a", "rep_b").distinct())
     for tag in ("a", "b"):
-        met = met.join(told.select(F.col("rep").alias(f"rep_{tag}"),
-                                      *[F.col(c).alias(f"{c}_{tag}") for c in columns]), f"rep_{tag}")
+        met = met.join(dealt(told.select(F.col("rep").alias(f"rep_{tag}"), *[
+            F.col(c).alias(f"{c}_{tag}") for c in columns])), f"rep_{tag}")
     enough = [jaccard(F.col(f"{c}_a"), F.col(f"{c}_b")) >= t for c, t in least.items()]
     return members, met.filter(reduce(Column.__and__, enough)).select("rep_a", "rep_b")

@@ -31,6 +31,12 @@ def _listed(hot: DataFrame, most: int) -> DataFrame:
     return F.broadcast(hot) if most <= BROADCAST_KEYS else hot
 
 
+def dealt(side: DataFrame) -> DataFrame:
+    """`side` of a join that is to be shuffled: it grows with the input, so it may not pass
+    through the driver, however small its stored files look."""
+    return side.hint("merge")
+
+
 def _parts(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(1))
 

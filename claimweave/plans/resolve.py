@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..operators.components import connected_components
 from ..operators.keys import row_positions, stable_key
 from ..operators.set_join import alike, grams, words
+from ..operators.skew import dealt
 from ..session import stored
 from . import graph
 
@@ -66,7 +67,7 @@ def _equal(numbered: DataFrame, key: Column, evidence: str) -> DataFrame:
     """Links of all mentions with one key to the smallest of them."""
     told = numbered.select("id", key.alias("key")).filter("key IS NOT NULL")
     first = told.groupBy("key").agg(F.min("id").alias("u"), F.count("*").alias("n")).filter("n > 1")
-    return (told.join(first, "key").filter("id <> u")
+    return (told.join(dealt(first), "key").filter("id <> u")
             .select("u", F.col("id").alias("v"), F.lit(evidence).alias("evidence")))
 
 
@@ -96,12 +97,12 @@ def resolved(mentioned: DataFrame) -> tuple[DataFrame, DataFrame]:
     numbered = stored(row_positions(mentioned, [F.col("mention")], "id"), "mentions")
     bound = links(numbered)
     found = stored(connected_components(bound.select("u", "v")), "mention-components")
-    first = (numbered.join(found, "id", "left")
+    first = (numbered.join(dealt(found), "id", "left")
              .withColumn("_root", F.coalesce("component", "id")).drop("component"))
     names = numbered.select(F.col("id").alias("_root"), stable_key("RES-", "mention")
                             .alias("resolved_id"))
-    named = stored(first.join(names, "_root").drop("_root"), "resolved-mentions")
-    evidence = (bound.join(named.select(F.col("id").alias("u"), "resolved_id"), "u")
+    named = stored(first.join(dealt(names), "_root").drop("_root"), "resolved-mentions")
+    evidence = (bound.join(dealt(named.select(F.col("id").alias("u"), "resolved_id")), "u")
                 .select("resolved_id", "evidence").distinct())
     return named, evidence
 
@@ -122,7 +123,7 @@ def entities(named: DataFrame, evidence: DataFrame) -> DataFrame:
         F.min("phone").alias("canonical_phone"), F.min("address").alias("canonical_address"),
         F.count("*").alias("mention_count"), F.countDistinct("npi").alias("npi_count"),
         _listed("source_system").alias("source_systems"))
-        .join(often, "resolved_id", "left").join(bound, "resolved_id", "left")
+        .join(dealt(often), "resolved_id", "left").join(dealt(bound), "resolved_id", "left")
         .select("resolved_id", "entity_type", F.col("best.name").alias("canonical_name"),
                 "canonical_phone", "canonical_address", "mention_count",
                 F.coalesce("name_count", F.lit(0)).alias("name_count"), "npi_count",

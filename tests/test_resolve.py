@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from claimweave.operators.set_join import alike, grams, words
+from claimweave.operators.set_join import _may, alike, grams, words
 from claimweave.plans import resolve
 
 
@@ -87,3 +87,17 @@ def test_edges_of_merged_ends_count_together(spark):
     row, = resolve.edges(named, links).collect()
     assert (row["from_resolved_id"], row["to_resolved_id"], row["support"]) == ("R1", "R2", 3)
     assert float(row["confidence"]) == pytest.approx(1 - 0.4 ** 3)
+
+
+def test_sides_that_grow_are_not_sent_through_the_driver(spark):
+    table = spark.createDataFrame([(i, [f"a{i // 2}", "x", "y", "z"], [f"p{i % 9}"]) for i in range(90)],
+                                  "id long, x array<string>, y array<string>")
+    for found in alike(table, {"x": 0.75, "y": 1.0}):
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+        found.collect()
+
+
+def test_tokens_before_the_shared_one_count_for_nothing(spark):
+    places = spark.createDataFrame([(4, 4, 0, 0), (4, 4, 1, 1), (4, 3, 1, 0)],
+                                   "x_size_a int, x_size_b int, x_at_a int, x_at_b int")
+    assert [r[0] for r in places.select(_may("x", 0.75)).collect()] == [True, False, True]
