@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..operators.components import connected_components
+from ..operators.skew import dealt
 from .storage import stored, unused
 
 SEED = 42
@@ -154,7 +155,9 @@ def links(marked: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
     `marked` has one row (fp, rep) for each different fingerprint. Not all links
     are listed, but what links connect, the edges connect too. Groups above
     `compared_at_once` take the linear way, which is exact for 3 bits or fewer
-    only; other distances compare all groups in one way.
+    only; other distances compare all groups in one way. Both joins are
+    shuffled: rows are written out many times over before them, which Spark does
+    not count when it looks for a side to broadcast.
     """
     keys = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m)))
                      for i, m in enumerate(_masks(blocks, distance))])
@@ -162,7 +165,7 @@ def links(marked: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
     shared = (tagged.groupBy("block")
               .agg(F.count("*").alias("n"), F.bit_or("fp").bitwiseXOR(F.bit_and("fp"))
                    .alias("varying")).filter("n > 1"))
-    members = stored(tagged.join(shared, "block"), "simhash-members")
+    members = stored(tagged.join(dealt(shared), "block"), "simhash-members")
     small = F.col("n") <= compared_at_once if distance == 3 else F.lit(True)
     compared = (members.filter(small).select("block", "fp", "rep")
                 .repartition("block").sortWithinPartitions("block", "fp")
@@ -173,7 +176,7 @@ def links(marked: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
               .mapInArrow(_around, "block long, value long, rep long, near boolean"))
     centres = around.groupBy("block", "value").agg(
         F.min(F.when(F.col("near"), F.col("rep"))).alias("centre")).filter("centre is not null")
-    tied = (around.join(centres, ["block", "value"])
+    tied = (around.join(dealt(centres), ["block", "value"])
             .filter("rep <> centre").select(F.col("rep").alias("u"), F.col("centre").alias("v")))
     return compared.unionByName(tied)
 
@@ -192,9 +195,9 @@ def groups(docs: DataFrame, distance: int = DISTANCE, shingle: int = 3, text: st
     marked = stored(marks.groupBy("fp").agg(F.min(id_column).cast("long").alias("rep"))
                     .filter("rep is not null"), "simhash-reps")
     found = connected_components(links(marked, distance, blocks, compared_at_once))
-    of = marked.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
+    of = marked.join(dealt(found.withColumnRenamed("id", "rep")), "rep", "left").select(
         "fp", F.coalesce("component", "rep").alias("component_id"))
-    return marks.join(of, "fp", "left").select(id_column, "fp", "component_id")
+    return marks.join(dealt(of), "fp", "left").select(id_column, "fp", "component_id")
 
 
 def _marked(batches: Iterator[pa.RecordBatch], at: int, shingle: int,

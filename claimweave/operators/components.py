@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise
-from .skew import attach
+from .skew import attach, dealt
 
 MAX_ROUNDS = 60
+DEALT_EDGES = 100_000  # from here on the minima are shuffled, not sent through the driver
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -26,6 +27,8 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> Data
     set stops changing. `edges` has numeric columns `u` and `v`. Minima are
     partially aggregated before the shuffle, and joined back with hot ids
     spread, so a hub with a large share of all edges does not slow a round.
+    Whether minima may be broadcast is settled by the number of edges: the sizes
+    that Spark knows are those of the plan that made them.
     """
     pair = edges.select(F.greatest("u", "v").alias("v"), F.least("u", "v").alias("u"))
     current = materialise(pair.filter("u <> v").distinct())
@@ -33,16 +36,17 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> Data
     for _ in range(max_rounds):
         if state[0] == 0:
             break
+        shuffled = dealt if state[0] > DEALT_EDGES else lambda side: side
         # large star: every larger neighbour points to the smallest id around
         both = current.select("u", "v").unionByName(
             current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         centre = both.groupBy("u").agg(
             F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
-        large = materialise(attach(both.filter("v > u"), centre, "u", "v", 2 * state[0])
+        large = materialise(attach(both.filter("v > u"), shuffled(centre), "u", "v", 2 * state[0])
                             .select("v", F.col("m").alias("u")))
         # small star: smaller neighbours and the id itself point to the smallest of them
         floor = large.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n"))
-        moved = (attach(large, floor, "v", "u", 2 * state[0])
+        moved = (attach(large, shuffled(floor), "v", "u", 2 * state[0])
                  .filter("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u")))
         current = materialise(
             moved.unionByName(floor.select("v", F.col("m").alias("u"))).distinct())

@@ -70,3 +70,25 @@ def test_other_distance_and_blocks(spark):
     marks = spark.createDataFrame([(0b0, 1), (0b1, 2), (0b111110, 3)], "fp long, rep long")
     got = {tuple(sorted((r["u"], r["v"]))) for r in simhash.links(marks, distance=1, blocks=4).collect()}
     assert got == {(1, 2)}
+
+
+def test_what_is_written_out_many_times_is_not_broadcast(spark, monkeypatch):
+    from claimweave.operators import components
+
+    plans = []
+
+    def seen(df, *label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(simhash, "stored", seen)
+    monkeypatch.setattr(components, "materialise", seen)
+    monkeypatch.setattr(components, "DEALT_EDGES", 0, raising=False)
+    rows = [(i, v) for i, v in enumerate([0b0, 0b1, 0b11, 0b111110000, 0b111110001, 1 << 40])]
+    marks = spark.createDataFrame(rows, "doc_id long, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_: marks)
+    got = simhash.groups(None, compared_at_once=3)
+    seen(got)
+    assert not [p for p in plans if "Broadcast" in p]
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {
+        0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 0}
