@@ -189,6 +189,33 @@ def test_no_cell_exceeds_the_pair_budget(spark):
         assert row.kl * row.kr <= 4 * max(1, row.l * row.r / pairs) + 3
 
 
+def test_rows_of_a_hot_key_are_copied_a_bounded_number_of_times(spark, small_limit, monkeypatch):
+    from claimweave.operators import skew
+
+    monkeypatch.setattr(skew, "COPIES_PER_ROW", 4, raising=False)
+    side = spark.range(600).select(F.lit("hot").alias("k"), F.col("id").alias("a"))
+    found = meet(side, side.withColumnRenamed("a", "b").limit(90), "k", "a", "b", 600)
+    assert found.count() == found.distinct().count() == 600 * 90
+    left, right = (s.select("k", "_row", "_col").agg(F.count("*")).first()[0]
+                   for s in _cut_sides(found))
+    assert left + right <= 2 * 4 * (600 + 90)
+
+
+def _cut_sides(found):
+    """Both sides of the join that `meet` ends with, as they are shuffled."""
+    from pyspark.sql import DataFrame
+
+    def joins(plan):
+        if plan.nodeName() == "Join":
+            return plan
+        return joins(plan.children().head())
+
+    join = joins(found._jdf.queryExecution().analyzed())
+    data = found.sparkSession._jvm.org.apache.spark.sql.classic.Dataset
+    return [DataFrame(data.ofRows(found.sparkSession._jsparkSession, side), found.sparkSession)
+            for side in (join.left(), join.right())]
+
+
 def test_checks(spark):
     df = spark.createDataFrame(
         [("a", "M", "12345"), ("a", "x", "1"), (None, None, None)], "k string, s string, z string")
