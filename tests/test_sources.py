@@ -121,3 +121,21 @@ def test_repeats_in_a_stream_are_dropped(spark, tmp_path):
              .queryName("unrepeated").trigger(availableNow=True).start())
     query.awaitTermination(120)
     assert spark.table("unrepeated").count() == 2
+
+
+def test_stored_tables_leave_no_shuffle_files(spark, tmp_path):
+    from claimweave.operators.latest import newest_per_key
+    from claimweave.session import materialise, stored
+    from claimweave.sources.sinks import write_table
+
+    def shuffles():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+        files = blocks.diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {f for f in files if "/shuffle_" in f}
+
+    before = shuffles()
+    rows = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    stored(rows.groupBy("k").count(), "sums")
+    materialise(rows.groupBy("k").count())
+    write_table(newest_per_key(rows, ["k"], [F.desc("v")]), str(tmp_path / "t"))
+    assert not shuffles() - before
