@@ -15,7 +15,7 @@ from ..operators.forest import spanning_forest
 from ..operators.quality import freshness, load_volumes, masked, reconcile
 from ..operators.skew import meet
 from ..operators.typed import clean
-from ..session import checkpoint_dir, stored
+from ..session import checkpoint_dir, discard, stored
 from ..sources.delimited import land_folder, landing_log, register_views
 from ..sources.layout import SOURCES
 from ..sources.lineage import audit_columns
@@ -364,7 +364,9 @@ def _csv_round_trip(spark, sf):
         write_csv(rows.select(*[c for c in shuffled if c != missing],
                               F.lit("surplus").alias("not_declared")),
                   f"{base}/feeds/{source.system}/{source.file}")
-    land_folder(spark, f"{base}/feeds", f"{base}/landed", "batch-1")
+        # a feed goes once it is landed: one at a time lies beside the landed tables
+        land_folder(spark, f"{base}/feeds", f"{base}/landed", "batch-1", [source])
+        discard(spark, f"{base}/feeds")
     views = register_views(spark, f"{base}/landed")
     return reduce(DataFrame.unionByName, [
         spark.table(view).select(

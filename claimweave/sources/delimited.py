@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .layout import SOURCES, Source
 from .lineage import with_lineage
+from .sinks import COMPRESSION
 
 # Cell texts that mean "missing".
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -76,6 +77,7 @@ def land_folder(spark: SparkSession, folder: str, target: str, batch_id: str,
         try:
             (df.withColumn("batch_id", F.lit(batch_id)).observe(seen, F.count("*").alias("rows"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .option("compression", COMPRESSION)
              .partitionBy("batch_id").parquet(os.path.join(target, source.name)))
         except Exception as error:
             return Landed(source.name, source.file, 0, "failed", str(error).splitlines()[0])

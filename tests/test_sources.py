@@ -139,3 +139,19 @@ def test_stored_tables_leave_no_shuffle_files(spark, tmp_path):
     materialise(rows.groupBy("k").count())
     write_table(newest_per_key(rows, ["k"], [F.desc("v")]), str(tmp_path / "t"))
     assert not shuffles() - before
+
+
+def test_feeds_of_the_round_trip_go_once_they_are_landed(spark, tmp_path, monkeypatch):
+    from claimweave.plans import queries
+
+    few = {n: SOURCES[n] for n in ("emr_diagnosis", "emr_provider")}
+    monkeypatch.setattr(queries, "SOURCES", few)
+    monkeypatch.setattr(queries, "checkpoint_dir", lambda _: str(tmp_path))
+    monkeypatch.setattr(queries, "landed", lambda spark, sf, name: spark.createDataFrame(
+        [["NA", *["x"] * (len(few[name].columns) - 1)]], list(few[name].columns)))
+    monkeypatch.setattr(queries, "register_views", lambda spark, target: [
+        read_landed(spark, target, n).createOrReplaceTempView(n) or n for n in few])
+    found = queries.all_queries()["bronze_csv_round_trip"](spark, "")
+    assert sorted(r.table_name for r in found.collect()) == sorted(few)
+    kept = [f for _, _, names in os.walk(tmp_path) for f in names if not f.startswith((".", "_"))]
+    assert kept and all(f.endswith(".zstd.parquet") for f in kept)
